@@ -11,6 +11,9 @@ from feedlake.functions import (
     negative_to_null_int,
     normalise_date,
 )
+from feedlake.functions.dates import normalise_date_columns
+
+DATE_RULE_COLUMNS = ("feed_date", "sold_let_date")
 
 
 def cleaning_rules(sqft_threshold: float = C.SQFT_PLACEHOLDER_THRESHOLD) -> dict[str, callable]:
@@ -35,6 +38,8 @@ def clean(df: DataFrame, sqft_threshold: float = C.SQFT_PLACEHOLDER_THRESHOLD) -
     """
     rules = cleaning_rules(sqft_threshold)
     updates: dict[str, Column] = {
-        name: rule(df[name]) for name, rule in rules.items() if name in df.columns
+        name: rule(df[name]) for name, rule in rules.items()
+        if name in df.columns and name not in DATE_RULE_COLUMNS
     }
-    return df.withColumns(updates)
+    # Dates go through the staged form of the same rule (each step once).
+    return normalise_date_columns(df.withColumns(updates), DATE_RULE_COLUMNS)

@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 
 from feedlake import config as C
 from feedlake.functions import (
-    date_format_bucket,
     is_negative_int,
     is_null_or_empty,
     parse_double,
     strip,
 )
+from feedlake.functions.dates import with_date_format_bucket
 from feedlake.operators.dedupe import duplicate_count
 
 ColumnsBySource = Mapping[str, Sequence[str]]
@@ -239,7 +239,7 @@ def date_format_profile(df: DataFrame, columns: Sequence[str] = C.DATE_COLUMNS,
                       _has_column(c, columns_by_source).alias("_owned"))
              for c in present]
     long = df.select(C.SOURCE_COL, F.inline(F.array(*owned))).where("_owned")
-    return (long.withColumn("date_format", date_format_bucket("value", extended))
+    return (with_date_format_bucket(long, "value", "date_format", extended)
                 .groupBy(C.SOURCE_COL, "column_name", "date_format")
                 .agg(F.count(F.lit(1)).alias("n_rows"),
                      F.min(strip(F.col("value"))).alias("sample_value")))

@@ -39,7 +39,7 @@ from feedlake.operators import (
     source_stats,
     validate_feeds,
 )
-from feedlake.functions import normalise_date
+from feedlake.functions.dates import normalise_date_columns
 from feedlake.plans.pipeline import checkpointed, process
 from feedlake.session import scratch_path
 from feedlake.sinks import read_feed_table, register_table, write_combined, write_feed
@@ -76,12 +76,11 @@ def q_feed_counts_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_normalise_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 on both date columns of every feed row."""
     feed = _feed(spark, sf_dir)
-    return feed.select(
+    both = feed.select(
         C.KEY_COL, C.SOURCE_COL,
-        F.col("feed_date").alias("feed_date_raw"),
-        normalise_date("feed_date").alias("feed_date"),
-        F.col("sold_let_date").alias("sold_let_date_raw"),
-        normalise_date("sold_let_date").alias("sold_let_date"))
+        F.col("feed_date").alias("feed_date_raw"), "feed_date",
+        F.col("sold_let_date").alias("sold_let_date_raw"), "sold_let_date")
+    return normalise_date_columns(both, ["feed_date", "sold_let_date"])
 
 
 def q_date_format_profile(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are designed for. AQE re-plans shuffles at run
 # time (coalescing small partitions, splitting skewed ones, including the
@@ -58,6 +58,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over the cluster when it has fewer splits than cores.
+
+    A large input already has thousands of splits and is returned as is (no
+    shuffle). A small file with one row group would otherwise run every
+    downstream step in a single task. The round-robin repartition is made
+    deterministic by Spark (rows are sorted before they are dealt out), so a
+    retried task gets the same rows.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)

@@ -17,6 +17,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from feedlake.session import spread
+
 # Fixed text: the fixture definition shared with the oracle.
 LISTING_FEED_SELECT = """
 SELECT
@@ -64,8 +66,9 @@ def listing_feed_sql(table: str = "lineitem") -> str:
 
 
 def listing_feed_from(spark: SparkSession, lineitem: DataFrame) -> DataFrame:
-    """The fixture over a ``lineitem`` DataFrame."""
-    return spark.sql(LISTING_FEED_SELECT, lineitem=lineitem.select(*_LINEITEM_COLUMNS))
+    """The fixture over a ``lineitem`` DataFrame (spread over the cores when
+    the scan has fewer splits than that; a big table is left as it is)."""
+    return spark.sql(LISTING_FEED_SELECT, lineitem=spread(lineitem.select(*_LINEITEM_COLUMNS)))
 
 
 def listing_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
