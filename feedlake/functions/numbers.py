@@ -73,9 +73,10 @@ def clean_price(col: Column | str) -> Column:
 
 
 def negative_to_null_int(col: Column | str) -> Column:
-    """integer parse, negatives -> null."""
-    n = parse_int(col)
-    return F.when(n >= 0, n)
+    """integer parse, negatives -> null (the text test runs once)."""
+    c = _c(col).cast("string")
+    n = c.try_cast("double").try_cast("int")
+    return F.when(c.rlike(_DECIMAL_TEXT), F.when(n >= 0, n))
 
 
 def price_per_sqft(price: Column | str, sqft: Column | str) -> Column:

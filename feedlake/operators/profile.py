@@ -239,7 +239,11 @@ def date_format_profile(df: DataFrame, columns: Sequence[str] = C.DATE_COLUMNS,
                       _has_column(c, columns_by_source).alias("_owned"))
              for c in present]
     long = df.select(C.SOURCE_COL, F.inline(F.array(*owned))).where("_owned")
-    return (with_date_format_bucket(long, "value", "date_format", extended)
-                .groupBy(C.SOURCE_COL, "column_name", "date_format")
-                .agg(F.count(F.lit(1)).alias("n_rows"),
-                     F.min(strip(F.col("value"))).alias("sample_value")))
+    keys = [C.SOURCE_COL, "column_name", "date_format"]
+    # Count per distinct text first (hash aggregation, partial counts before
+    # the shuffle); only those distinct texts reach the ``min`` for a sample.
+    per_text = (with_date_format_bucket(long, "value", "date_format", extended)
+                .groupBy(*keys, strip(F.col("value")).alias("text"))
+                .agg(F.count(F.lit(1)).alias("n")))
+    return per_text.groupBy(*keys).agg(F.sum("n").cast("long").alias("n_rows"),
+                                       F.min("text").alias("sample_value"))
