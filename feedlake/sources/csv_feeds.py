@@ -13,6 +13,7 @@ all), is recorded in ``FeedSet.errors`` and left out; the others go on.
 
 from __future__ import annotations
 
+import csv
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -74,15 +75,67 @@ def read_feed(spark: SparkSession, path: str | Sequence[str], source_name: str,
     return df.withColumn(C.SOURCE_COL, F.lit(source_name))
 
 
+def list_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """Files under ``path`` as Spark lists them (parallel listing for many)."""
+    paths = [path] if isinstance(path, str) else list(path)
+    return sorted(spark.read.format("text").load(paths).inputFiles())
+
+
+def file_headers(spark: SparkSession, files: Sequence[str]) -> dict[str, tuple[str, ...] | None]:
+    """First non-blank line of each file, split as a CSV header.
+
+    Reads only the start of each file through the cluster's file system
+    (metadata, like schema inference); ``None`` for an empty file.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out: dict[str, tuple[str, ...] | None] = {}
+    for f in files:
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        stream = path.getFileSystem(conf).open(path)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        try:
+            line = reader.readLine()
+            while line is not None and not line.strip():
+                line = reader.readLine()
+        finally:
+            reader.close()
+        out[f] = None if line is None else tuple(next(csv.reader([line])))
+    return out
+
+
+def read_feed_strict(spark: SparkSession, path: str | Sequence[str], source_name: str) -> DataFrame:
+    """S1 with every file read under its own header, then joined by name.
+
+    Files are grouped by header; each group is one CSV read, so a file whose
+    columns come in another order is matched by name, not by position.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f, header in file_headers(spark, list_files(spark, path)).items():
+        if header:
+            groups.setdefault(header, []).append(f)
+    if not groups:
+        raise AnalysisException(f"no header found under {path}")
+    frames = [read_feed(spark, files, source_name) for files in groups.values()]
+    return combine_sources(frames)
+
+
 def read_feeds(spark: SparkSession, paths: Mapping[str, str | Sequence[str]],
-               schema: T.StructType | None = None) -> FeedSet:
-    """Every source of ``paths`` (source -> directory or files) as one frame."""
+               schema: T.StructType | None = None, strict_header: bool = False) -> FeedSet:
+    """Every source of ``paths`` (source -> directory or files) as one frame.
+
+    ``strict_header`` reads each file under its own header (see
+    :func:`read_feed_strict`); otherwise one header serves a source's files.
+    """
     frames: list[DataFrame] = []
     columns: dict[str, tuple[str, ...]] = {}
     errors: dict[str, str] = {}
     for source, path in paths.items():
         try:
-            df = read_feed(spark, path, source, schema)
+            if strict_header:
+                df = read_feed_strict(spark, path, source)
+            else:
+                df = read_feed(spark, path, source, schema)
         except AnalysisException as e:
             errors[source] = _short(e)
             continue
@@ -99,9 +152,9 @@ def read_feeds(spark: SparkSession, paths: Mapping[str, str | Sequence[str]],
 
 def read_feed_root(spark: SparkSession, root: str,
                    sources: Sequence[str] = C.DEFAULT_SOURCES,
-                   schema: T.StructType | None = None) -> FeedSet:
+                   schema: T.StructType | None = None, strict_header: bool = False) -> FeedSet:
     """S1 + S2 over the ``{root}/{source}/raw-data/`` layout."""
-    return read_feeds(spark, source_paths(root, sources), schema)
+    return read_feeds(spark, source_paths(root, sources), schema, strict_header)
 
 
 def _short(e: Exception) -> str:

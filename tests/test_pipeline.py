@@ -144,3 +144,18 @@ def test_feed_stream_available_now(spark, tmp_dir):
     got = read_feed_table(spark, out)
     assert got.count() == 5
     assert got.where(F.col("source_name") == "beta").count() == 2
+
+
+def test_strict_header_matches_columns_by_name(spark, tmp_dir):
+    cols = list(C.EXPECTED_COLUMNS)
+    reordered = [cols[1], cols[0]] + cols[2:]
+    line = _line("R1", "Reo", "2025-01-06").split(",")
+    values = dict(zip(C.EXPECTED_COLUMNS, line[:6] + [",".join(line[6:8])] + line[8:]))
+    _write(tmp_dir, "reo", "a.csv", [HEADER, _line("R0", "Reo", "2025-01-06")])
+    _write(tmp_dir, "reo", "b.csv", [",".join(reordered), ",".join(values[c] for c in reordered)])
+    _write(tmp_dir, "reo", "listings.csv", [""])
+    strict = read_feed_root(spark, tmp_dir, ["reo"], strict_header=True)
+    got = {r.property_id: r.source_agency for r in strict.df.collect()}
+    assert got == {"R0": "Reo", "R1": "Reo"}
+    loose = read_feed_root(spark, tmp_dir, ["reo"])
+    assert {r.property_id for r in loose.df.collect()} != {"R0", "R1"}   # read by position
