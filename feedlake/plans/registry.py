@@ -12,7 +12,7 @@ three and passes src3-src9; queries downstream of the gate see seven sources.
 
 from __future__ import annotations
 
-import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +28,6 @@ from feedlake.operators import (
     duplicate_keys,
     enrich,
     feed_counts,
-    keep_passing,
     null_profile,
     numeric_profile,
     pipeline_summary,
@@ -39,10 +38,11 @@ from feedlake.operators import (
     source_stats,
     validate_feeds,
 )
-from feedlake.functions.dates import normalise_date_columns
-from feedlake.plans.pipeline import checkpointed, process
+from feedlake.functions.dates import date_format_label, normalise_date_columns
+from feedlake.plans.pipeline import checkpointed, process, profile
 from feedlake.session import scratch_path
-from feedlake.sinks import read_feed_table, register_table, write_combined, write_feed
+from feedlake.sinks import read_feed_table, register_table, write_combined
+from feedlake.sources.csv_feeds import read_feeds
 from feedlake.sources.fixture import listing_feed, listing_feed_sql
 from feedlake.streaming.incremental import incremental_load
 
@@ -145,13 +145,17 @@ def q_combine_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combine_sources([with_tenure, without_tenure])
 
 
+def _table_name(kind: str) -> str:
+    return f"feedlake_{kind}_{uuid.uuid4().hex[:10]}"
+
+
 def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2 + K3 + S3: write the processed feed partitioned by feed_date and
     source, register it as a table, and read the whole table back."""
     processed = process(_feed(spark, sf_dir), ingestion_timestamp=RUN_TS)
     path = scratch_path(spark, "combined")
     write_combined(processed, path)
-    name = register_table(spark, "feedlake_roundtrip", path, processed.schema)
+    name = register_table(spark, _table_name("roundtrip"), path, processed.schema)
     return spark.table(name)
 
 
@@ -160,7 +164,7 @@ def q_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     processed = process(_feed(spark, sf_dir), ingestion_timestamp=RUN_TS)
     path = scratch_path(spark, "combined-q1")
     write_combined(processed, path)
-    name = register_table(spark, "feedlake_q1", path, processed.schema)
+    name = register_table(spark, _table_name("q1"), path, processed.schema)
     return spark.sql(f"SELECT source_name, feed_date, COUNT(*) AS rows FROM {name} "
                      "GROUP BY source_name, feed_date ORDER BY source_name, feed_date")
 
@@ -179,6 +183,30 @@ def q_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_feed_table(spark, path, processed.schema)
 
 
+def q_date_format_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 with full labels: rows per source and ``feed_date`` label."""
+    feed = _feed(spark, sf_dir)
+    return (feed.groupBy(C.SOURCE_COL, date_format_label("feed_date").alias("label"))
+                .agg(F.count(F.lit(1)).alias("rows")))
+
+
+def q_csv_feed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2: write the fixture as one CSV folder per source, read the
+    folders back with the feed reader (per-source headers) and score them."""
+    feed = _feed(spark, sf_dir)
+    root = scratch_path(spark, "csv-feeds")
+    (feed.hint("rebalance", C.SOURCE_COL).write.mode("overwrite")
+         .partitionBy(C.SOURCE_COL).option("header", "true").csv(root))
+    names = [r[0] for r in feed.select(C.SOURCE_COL).distinct().collect()]
+    feeds = read_feeds(spark, {n: f"{root}/{C.SOURCE_COL}={n}" for n in sorted(names)})
+    return quality_scores(feeds.df, feeds.columns, feeds.errors)
+
+
+def q_profile_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile bundle (metrics checkpointed once, reports reshaped)."""
+    return profile(_feed(spark, sf_dir)).scores
+
+
 def q_pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline_summary(validate_feeds(_feed(spark, sf_dir)))
 
@@ -205,6 +233,9 @@ QUERIES: dict[str, Query] = {
     "table_counts": q_table_counts,
     "incremental_load": q_incremental_load,
     "pipeline_summary": q_pipeline_summary,
+    "date_format_labels": q_date_format_labels,
+    "csv_feed_scores": q_csv_feed_scores,
+    "profile_scores": q_profile_scores,
 }
 
 
@@ -457,6 +488,14 @@ SELECT source_name, {cols},
 FROM processed GROUP BY source_name ORDER BY source_name"""
 
 
+def _date_format_labels_sql() -> str:
+    label = _date_bucket("feed_date").replace("ELSE 'UNKNOWN' END",
+                                              "ELSE 'UNKNOWN (' || trim(feed_date) || ')' END")
+    return f"""WITH {FEED_CTE}
+SELECT source_name, {label} AS label, CAST(count(*) AS BIGINT) AS rows
+FROM feed GROUP BY ALL"""
+
+
 def _processed_rows_sql() -> str:
     return f"""{PROCESSED_CTES}
 SELECT * FROM processed"""
@@ -494,4 +533,7 @@ FROM processed""",
     "table_counts": _feed_counts_sql(),
     "incremental_load": _processed_rows_sql(),
     "pipeline_summary": _pipeline_summary_sql(),
+    "date_format_labels": _date_format_labels_sql(),
+    "csv_feed_scores": _quality_score_sql(),
+    "profile_scores": _quality_score_sql(),
 }
