@@ -33,6 +33,7 @@ from feedlake.operators import (
 from feedlake.operators.counts import Q1_SQL
 from feedlake.session import ensure_checkpoint_dir
 from feedlake.sinks import read_feed_table, register_table, write_combined, write_sources
+from feedlake.streaming.incremental import date_filter
 
 log = logging.getLogger(__name__)
 
@@ -110,7 +111,7 @@ class EtlResult:
 
 def run_etl(df: DataFrame, out_root: str, sources: Sequence[str] | None = None,
             errors: Mapping[str, str] | None = None, ingestion_timestamp: str | None = None,
-            dates: Sequence[str] | None = None, table: str | None = None,
+            dates: Sequence[str] | F.Column | None = None, table: str | None = None,
             overwrite: str = "dynamic") -> EtlResult:
     """G9 after profiling: validate, process, store per source (K1), combine
     (K2) from the stored rows, register the table (K3) and run Q1.
@@ -123,8 +124,9 @@ def run_etl(df: DataFrame, out_root: str, sources: Sequence[str] | None = None,
     validation = checkpointed(validate_feeds(df, sources, errors))
     summary = pipeline_summary(validation)
     processed = process(df, validation, ingestion_timestamp)
-    if dates is not None:
-        processed = processed.where(F.col("feed_date").isin(list(dates)))
+    keep = date_filter(dates)
+    if keep is not None:
+        processed = processed.where(keep)
     if not validation.where("passed").take(1):
         log.warning("no source passed validation; nothing written")
         return EtlResult(validation, summary, None, None, None, None)
@@ -133,8 +135,8 @@ def run_etl(df: DataFrame, out_root: str, sources: Sequence[str] | None = None,
     write_sources(processed, sources_path, overwrite=overwrite)
     stored = read_feed_table(spark, sources_path, processed.schema,
                              partition_by=(C.SOURCE_COL, "feed_date"))
-    if dates is not None:
-        stored = stored.where(F.col("feed_date").isin(list(dates)))
+    if keep is not None:
+        stored = stored.where(keep)
     write_combined(stored, combined_path, overwrite=overwrite)
     counts = None
     if table:

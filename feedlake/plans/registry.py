@@ -39,6 +39,7 @@ from feedlake.operators import (
     validate_feeds,
 )
 from feedlake.functions.dates import date_format_label, normalise_date_columns
+from feedlake.operators.validate import MAX_INLINE_SOURCES
 from feedlake.plans.pipeline import checkpointed, process, profile
 from feedlake.session import scratch_path
 from feedlake.sinks import read_feed_table, register_table, write_combined
@@ -176,11 +177,11 @@ def q_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "incremental")
     incremental_load(feed, path, ingestion_timestamp=RUN_TS)
     validation = validate_feeds(feed)
-    processed = process(feed, validation, ingestion_timestamp=RUN_TS)
-    dates = [r[0] for r in processed.where(F.col("feed_date").startswith("1998"))
-             .select("feed_date").distinct().collect()]
-    incremental_load(feed, path, ingestion_timestamp=RUN_TS, dates=dates, validation=validation)
-    return read_feed_table(spark, path, processed.schema)
+    reload_1998 = F.col("feed_date").startswith("1998")
+    incremental_load(feed, path, ingestion_timestamp=RUN_TS, dates=reload_1998,
+                     validation=validation)
+    schema = process(feed, validation, ingestion_timestamp=RUN_TS).schema
+    return read_feed_table(spark, path, schema)
 
 
 def q_date_format_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +198,10 @@ def q_csv_feed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "csv-feeds")
     (feed.hint("rebalance", C.SOURCE_COL).write.mode("overwrite")
          .partitionBy(C.SOURCE_COL).option("header", "true").csv(root))
-    names = [r[0] for r in feed.select(C.SOURCE_COL).distinct().collect()]
+    names = [r[0] for r in feed.select(C.SOURCE_COL).distinct()
+             .limit(MAX_INLINE_SOURCES + 1).collect()]
+    if len(names) > MAX_INLINE_SOURCES:
+        raise ValueError(f"more than {MAX_INLINE_SOURCES} sources")
     feeds = read_feeds(spark, {n: f"{root}/{C.SOURCE_COL}={n}" for n in sorted(names)})
     return quality_scores(feeds.df, feeds.columns, feeds.errors)
 

@@ -27,18 +27,28 @@ from feedlake.operators import validate_feeds
 from feedlake.sinks import write_combined
 
 
+def date_filter(dates: Sequence[str] | F.Column | None) -> F.Column | None:
+    """``feed_date`` in a list of dates, or any predicate on the clean row."""
+    if dates is None or isinstance(dates, F.Column):
+        return dates
+    return F.col("feed_date").isin(list(dates))
+
+
 def incremental_load(raw: DataFrame, path: str, ingestion_timestamp: str | None = None,
-                     dates: Sequence[str] | None = None, validation: DataFrame | None = None,
+                     dates: Sequence[str] | F.Column | None = None,
+                     validation: DataFrame | None = None,
                      sources: Sequence[str] | None = None) -> DataFrame:
-    """Process ``raw`` and write the rows of ``dates`` (all when ``None``) to
-    the combined layout under ``path``, replacing only those partitions.
+    """Process ``raw`` and write the rows of ``dates`` (a list of clean
+    ``feed_date`` values or a predicate; all when ``None``) to the combined
+    layout under ``path``, replacing only the partitions written.
     Returns the validation frame of the run."""
     from feedlake.plans.pipeline import process
 
     validation = validation if validation is not None else validate_feeds(raw, sources)
     processed = process(raw, validation, ingestion_timestamp)
-    if dates is not None:
-        processed = processed.where(F.col("feed_date").isin(list(dates)))
+    keep = date_filter(dates)
+    if keep is not None:
+        processed = processed.where(keep)
     write_combined(processed, path, overwrite="dynamic")
     return validation
 
