@@ -118,13 +118,7 @@ def schema_check(df: DataFrame, columns_by_source: ColumnsBySource | None = None
         rows = [(s, c, k) for s, cols in columns_by_source.items()
                 for c, k in schema_issues(cols, expected)]
         return spark.createDataFrame(rows, schema)
-    issues = schema_issues(data_columns(df) + [c for c in df.columns if c in C.LEFTOVER_COLUMNS],
-                           expected)
-    if not issues:
-        return spark.createDataFrame([], schema)
-    arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("issue"))
-                    for c, k in issues])
-    return df.select(C.SOURCE_COL).distinct().select(C.SOURCE_COL, F.inline(arr))
+    return schema_check_for_sources(df, [c for c in df.columns if c != C.SOURCE_COL], expected)
 
 
 def missing_column_count(df: DataFrame, columns_by_source: ColumnsBySource | None = None,
@@ -247,3 +241,65 @@ def date_format_profile(df: DataFrame, columns: Sequence[str] = C.DATE_COLUMNS,
                 .agg(F.count(F.lit(1)).alias("n")))
     return per_text.groupBy(*keys).agg(F.sum("n").cast("long").alias("n_rows"),
                                        F.min("text").alias("sample_value"))
+
+
+def value_counts(df: DataFrame, categorical: Sequence[str] = C.CATEGORICAL_COLUMNS,
+                 dates: Sequence[str] = C.DATE_COLUMNS, extended: bool = False,
+                 columns_by_source: ColumnsBySource | None = None) -> DataFrame:
+    """A9 and A10 in one aggregation: rows per (source, kind, column, value,
+    date_format), ``kind`` being ``category`` or ``date``.
+
+    One scan and one shuffle serve both reports; partial counts run before
+    the shuffle. The result is bounded by the distinct values, not the rows.
+    Derive the reports with :func:`categories_from_values` and
+    :func:`date_formats_from_values`.
+    """
+    cats = [c for c in categorical if c in df.columns]
+    dts = [c for c in dates if c in df.columns]
+    cells = ([F.struct(F.lit("category").alias("kind"), F.lit(c).alias("column_name"),
+                       F.col(c).cast("string").alias("value"),
+                       _has_column(c, columns_by_source).alias("_owned")) for c in cats]
+             + [F.struct(F.lit("date").alias("kind"), F.lit(c).alias("column_name"),
+                         F.col(c).cast("string").alias("value"),
+                         _has_column(c, columns_by_source).alias("_owned")) for c in dts])
+    if not cells:
+        return df.select(C.SOURCE_COL).where(F.lit(False))
+    long = df.select(C.SOURCE_COL, F.inline(F.array(*cells))).where("_owned")
+    labelled = with_date_format_bucket(long, "value", "_fmt", extended)
+    is_date = F.col("kind") == "date"
+    keyed = labelled.select(
+        C.SOURCE_COL, "kind", "column_name",
+        F.when(is_date, strip(F.col("value"))).otherwise(F.col("value")).alias("value"),
+        F.when(is_date, F.col("_fmt")).alias("date_format"))
+    keyed = keyed.where(is_date | (F.col("value").isNotNull() & (F.col("value") != "")))
+    return (keyed.groupBy(C.SOURCE_COL, "kind", "column_name", "value", "date_format")
+                 .agg(F.count(F.lit(1)).alias("n")))
+
+
+def categories_from_values(values: DataFrame) -> DataFrame:
+    """A9 from :func:`value_counts`: (source, column, value, ``n_rows``)."""
+    return (values.where(F.col("kind") == "category")
+                  .select(C.SOURCE_COL, "column_name", "value",
+                          F.col("n").cast("long").alias("n_rows")))
+
+
+def date_formats_from_values(values: DataFrame) -> DataFrame:
+    """A10 from :func:`value_counts`: (source, column, format, ``n_rows``,
+    ``sample_value``)."""
+    keys = [C.SOURCE_COL, "column_name", "date_format"]
+    return (values.where(F.col("kind") == "date").groupBy(*keys)
+                  .agg(F.sum("n").cast("long").alias("n_rows"),
+                       F.min("value").alias("sample_value")))
+
+
+def schema_check_for_sources(sources: DataFrame, columns: Sequence[str],
+                             expected: Sequence[str] = C.EXPECTED_COLUMNS) -> DataFrame:
+    """P15 for the sources listed in ``sources`` (any frame with
+    ``source_name``), all sharing the header ``columns``."""
+    schema = f"{C.SOURCE_COL} string, column_name string, issue string"
+    issues = schema_issues(list(columns), expected)
+    if not issues:
+        return sources.sparkSession.createDataFrame([], schema)
+    arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("issue"))
+                    for c, k in issues])
+    return sources.select(C.SOURCE_COL).distinct().select(C.SOURCE_COL, F.inline(arr))

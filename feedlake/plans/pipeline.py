@@ -12,9 +12,7 @@ from pyspark.sql import functions as F
 
 from feedlake import config as C
 from feedlake.operators import (
-    category_profile,
     clean,
-    date_format_profile,
     dedupe,
     duplicate_keys,
     enrich,
@@ -31,6 +29,12 @@ from feedlake.operators import (
     validate_feeds,
 )
 from feedlake.operators.counts import Q1_SQL
+from feedlake.operators.profile import (
+    categories_from_values,
+    date_formats_from_values,
+    schema_check_for_sources,
+    value_counts,
+)
 from feedlake.session import ensure_checkpoint_dir
 from feedlake.sinks import read_feed_table, register_table, write_combined, write_sources
 from feedlake.streaming.incremental import date_filter
@@ -80,22 +84,28 @@ class Profile:
 
 def profile(df: DataFrame, columns_by_source: Mapping[str, Sequence[str]] | None = None,
             errors: Mapping[str, str] | None = None, extended_dates: bool = False) -> Profile:
-    """Profile every source. Raw-data scans: one for the per-source metrics
-    (checkpointed), one for categorical values, one for date formats and one
-    for duplicate keys; every other frame is reshaped from the metrics."""
+    """Profile every source in three passes over the raw data: the
+    per-source metrics and the per-value counts (both small, checkpointed
+    once) and the duplicate-key sample. Every other frame is reshaped from
+    those two results."""
     metrics = checkpointed(source_metrics(df))
+    values = checkpointed(value_counts(df, extended=extended_dates,
+                                       columns_by_source=columns_by_source))
     scores = quality_scores(df, columns_by_source, errors, metrics=metrics)
+    schema = (schema_check(df, columns_by_source) if columns_by_source else
+              schema_check_for_sources(metrics, [c for c in df.columns if c != C.SOURCE_COL]))
     return Profile(
         metrics=metrics,
         stats=source_stats(df, columns_by_source, metrics=metrics),
-        schema=schema_check(df, columns_by_source),
+        schema=schema,
         duplicates=duplicate_keys(df),
         numeric=numeric_profile(df, columns_by_source=columns_by_source, metrics=metrics),
-        dates=date_format_profile(df, extended=extended_dates, columns_by_source=columns_by_source),
+        dates=date_formats_from_values(values),
         nulls=null_profile(df, columns_by_source=columns_by_source, metrics=metrics),
-        categories=category_profile(df, columns_by_source=columns_by_source),
+        categories=categories_from_values(values),
         scores=scores,
         overall=quality_overall(scores),
+        extras={"values": values},
     )
 
 

@@ -211,6 +211,16 @@ def q_profile_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(_feed(spark, sf_dir)).scores
 
 
+def q_profile_date_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date formats from the bundle's shared per-value aggregation."""
+    return profile(_feed(spark, sf_dir)).dates
+
+
+def q_profile_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categorical values from the bundle's shared per-value aggregation."""
+    return profile(_feed(spark, sf_dir)).categories
+
+
 def q_pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline_summary(validate_feeds(_feed(spark, sf_dir)))
 
@@ -240,6 +250,8 @@ QUERIES: dict[str, Query] = {
     "date_format_labels": q_date_format_labels,
     "csv_feed_scores": q_csv_feed_scores,
     "profile_scores": q_profile_scores,
+    "profile_date_formats": q_profile_date_formats,
+    "profile_categories": q_profile_categories,
 }
 
 
@@ -540,4 +552,6 @@ FROM processed""",
     "date_format_labels": _date_format_labels_sql(),
     "csv_feed_scores": _quality_score_sql(),
     "profile_scores": _quality_score_sql(),
+    "profile_date_formats": _date_format_profile_sql(),
+    "profile_categories": _category_profile_sql(),
 }

@@ -65,3 +65,21 @@ def test_partition_pruning_on_read_back(spark, tmp_dir):
     p = _plan(q)
     assert "PartitionFilters: [isnotnull(feed_date" in p
     assert [r.id for r in q.collect()] == ["b"]
+
+
+def test_profile_reports_do_not_rescan_raw_data(spark):
+    from feedlake.plans.pipeline import profile
+
+    feed = listing_feed(spark, SF_SMALL)
+    prof = profile(feed)
+    derived = [prof.stats, prof.schema, prof.numeric, prof.dates, prof.nulls,
+               prof.categories, prof.scores, prof.overall]
+    for frame in derived:
+        assert "lineitem" not in _plan(frame)
+    assert "lineitem" in _plan(prof.duplicates)
+
+
+def test_partitioned_write_rebalances(spark):
+    df = spark.createDataFrame([("a", "2025-01-06")], "id string, feed_date string")
+    hinted = df.hint("rebalance", "feed_date")
+    assert "RebalancePartitions" in hinted._jdf.queryExecution().optimizedPlan().toString()
