@@ -47,3 +47,11 @@ def pivot_counts(counts: DataFrame, column: str, values: Sequence | None = None,
     return (pivoted.fillna(0, value_cols)
                    .select(C.SOURCE_COL, *[F.col(f"`{c}`").cast("long").alias(c) for c in value_cols])
                    .orderBy(C.SOURCE_COL))
+
+
+def feed_totals(df: DataFrame) -> DataFrame:
+    """One row with the total row count and the number of (source,
+    feed_date) partitions of a combined table (or of any feed frame)."""
+    return df.agg(F.count(F.lit(1)).alias("total_rows"),
+                  F.count_distinct(F.col(C.SOURCE_COL), F.coalesce(F.col("feed_date"), F.lit("")))
+                  .alias("partitions"))

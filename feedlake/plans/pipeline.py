@@ -17,6 +17,7 @@ from feedlake.operators import (
     duplicate_keys,
     enrich,
     feed_counts,
+    feed_totals,
     keep_passing,
     null_profile,
     numeric_profile,
@@ -117,6 +118,7 @@ class EtlResult:
     combined_path: str | None
     table: str | None
     counts: DataFrame | None
+    totals: DataFrame | None = None
 
 
 def run_etl(df: DataFrame, out_root: str, sources: Sequence[str] | None = None,
@@ -152,7 +154,8 @@ def run_etl(df: DataFrame, out_root: str, sources: Sequence[str] | None = None,
     if table:
         register_table(spark, table, combined_path, processed.schema)
         counts = spark.sql(Q1_SQL.format(table=table))
-    return EtlResult(validation, summary, sources_path, combined_path, table, counts)
+    totals = feed_totals(read_feed_table(spark, combined_path, processed.schema))
+    return EtlResult(validation, summary, sources_path, combined_path, table, counts, totals)
 
 
 def q1_counts(spark: SparkSession, table_or_path: str) -> DataFrame:

@@ -76,6 +76,7 @@ def test_golden_pipeline(spark, tmp_dir):
     assert summary["alpha"] == (4, "SUCCESS") and summary["beta"] == (2, "SUCCESS")
     assert summary["gamma"] == (0, "FAILED: VALIDATION FAILED [gamma]: 1 null property IDs!")
     assert summary["delta"][0] == 0 and summary["delta"][1].startswith("FAILED: ")
+    assert tuple(res.totals.collect()[0]) == (5, 3)
     counts = [tuple(r) for r in res.counts.collect()]
     assert counts == [("alpha", "2025-01-06", 2), ("alpha", "2025-01-07", 1), ("beta", "2025-01-06", 2)]
 

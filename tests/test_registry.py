@@ -49,3 +49,12 @@ def test_write_query_matches_oracle(spark, duck, name):
     cur = duck.execute(entry.oracle_sql()[name])
     d_cols = [d[0] for d in cur.description]
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(d_cols, cur.fetchall())
+
+
+@pytest.mark.parametrize("name", ["validate_feeds", "clean_listings", "numeric_profile",
+                                  "feed_counts_by_source_date", "quality_score"])
+def test_query_matches_oracle_without_ansi(ansi_spark, duck, name):
+    df = entry.queries()[name](ansi_spark, SF_SMALL)
+    cur = duck.execute(entry.oracle_sql()[name])
+    d_cols = [d[0] for d in cur.description]
+    assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(d_cols, cur.fetchall())
