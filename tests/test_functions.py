@@ -148,3 +148,20 @@ def test_price_per_sqft_rounding(spark):
 def test_strip_python_whitespace(spark, text, want):
     got = _collect(spark, [text], strip("v").alias("s"))
     assert got[0][1] == want == text.strip()
+
+
+def test_staged_forms_match_column_forms(ansi_spark):
+    from feedlake.functions import date_format_bucket
+    from feedlake.functions.dates import normalise_date_columns, with_date_format_bucket
+
+    values = [v for v, _ in NORMALISE] + [v for v, _ in LABELS] + [
+        "1/12/2025", "31/1/2025", "2025/12/ 1", "7 sep 2024", "29 Feb 2023", "9999-12-31"]
+    df = ansi_spark.createDataFrame([(v, v) for v in values], "v string, w string")
+    staged = normalise_date_columns(df, ["w"]).withColumnRenamed("w", "staged")
+    staged = with_date_format_bucket(staged, "v", "staged_label")
+    got = staged.select("v", "staged", normalise_date("v").alias("direct"), "staged_label",
+                        date_format_bucket("v").alias("direct_label")).collect()
+    for r in got:
+        assert r.staged == r.direct, r.v
+        assert r.staged_label == r.direct_label, r.v
+        assert r.direct == _strptime_reference(r.v), r.v
