@@ -37,6 +37,11 @@ HEADLINE = [
     "source_stats",
     "combine_sources",
     "pipeline_summary",
+    "date_format_labels",
+    "csv_feed_scores",
+    "profile_scores",
+    "profile_date_formats",
+    "profile_categories",
     "parquet_roundtrip",
 ]
 
