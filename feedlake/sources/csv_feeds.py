@@ -157,6 +157,31 @@ def read_feed_root(spark: SparkSession, root: str,
     return read_feeds(spark, source_paths(root, sources), schema, strict_header)
 
 
+def read_feed_scan(spark: SparkSession, root: str, schema: T.StructType,
+                   sources: Sequence[str] = C.DEFAULT_SOURCES) -> FeedSet:
+    """S1 + S2 as ONE scan over ``{root}/{a,b,...}/raw-data/`` with a declared
+    schema: for many sources (no per-source header job, one scan node).
+
+    ``source_name`` comes from each file's path. Every file's header is
+    checked against ``schema`` (a mismatch fails the read). Sources without
+    any file are recorded as errors from the file listing (no data read).
+    """
+    base = root.rstrip("/")
+    glob = f"{base}/{{{','.join(sources)}}}/raw-data/"
+    try:
+        df = _csv_reader(spark, schema).csv(glob)
+        files = df.inputFiles()
+    except AnalysisException as e:
+        return FeedSet(None, {}, {s: _short(e) for s in sources})
+    found = {f.rstrip("/").split("/")[-3] for f in files}
+    df = df.withColumn(C.SOURCE_COL, F.regexp_extract(F.col("_metadata.file_path"),
+                                                      r"/([^/]+)/raw-data/[^/]*$", 1))
+    header = tuple(schema.fieldNames())
+    columns = {s: header for s in sources if s in found}
+    errors = {s: f"no files under {base}/{s}/raw-data/" for s in sources if s not in found}
+    return FeedSet(df, columns, errors)
+
+
 def _short(e: Exception) -> str:
     text = str(e).strip().splitlines()[0] if str(e).strip() else type(e).__name__
     return text[:300]

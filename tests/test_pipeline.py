@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from feedlake import config as C
 from feedlake.plans.pipeline import profile, run_etl
+from feedlake.operators import validate_feeds
 from feedlake.sinks import read_feed_table, write_feed
 from feedlake.sources import read_feed_root
 
@@ -160,3 +161,22 @@ def test_strict_header_matches_columns_by_name(spark, tmp_dir):
     assert got == {"R0": "Reo", "R1": "Reo"}
     loose = read_feed_root(spark, tmp_dir, ["reo"])
     assert {r.property_id for r in loose.df.collect()} != {"R0", "R1"}   # read by position
+
+
+def test_single_scan_reader_matches_per_source_reads(spark, tmp_dir):
+    from feedlake.sources import read_feed_scan
+    from feedlake.streaming.incremental import raw_feed_schema
+
+    sources = make_feeds(tmp_dir)
+    one = read_feed_scan(spark, tmp_dir, raw_feed_schema(), sources)
+    assert set(one.errors) == {"missing"}
+    assert set(one.columns) == {"alpha", "beta", "gamma", "delta"}
+    per = read_feed_root(spark, tmp_dir, sources)
+    cols = list(C.EXPECTED_COLUMNS) + [C.SOURCE_COL]
+    def rows(df):
+        return sorted(tuple("" if v is None else v for v in r) for r in df.select(cols).collect())
+    assert rows(one.df) == rows(per.df)
+    plan = one.df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+    v = {r.source_name: r.message for r in validate_feeds(one.df, sources=one.sources).collect()}
+    assert v["delta"] == "VALIDATION FAILED [delta]: No records found!"
