@@ -28,6 +28,7 @@ from feedlake.operators import (
     duplicate_keys,
     enrich,
     feed_counts,
+    feed_totals,
     null_profile,
     numeric_profile,
     pipeline_summary,
@@ -221,6 +222,11 @@ def q_profile_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(_feed(spark, sf_dir)).categories
 
 
+def q_combined_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Total rows and (source, feed_date) partitions of the combined data."""
+    return feed_totals(process(_feed(spark, sf_dir), ingestion_timestamp=RUN_TS))
+
+
 def q_pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline_summary(validate_feeds(_feed(spark, sf_dir)))
 
@@ -252,6 +258,7 @@ QUERIES: dict[str, Query] = {
     "profile_scores": q_profile_scores,
     "profile_date_formats": q_profile_date_formats,
     "profile_categories": q_profile_categories,
+    "combined_totals": q_combined_totals,
 }
 
 
@@ -554,4 +561,8 @@ FROM processed""",
     "profile_scores": _quality_score_sql(),
     "profile_date_formats": _date_format_profile_sql(),
     "profile_categories": _category_profile_sql(),
+    "combined_totals": f"""{PROCESSED_CTES}
+SELECT CAST(count(*) AS BIGINT) AS total_rows,
+  CAST(count(DISTINCT (source_name, coalesce(feed_date, ''))) AS BIGINT) AS partitions
+FROM processed""",
 }
