@@ -83,3 +83,40 @@ def price_per_sqft(price: Column | str, sqft: Column | str) -> Column:
     """``round(price / sqft, 2)`` when sqft is known and positive, else null."""
     p, s = _c(price), _c(sqft)
     return F.when(s.isNotNull() & (s > 0), F.round(p / s, 2))
+
+
+_EXACT_LIMIT = 128.0          # values checked exactly: 2**-10 <= x < 128
+_TINY = 2.0 ** -10            # below this, 0 at up to 2 decimals
+
+
+def round_half_even_exact(col: Column | str, ndigits: int = 1) -> Column:
+    """Python's ``round(x, ndigits)`` for doubles ``0 <= x < 128``.
+
+    Python rounds the exact binary value to the nearest ``ndigits`` decimal,
+    ties to even; Spark's ``round`` goes half up on the shortest decimal text
+    (``round(0.35, 1)`` is 0.3 in Python, 0.4 in Spark). Percentages and
+    scores are checked exactly in 64-bit integers: with ``K = 52 -
+    floor(log2 x)`` the product ``X = x * 2**K`` is the integer mantissa,
+    ``k = floor(10**n * x)`` is ``(10**n * X) >> K``, and ``x`` against the
+    midpoint ``(2k+1) / (2 * 10**n)`` is ``2 * 10**n * X`` against
+    ``(2k+1) << K`` (all below 2**62). Outside the range: ``bround``.
+    """
+    if ndigits not in (0, 1, 2):
+        raise ValueError("ndigits must be 0, 1 or 2")
+    x = _c(col).cast("double")
+    scale = 10 ** ndigits
+    k0 = F.lit(52) - F.floor(F.log2(x)).cast("int")
+    x0 = x * F.pow(F.lit(2.0), k0)
+    shift = (F.when(x0 >= float(2 ** 53), k0 - 1)
+              .when(x0 < float(2 ** 52), k0 + 1)
+              .otherwise(k0)).cast("int")
+    mant = (x * F.pow(F.lit(2.0), shift)).cast("long")
+    k = F.call_function("shiftright", mant * scale, shift)
+    unit = F.call_function("shiftleft", F.lit(1).cast("long"), shift)
+    cmp = mant * (2 * scale) - (k * 2 + 1) * unit
+    up = F.when(cmp > 0, True).when(cmp < 0, False).otherwise(k % 2 == 1)
+    exact = F.when(up, k + 1).otherwise(k).cast("double") / scale
+    in_range = (x >= _TINY) & (x < _EXACT_LIMIT)
+    return (F.when(in_range, exact)
+             .when((x >= 0) & (x < _TINY), F.lit(0.0))
+             .otherwise(F.bround(x, ndigits)))

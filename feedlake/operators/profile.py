@@ -26,6 +26,7 @@ from feedlake.functions import (
     strip,
 )
 from feedlake.functions.dates import with_date_format_bucket
+from feedlake.functions.numbers import round_half_even_exact
 from feedlake.operators.dedupe import duplicate_count
 
 ColumnsBySource = Mapping[str, Sequence[str]]
@@ -180,7 +181,8 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None,
     arr = F.array(*[F.struct(F.lit(c).alias("column_name"),
                              F.col(_metric("empty", c)).cast("long").alias("empty_count"))
                     for c in cols])
-    pct = F.round(F.col("empty_count") / F.col("rows") * 100, 1)
+    # Python's round on the exact value (half even), as the original report.
+    pct = round_half_even_exact(F.col("empty_count") / F.col("rows") * 100, 1)
     out = (m.select(C.SOURCE_COL, "rows", F.inline(arr))
             .where(F.col("empty_count") > 0)
             .withColumn("pct", pct)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import config as C
+from feedlake.functions.numbers import round_half_even_exact
 from feedlake.operators.profile import (
     ColumnsBySource,
     missing_column_count,
@@ -97,11 +98,12 @@ def quality_scores(df: DataFrame, columns_by_source: ColumnsBySource | None = No
 
 
 def quality_overall(scores: DataFrame) -> DataFrame:
-    """A14 + G8: total rows, mean source score (1 decimal; failed sources
-    count as 0), overall grade and the go / no-go advice. One row."""
+    """A14 + G8: total rows, mean source score (1 decimal, Python's
+    rounding; failed sources count as 0), overall grade and the go / no-go
+    advice. One row."""
     agg = scores.agg(F.sum("rows").cast("long").alias("total_rows"),
                      F.count(F.lit(1)).cast("long").alias("sources"),
-                     F.round(F.avg("score"), 1).alias("avg_score"))
+                     round_half_even_exact(F.avg("score"), 1).alias("avg_score"))
     avg = F.col("avg_score")
     advice = (F.when(avg >= C.ADVICE_SAFE_AT, F.lit(C.ADVICE_SAFE))
                .when(avg >= C.ADVICE_REVIEW_AT, F.lit(C.ADVICE_REVIEW))

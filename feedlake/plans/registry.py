@@ -296,6 +296,22 @@ def _round(x: str, n: int) -> str:
     return f"round(CAST({x} AS DECIMAL(38,12)), {n})::DOUBLE"
 
 
+def _py_round(x: str, n: int) -> str:
+    """Python's round(x, n) for 0 <= x < 128, by exact 64-bit arithmetic."""
+    scale = 10 ** n
+    tiny = 2.0 ** -10
+    k0 = f"(52 - CAST(floor(log2({x})) AS INTEGER))"
+    x0 = f"({x} * power(2.0, {k0}))"
+    sh = f"(CASE WHEN {x0} >= {float(2 ** 53)} THEN {k0} - 1 WHEN {x0} < {float(2 ** 52)} THEN {k0} + 1 ELSE {k0} END)"
+    mant = f"CAST({x} * power(2.0, {sh}) AS BIGINT)"
+    k = f"(({mant} * {scale}) >> {sh})"
+    cmp = f"({mant} * {2 * scale} - ({k} * 2 + 1) * (CAST(1 AS BIGINT) << {sh}))"
+    up = f"(CASE WHEN {cmp} > 0 THEN true WHEN {cmp} < 0 THEN false ELSE {k} % 2 = 1 END)"
+    exact = f"(CAST(CASE WHEN {up} THEN {k} + 1 ELSE {k} END AS DOUBLE) / {scale})"
+    return (f"(CASE WHEN {x} >= {tiny} AND {x} < 128 THEN {exact} "
+            f"WHEN {x} >= 0 AND {x} < {tiny} THEN 0.0 ELSE round_even({x}, {n}) END)")
+
+
 def _int_parse(x: str) -> str:
     return f"try_cast({x} AS INTEGER)"
 
@@ -373,7 +389,7 @@ def _null_profile_sql() -> str:
   count(*) FILTER (WHERE {_null_or_empty(c)}) AS empty_count FROM feed GROUP BY source_name"""
              for c in _FEED_DATA_COLUMNS]
     body = "\nUNION ALL\n".join(parts)
-    pct = _round("empty_count / total * 100", 1)
+    pct = _py_round("(empty_count / total * 100)", 1)
     return f"""WITH {FEED_CTE}
 SELECT source_name, column_name, empty_count, {pct} AS pct,
   CASE WHEN {pct} > {C.NULL_PCT_WARN_ABOVE} THEN '{C.ICON_WARN}' ELSE '{C.ICON_INFO}' END AS flag
@@ -442,7 +458,7 @@ FROM scored"""
 
 
 def _quality_overall_sql() -> str:
-    avg = _round("avg(score)", 1)
+    avg = _py_round("avg(score)", 1)
     return f"""{_SCORE_BASE}
 SELECT CAST(sum(rows) AS BIGINT) AS total_rows, CAST(count(*) AS BIGINT) AS sources,
   {avg} AS avg_score, {_GRADE.format(s=avg)} AS grade,

@@ -165,3 +165,34 @@ def test_staged_forms_match_column_forms(ansi_spark):
         assert r.staged == r.direct, r.v
         assert r.staged_label == r.direct_label, r.v
         assert r.direct == _strptime_reference(r.v), r.v
+
+
+def test_round_half_even_exact_matches_python(spark):
+    from feedlake.functions.numbers import round_half_even_exact
+
+    pairs = [(n, t) for t in (1, 3, 7, 8, 16, 20, 40, 41, 97, 200, 400, 1000, 4096, 60000)
+             for n in range(0, t + 1, max(1, t // 97))]
+    values = sorted({n / t * 100 for n, t in pairs} | {0.25, 0.35, 12.25, 12.75, 90.5, 94.45, 99.95})
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for nd in (0, 1, 2):
+        got = df.select("x", round_half_even_exact("x", nd).alias("r")).collect()
+        for r in got:
+            assert r.r == round(r.x, nd), (r.x, nd)
+
+
+def test_round_half_even_exact_random_and_near_ties(ansi_spark):
+    import math
+    import random
+
+    from feedlake.functions.numbers import round_half_even_exact
+
+    rng = random.Random(7)
+    values = [rng.uniform(0, 128) for _ in range(3000)] + [rng.uniform(0, 1) for _ in range(1000)]
+    for j in range(0, 2560):
+        t = (2 * j + 1) / 200
+        values += [t, math.nextafter(t, 0), math.nextafter(t, 200)]
+    values = [v for v in values if 0 <= v < 128]
+    df = ansi_spark.createDataFrame([(v,) for v in values], "x double")
+    for nd in (1, 2):
+        for r in df.select("x", round_half_even_exact("x", nd).alias("r")).collect():
+            assert r.r == round(r.x, nd), (r.x, nd)
