@@ -267,8 +267,10 @@ def value_counts(df: DataFrame, categorical: Sequence[str] = C.CATEGORICAL_COLUM
     if not cells:
         return df.select(C.SOURCE_COL).where(F.lit(False))
     long = df.select(C.SOURCE_COL, F.inline(F.array(*cells))).where("_owned")
-    labelled = with_date_format_bucket(long, "value", "_fmt", extended)
     is_date = F.col("kind") == "date"
+    # Only date cells go through the classifier (others are null there: no regex).
+    labelled = with_date_format_bucket(long.withColumn("_dv", F.when(is_date, F.col("value"))),
+                                       "_dv", "_fmt", extended)
     keyed = labelled.select(
         C.SOURCE_COL, "kind", "column_name",
         F.when(is_date, strip(F.col("value"))).otherwise(F.col("value")).alias("value"),
