@@ -37,7 +37,13 @@ from feedlake.operators.profile import (
     value_counts,
 )
 from feedlake.session import ensure_checkpoint_dir
-from feedlake.sinks import read_feed_table, register_table, write_combined, write_sources
+from feedlake.sinks import (
+    add_table_partitions,
+    read_feed_table,
+    register_table,
+    write_combined,
+    write_sources,
+)
 from feedlake.streaming.incremental import date_filter
 
 log = logging.getLogger(__name__)
@@ -152,7 +158,12 @@ def run_etl(df: DataFrame, out_root: str, sources: Sequence[str] | None = None,
     write_combined(stored, combined_path, overwrite=overwrite)
     counts = None
     if table:
-        register_table(spark, table, combined_path, processed.schema)
+        if keep is not None and spark.catalog.tableExists(table):
+            # Incremental run: name only the folders just written (no full listing).
+            add_table_partitions(spark, table, stored)
+            spark.catalog.refreshTable(table)
+        else:
+            register_table(spark, table, combined_path, processed.schema)
         counts = spark.sql(Q1_SQL.format(table=table))
     totals = feed_totals(read_feed_table(spark, combined_path, processed.schema))
     return EtlResult(validation, summary, sources_path, combined_path, table, counts, totals)

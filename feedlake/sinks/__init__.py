@@ -1,6 +1,7 @@
 """Sinks: partitioned Parquet, table registration, read-back."""
 
 from feedlake.sinks.parquet import (
+    add_table_partitions,
     read_feed_table,
     register_table,
     write_combined,
@@ -8,4 +9,4 @@ from feedlake.sinks.parquet import (
     write_sources,
 )
 
-__all__ = ["read_feed_table", "register_table", "write_combined", "write_feed", "write_sources"]
+__all__ = ["add_table_partitions", "read_feed_table", "register_table", "write_combined", "write_feed", "write_sources"]

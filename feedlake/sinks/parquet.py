@@ -90,3 +90,38 @@ def register_table(spark: SparkSession, name: str, path: str, schema: T.StructTy
               f"LOCATION '{location}'")
     spark.sql(f"MSCK REPAIR TABLE {name}")
     return name
+
+
+# Partitions added per statement by add_table_partitions (the list is collected).
+MAX_PARTITIONS_PER_RUN = 100_000
+
+
+def _sql_text(value) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def add_table_partitions(spark: SparkSession, name: str, written: DataFrame,
+                         partition_by: Sequence[str] = ("feed_date", C.SOURCE_COL)) -> int:
+    """K3 for an incremental run: register only the partitions just written.
+
+    ``written`` is the frame that was written (or any frame with the partition
+    columns); its distinct partition values (one row per written folder,
+    checked against a bound) become one ``ALTER TABLE ... ADD IF NOT EXISTS``
+    statement. A full ``MSCK REPAIR TABLE`` would list every folder of the
+    table on each run. Returns the number of partitions named.
+    """
+    if not _IDENT.match(name):
+        raise ValueError(f"not a plain table name: {name!r}")
+    cols = list(partition_by)
+    rows = (written.select(*cols).distinct().limit(MAX_PARTITIONS_PER_RUN + 1).collect())
+    if len(rows) > MAX_PARTITIONS_PER_RUN:
+        spark.sql(f"MSCK REPAIR TABLE {name} ADD PARTITIONS")
+        return len(rows)
+    specs = []
+    for r in rows:
+        if any(r[c] is None for c in cols):
+            continue  # the null folder is found by a full repair only
+        specs.append("PARTITION (" + ", ".join(f"`{c}` = {_sql_text(r[c])}" for c in cols) + ")")
+    if specs:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(specs))
+    return len(specs)

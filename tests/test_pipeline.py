@@ -180,3 +180,32 @@ def test_single_scan_reader_matches_per_source_reads(spark, tmp_dir):
     assert plan.count("FileScan csv") == 1
     v = {r.source_name: r.message for r in validate_feeds(one.df, sources=one.sources).collect()}
     assert v["delta"] == "VALIDATION FAILED [delta]: No records found!"
+
+
+def test_add_table_partitions_registers_only_new_folders(spark, tmp_dir):
+    from feedlake.sinks import add_table_partitions, register_table, write_combined
+
+    schema = "id string, feed_date string, source_name string"
+    first = spark.createDataFrame([("a", "2025-01-06", "s1"), ("b", "2025-01-06", "s'2")], schema)
+    path = os.path.join(tmp_dir, "tbl")
+    write_combined(first, path)
+    register_table(spark, "inc_tbl", path, first.schema)
+    assert spark.table("inc_tbl").count() == 2
+    new = spark.createDataFrame([("c", "2025-01-07", "s1")], schema)
+    write_combined(new, path)
+    assert spark.table("inc_tbl").count() == 2          # folder exists, table does not know it
+    assert add_table_partitions(spark, "inc_tbl", new) == 1
+    spark.catalog.refreshTable("inc_tbl")
+    got = sorted((r.id, r.feed_date, r.source_name) for r in spark.table("inc_tbl").collect())
+    assert got == [("a", "2025-01-06", "s1"), ("b", "2025-01-06", "s'2"), ("c", "2025-01-07", "s1")]
+
+
+def test_incremental_etl_keeps_table_whole(spark, tmp_dir):
+    sources = make_feeds(tmp_dir)
+    feeds = read_feed_root(spark, tmp_dir, sources[:3])
+    out = os.path.join(tmp_dir, "out")
+    run_etl(feeds.df, out, ingestion_timestamp="t", table="inc_etl", dates=["2025-01-06"])
+    assert spark.table("inc_etl").count() == 4
+    res = run_etl(feeds.df, out, ingestion_timestamp="t", table="inc_etl", dates=["2025-01-07"])
+    assert [tuple(r) for r in res.counts.collect()] == [
+        ("alpha", "2025-01-06", 2), ("alpha", "2025-01-07", 1), ("beta", "2025-01-06", 2)]
