@@ -101,9 +101,13 @@ def test_dynamic_overwrite_keeps_other_dates(spark, tmp_dir):
     got = sorted(tuple(r) for r in read_feed_table(spark, path, partition_by=("feed_date",))
                  .select("id", "feed_date", "v").collect())
     assert got == [("a", "2025-01-06", 1), ("c", "2025-01-07", 3)]
-    before = sorted(os.listdir(os.path.join(path, "feed_date=2025-01-06")))
+    def files(folder):
+        d = os.path.join(path, folder)
+        return sorted((n, os.stat(os.path.join(d, n)).st_size, os.stat(os.path.join(d, n)).st_mtime_ns)
+                      for n in os.listdir(d))
+    before = files("feed_date=2025-01-06")
     write_feed(spark.createDataFrame([("d", "2025-01-07", 4)], "id string, feed_date string, v int"), path)
-    assert sorted(os.listdir(os.path.join(path, "feed_date=2025-01-06"))) == before
+    assert files("feed_date=2025-01-06") == before
     write_feed(spark.createDataFrame([("e", "2025-01-08", 5)], "id string, feed_date string, v int"),
                path, overwrite="static")
     assert [r.id for r in read_feed_table(spark, path, partition_by=("feed_date",)).collect()] == ["e"]
@@ -209,3 +213,18 @@ def test_incremental_etl_keeps_table_whole(spark, tmp_dir):
     res = run_etl(feeds.df, out, ingestion_timestamp="t", table="inc_etl", dates=["2025-01-07"])
     assert [tuple(r) for r in res.counts.collect()] == [
         ("alpha", "2025-01-06", 2), ("alpha", "2025-01-07", 1), ("beta", "2025-01-06", 2)]
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    from feedlake.__main__ import main
+
+    make_feeds(tmp_dir)
+    report = os.path.join(tmp_dir, "report")
+    assert main(["profile", tmp_dir, "--sources", "alpha,beta,gamma", "--report", report]) == 0
+    assert spark.read.parquet(os.path.join(report, "scores")).count() == 3
+    out = os.path.join(tmp_dir, "out")
+    assert main(["etl", tmp_dir, out, "--sources", "alpha,beta,gamma", "--table", "cli_tbl"]) == 0
+    assert spark.table("cli_tbl").count() == 5
+    assert main(["q1", os.path.join(out, "combined")]) == 0
+    printed = capsys.readouterr().out
+    assert "VALIDATION FAILED [gamma]: 1 null property IDs!" in printed
