@@ -296,6 +296,21 @@ def date_formats_from_values(values: DataFrame) -> DataFrame:
                        F.min("value").alias("sample_value")))
 
 
+def date_samples(values: DataFrame, k: int = 3) -> DataFrame:
+    """L4 from :func:`value_counts`: per (source, date column) the ``k``
+    smallest non-blank texts, with their format; ``sample_rank`` 1..k. The
+    top-k keeps at most ``k`` rows per group from each task before the shuffle.
+    """
+    from feedlake.operators.topk import top_k_per_group
+
+    texts = values.where((F.col("kind") == "date") & F.col("value").isNotNull()
+                         & (F.col("value") != ""))
+    return (top_k_per_group(texts, [C.SOURCE_COL, "column_name"], [F.col("value").asc()], k,
+                            rank_col="sample_rank")
+            .select(C.SOURCE_COL, "column_name", F.col("value").alias("sample_value"),
+                    "date_format", "sample_rank"))
+
+
 def schema_check_for_sources(sources: DataFrame, columns: Sequence[str],
                              expected: Sequence[str] = C.EXPECTED_COLUMNS) -> DataFrame:
     """P15 for the sources listed in ``sources`` (any frame with

@@ -32,6 +32,7 @@ from feedlake.operators import (
 from feedlake.operators.counts import Q1_SQL
 from feedlake.operators.profile import (
     categories_from_values,
+    date_samples,
     date_formats_from_values,
     schema_check_for_sources,
     value_counts,
@@ -112,7 +113,7 @@ def profile(df: DataFrame, columns_by_source: Mapping[str, Sequence[str]] | None
         categories=categories_from_values(values),
         scores=scores,
         overall=quality_overall(scores),
-        extras={"values": values},
+        extras={"values": values, "date_samples": date_samples(values)},
     )
 
 

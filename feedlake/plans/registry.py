@@ -222,6 +222,11 @@ def q_profile_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(_feed(spark, sf_dir)).categories
 
 
+def q_date_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4: the first three date texts per source and date column."""
+    return profile(_feed(spark, sf_dir)).extras["date_samples"]
+
+
 def q_combined_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Total rows and (source, feed_date) partitions of the combined data."""
     return feed_totals(process(_feed(spark, sf_dir), ingestion_timestamp=RUN_TS))
@@ -259,6 +264,7 @@ QUERIES: dict[str, Query] = {
     "profile_date_formats": q_profile_date_formats,
     "profile_categories": q_profile_categories,
     "combined_totals": q_combined_totals,
+    "date_samples": q_date_samples,
 }
 
 
@@ -535,6 +541,23 @@ SELECT source_name, {label} AS label, CAST(count(*) AS BIGINT) AS rows
 FROM feed GROUP BY ALL"""
 
 
+def _date_samples_sql() -> str:
+    body = "\nUNION ALL\n".join(
+        f"SELECT source_name, '{c}' AS column_name, {c} AS value FROM feed"
+        for c in C.DATE_COLUMNS)
+    return f"""WITH {FEED_CTE},
+texts AS (
+  SELECT source_name, column_name, trim(value) AS sample_value,
+    {_date_bucket('value')} AS date_format
+  FROM ({body}) t
+  WHERE value IS NOT NULL AND trim(value) <> ''
+  GROUP BY ALL)
+SELECT source_name, column_name, sample_value, date_format,
+  CAST(row_number() OVER (PARTITION BY source_name, column_name ORDER BY sample_value) AS INTEGER) AS sample_rank
+FROM texts
+QUALIFY sample_rank <= 3"""
+
+
 def _processed_rows_sql() -> str:
     return f"""{PROCESSED_CTES}
 SELECT * FROM processed"""
@@ -581,4 +604,5 @@ FROM processed""",
 SELECT CAST(count(*) AS BIGINT) AS total_rows,
   CAST(count(DISTINCT (source_name, coalesce(feed_date, ''))) AS BIGINT) AS partitions
 FROM processed""",
+    "date_samples": _date_samples_sql(),
 }

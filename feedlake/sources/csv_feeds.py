@@ -53,8 +53,9 @@ def source_paths(root: str, sources: Sequence[str] = C.DEFAULT_SOURCES) -> dict[
 
 
 def _csv_reader(spark: SparkSession, schema: T.StructType | None):
+    # Spark's CSV defaults otherwise (comma, double-quote quoting, backslash escape).
     reader = (spark.read.option("header", "true").option("mode", "PERMISSIVE")
-              .option("sep", ",").option("quote", '"').option("escape", '"'))
+              .option("sep", ",").option("quote", '"'))
     if schema is not None:
         # A header that disagrees with the schema fails the read instead of
         # being taken by position.
