@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import csv
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -28,6 +29,9 @@ from feedlake.operators.combine import combine_sources
 
 log = logging.getLogger(__name__)
 
+# Concurrent first-line reads when checking headers file by file.
+HEADER_READ_THREADS = 16
+
 
 @dataclass
 class FeedSet:
@@ -90,8 +94,8 @@ def file_headers(spark: SparkSession, files: Sequence[str]) -> dict[str, tuple[s
     """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    out: dict[str, tuple[str, ...] | None] = {}
-    for f in files:
+
+    def first_line(f: str) -> tuple[str, ...] | None:
         path = jvm.org.apache.hadoop.fs.Path(f)
         stream = path.getFileSystem(conf).open(path)
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
@@ -101,8 +105,11 @@ def file_headers(spark: SparkSession, files: Sequence[str]) -> dict[str, tuple[s
                 line = reader.readLine()
         finally:
             reader.close()
-        out[f] = None if line is None else tuple(next(csv.reader([line])))
-    return out
+        return None if line is None else tuple(next(csv.reader([line])))
+
+    # Each read is one short round trip to the file system; overlap them.
+    with ThreadPoolExecutor(max_workers=HEADER_READ_THREADS) as pool:
+        return dict(zip(files, pool.map(first_line, files)))
 
 
 def read_feed_strict(spark: SparkSession, path: str | Sequence[str], source_name: str) -> DataFrame:
