@@ -30,6 +30,7 @@ from feedlake.operators import (
     validate_feeds,
 )
 from feedlake.operators.counts import Q1_SQL
+from feedlake.operators.validate import MAX_INLINE_SOURCES
 from feedlake.operators.profile import (
     categories_from_values,
     date_samples,
@@ -128,18 +129,41 @@ class EtlResult:
     totals: DataFrame | None = None
 
 
+def quality_gate(df: DataFrame, min_score: float,
+                 columns_by_source: Mapping[str, Sequence[str]] | None = None) -> dict[str, str]:
+    """Sources whose quality score is below ``min_score``, with the reason.
+
+    One aggregation; the result has one row per failing source and is
+    collected with a bound (the number of sources).
+    """
+    scores = quality_scores(df, columns_by_source)
+    low = (scores.where(F.col("score") < min_score).select(C.SOURCE_COL, "score")
+           .limit(MAX_INLINE_SOURCES + 1).collect())
+    if len(low) > MAX_INLINE_SOURCES:
+        raise ValueError(f"more than {MAX_INLINE_SOURCES} sources below the quality gate")
+    return {r[0]: f"QUALITY GATE [{r[0]}]: score {r[1]} below {min_score:g}" for r in low}
+
+
 def run_etl(df: DataFrame, out_root: str, sources: Sequence[str] | None = None,
             errors: Mapping[str, str] | None = None, ingestion_timestamp: str | None = None,
             dates: Sequence[str] | F.Column | None = None, table: str | None = None,
-            overwrite: str = "dynamic") -> EtlResult:
+            overwrite: str = "dynamic", min_score: float | None = None,
+            columns_by_source: Mapping[str, Sequence[str]] | None = None) -> EtlResult:
     """G9 after profiling: validate, process, store per source (K1), combine
     (K2) from the stored rows, register the table (K3) and run Q1.
 
     ``dates`` limits the write to those normalised feed dates (I1); the
     dedupe still sees all rows of a source, so the stored rows equal those
     of a full run. With ``overwrite='dynamic'`` other dates are untouched.
+    ``min_score`` (off by default) turns the profiler's advice into a gate:
+    sources scoring below it are recorded as failed and left out.
     """
     spark = df.sparkSession
+    if min_score is not None:
+        gated = quality_gate(df, min_score, columns_by_source)
+        if gated:
+            errors = {**dict(errors or {}), **gated}
+            df = df.where(~F.col(C.SOURCE_COL).isin(list(gated)))
     validation = checkpointed(validate_feeds(df, sources, errors))
     summary = pipeline_summary(validation)
     processed = process(df, validation, ingestion_timestamp)

@@ -228,3 +228,15 @@ def test_command_line(spark, tmp_dir, capsys):
     assert main(["q1", os.path.join(out, "combined")]) == 0
     printed = capsys.readouterr().out
     assert "VALIDATION FAILED [gamma]: 1 null property IDs!" in printed
+
+
+def test_quality_gate(spark, tmp_dir):
+    sources = make_feeds(tmp_dir)
+    feeds = read_feed_root(spark, tmp_dir, sources[:3])
+    res = run_etl(feeds.df, os.path.join(tmp_dir, "out"), sources=feeds.sources,
+                  ingestion_timestamp="t", min_score=80, columns_by_source=feeds.columns)
+    summary = {r.source_name: r.status for r in res.summary.collect()}
+    assert summary["beta"] == "SUCCESS"
+    assert summary["alpha"] == "FAILED: QUALITY GATE [alpha]: score 75 below 80"
+    assert summary["gamma"] == "FAILED: QUALITY GATE [gamma]: score 70 below 80"
+    assert tuple(res.totals.collect()[0]) == (2, 1)
