@@ -42,6 +42,8 @@ HEADLINE = [
     "profile_scores",
     "profile_date_formats",
     "profile_categories",
+    "date_samples",
+    "combined_totals",
     "parquet_roundtrip",
 ]
 
