@@ -240,3 +240,26 @@ def test_quality_gate(spark, tmp_dir):
     assert summary["alpha"] == "FAILED: QUALITY GATE [alpha]: score 75 below 80"
     assert summary["gamma"] == "FAILED: QUALITY GATE [gamma]: score 70 below 80"
     assert tuple(res.totals.collect()[0]) == (2, 1)
+
+
+def test_feed_stream_bookmark_processes_only_new_files(spark, tmp_dir):
+    from feedlake.streaming.incremental import start_feed_stream
+
+    raw = os.path.join(tmp_dir, "raw")
+    _write(raw, "alpha", "Alpha_feed_20250106.csv",
+           [HEADER, _line("A1", "Alpha", "06/01/2025"), _line("A2", "Alpha", "06/01/2025")])
+    out, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt")
+    start_feed_stream(spark, raw, out, ckpt, ingestion_timestamp="t1").awaitTermination(120)
+    day1 = os.path.join(out, "feed_date=2025-01-06", "source_name=alpha")
+    files_day1 = sorted(os.listdir(day1))
+    # nothing new: the bookmark skips the processed file
+    start_feed_stream(spark, raw, out, ckpt, ingestion_timestamp="t2").awaitTermination(120)
+    assert sorted(os.listdir(day1)) == files_day1
+    # a new daily file: only its partition is written
+    _write(raw, "alpha", "Alpha_feed_20250107.csv",
+           [HEADER, _line("A3", "Alpha", "07/01/2025")])
+    start_feed_stream(spark, raw, out, ckpt, ingestion_timestamp="t3").awaitTermination(120)
+    assert sorted(os.listdir(day1)) == files_day1
+    got = sorted((r.property_id, r.feed_date, r.ingestion_timestamp)
+                 for r in read_feed_table(spark, out).collect())
+    assert got == [("A1", "2025-01-06", "t1"), ("A2", "2025-01-06", "t1"), ("A3", "2025-01-07", "t3")]
