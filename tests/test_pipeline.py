@@ -263,3 +263,17 @@ def test_feed_stream_bookmark_processes_only_new_files(spark, tmp_dir):
     got = sorted((r.property_id, r.feed_date, r.ingestion_timestamp)
                  for r in read_feed_table(spark, out).collect())
     assert got == [("A1", "2025-01-06", "t1"), ("A2", "2025-01-06", "t1"), ("A3", "2025-01-07", "t3")]
+
+
+def test_declared_schema_rejects_reordered_header(spark, tmp_dir):
+    import pytest as _pytest
+
+    from feedlake.sources import read_feed_scan
+    from feedlake.streaming.incremental import raw_feed_schema
+
+    cols = list(C.EXPECTED_COLUMNS)
+    reordered = [cols[1], cols[0]] + cols[2:]
+    _write(tmp_dir, "reo", "a.csv", [",".join(reordered), _line("R1", "Reo", "2025-01-06")])
+    feeds = read_feed_scan(spark, tmp_dir, raw_feed_schema(), ["reo"])
+    with _pytest.raises(Exception, match="(?i)header|schema"):
+        feeds.df.collect()
