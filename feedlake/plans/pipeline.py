@@ -6,6 +6,7 @@ import logging
 import os
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,31 +76,49 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 @dataclass
 class Profile:
-    """G7 for all sources: report frames, each derived without a rescan where
-    possible (``metrics`` is checkpointed once)."""
+    """G7 for all sources: report frames derived without rescans.
+
+    ``metrics`` (one row per source) is checkpointed when the profile is
+    built. The per-value counts behind ``dates``, ``categories`` and
+    ``date_samples`` are checkpointed on first use, so a caller reading only
+    the scores pays for one raw pass.
+    """
 
     metrics: DataFrame
     stats: DataFrame
     schema: DataFrame
     duplicates: DataFrame
     numeric: DataFrame
-    dates: DataFrame
     nulls: DataFrame
-    categories: DataFrame
     scores: DataFrame
     overall: DataFrame
+    value_plan: DataFrame
     extras: dict = field(default_factory=dict)
 
+    @cached_property
+    def values(self) -> DataFrame:
+        return checkpointed(self.value_plan)
+
+    @property
+    def dates(self) -> DataFrame:
+        return date_formats_from_values(self.values)
+
+    @property
+    def categories(self) -> DataFrame:
+        return categories_from_values(self.values)
+
+    @property
+    def date_samples(self) -> DataFrame:
+        return date_samples(self.values)
+
 
 def profile(df: DataFrame, columns_by_source: Mapping[str, Sequence[str]] | None = None,
             errors: Mapping[str, str] | None = None, extended_dates: bool = False) -> Profile:
-    """Profile every source in three passes over the raw data: the
-    per-source metrics and the per-value counts (both small, checkpointed
-    once) and the duplicate-key sample. Every other frame is reshaped from
-    those two results."""
+    """Profile every source in at most three passes over the raw data: the
+    per-source metrics (checkpointed now), the per-value counts (checkpointed
+    on first use) and the duplicate-key sample. Every other frame is
+    reshaped from those results."""
     metrics = checkpointed(source_metrics(df))
-    values = checkpointed(value_counts(df, extended=extended_dates,
-                                       columns_by_source=columns_by_source))
     scores = quality_scores(df, columns_by_source, errors, metrics=metrics)
     schema = (schema_check(df, columns_by_source) if columns_by_source else
               schema_check_for_sources(metrics, [c for c in df.columns if c != C.SOURCE_COL]))
@@ -109,12 +128,10 @@ def profile(df: DataFrame, columns_by_source: Mapping[str, Sequence[str]] | None
         schema=schema,
         duplicates=duplicate_keys(df),
         numeric=numeric_profile(df, columns_by_source=columns_by_source, metrics=metrics),
-        dates=date_formats_from_values(values),
         nulls=null_profile(df, columns_by_source=columns_by_source, metrics=metrics),
-        categories=categories_from_values(values),
         scores=scores,
         overall=quality_overall(scores),
-        extras={"values": values, "date_samples": date_samples(values)},
+        value_plan=value_counts(df, extended=extended_dates, columns_by_source=columns_by_source),
     )
 
 

@@ -224,7 +224,7 @@ def q_profile_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_date_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L4: the first three date texts per source and date column."""
-    return profile(_feed(spark, sf_dir)).extras["date_samples"]
+    return profile(_feed(spark, sf_dir)).date_samples
 
 
 def q_combined_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
