@@ -6,7 +6,8 @@ from feedlake.sinks.parquet import (
     register_table,
     write_combined,
     write_feed,
+    write_source_folders,
     write_sources,
 )
 
-__all__ = ["add_table_partitions", "read_feed_table", "register_table", "write_combined", "write_feed", "write_sources"]
+__all__ = ["add_table_partitions", "read_feed_table", "register_table", "write_combined", "write_feed", "write_source_folders", "write_sources"]

@@ -125,3 +125,22 @@ def add_table_partitions(spark: SparkSession, name: str, written: DataFrame,
     if specs:
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(specs))
     return len(specs)
+
+
+def write_source_folders(df: DataFrame, root: str, sources: Sequence[str],
+                         overwrite: str = "dynamic") -> list[str]:
+    """K1 in the one-folder-per-source layout: ``{root}/{source}/processed/``
+    partitioned by ``feed_date``, for each source in ``sources``.
+
+    One write per source (the list is the registry, not data). Pass the
+    stored per-source table (partitioned by ``source_name``) so each write
+    reads only its own partition folders. Returns the paths written.
+    """
+    base = root.rstrip("/")
+    paths = []
+    for s in dict.fromkeys(sources):
+        path = f"{base}/{s}/processed"
+        one = df.where(F.col(C.SOURCE_COL) == s)
+        write_feed(one, path, ("feed_date",), overwrite=overwrite)
+        paths.append(path)
+    return paths

@@ -277,3 +277,19 @@ def test_declared_schema_rejects_reordered_header(spark, tmp_dir):
     feeds = read_feed_scan(spark, tmp_dir, raw_feed_schema(), ["reo"])
     with _pytest.raises(Exception, match="(?i)header|schema"):
         feeds.df.collect()
+
+
+def test_source_folder_layout(spark, tmp_dir):
+    from feedlake.sinks import write_source_folders
+
+    sources = make_feeds(tmp_dir)
+    feeds = read_feed_root(spark, tmp_dir, sources[:3])
+    res = run_etl(feeds.df, os.path.join(tmp_dir, "out"), sources=feeds.sources, ingestion_timestamp="t")
+    stored = read_feed_table(spark, res.sources_path, partition_by=(C.SOURCE_COL, "feed_date"))
+    root = os.path.join(tmp_dir, "per-source")
+    write_source_folders(stored, root, ["alpha", "beta"])
+    folders = sorted(n for n in os.listdir(os.path.join(root, "alpha", "processed"))
+                     if n.startswith("feed_date="))
+    assert folders == ["feed_date=2025-01-06", "feed_date=2025-01-07"]
+    alpha = read_feed_table(spark, os.path.join(root, "alpha", "processed"), partition_by=("feed_date",))
+    assert alpha.count() == 3 and C.SOURCE_COL in alpha.columns
