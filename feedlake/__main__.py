@@ -1,7 +1,7 @@
 """Command line: the two batch jobs and the published query.
 
-    python -m feedlake profile ROOT [--sources a,b] [--report OUT]
-    python -m feedlake etl ROOT OUT [--sources a,b] [--dates d1,d2] [--table NAME]
+    python -m feedlake profile ROOT [--sources a,b] [--report OUT] [--extended-dates]
+    python -m feedlake etl ROOT OUT [--sources a,b] [--dates d1,d2] [--table NAME] [--min-score S]
     python -m feedlake q1 COMBINED_PATH
 
 ``ROOT`` holds ``{source}/raw-data/*.csv``. ``profile`` shows the scores and
@@ -32,6 +32,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--sources")
     p.add_argument("--report", help="folder for the report frames (Parquet)")
     p.add_argument("--strict-header", action="store_true")
+    p.add_argument("--extended-dates", action="store_true", help="also label DD-MM-YYYY")
     e = sub.add_parser("etl", help="validate, clean, dedupe, enrich, store, combine")
     e.add_argument("root")
     e.add_argument("out")
@@ -39,6 +40,7 @@ def main(argv: list[str] | None = None) -> int:
     e.add_argument("--dates", help="comma list of clean feed dates to (re)load")
     e.add_argument("--table", help="register the combined output under this name")
     e.add_argument("--strict-header", action="store_true")
+    e.add_argument("--min-score", type=float, help="leave out sources scoring below this")
     q = sub.add_parser("q1", help="rows per source and day of a combined table")
     q.add_argument("combined")
     args = parser.parse_args(argv)
@@ -56,7 +58,7 @@ def main(argv: list[str] | None = None) -> int:
         print(f"no readable source: {feeds.errors}", file=sys.stderr)
         return 1
     if args.command == "profile":
-        report = profile(feeds.df, feeds.columns, feeds.errors)
+        report = profile(feeds.df, feeds.columns, feeds.errors, extended_dates=args.extended_dates)
         report.scores.orderBy(C.SOURCE_COL).show(10_000, truncate=False)
         report.overall.show(truncate=False)
         if args.report:
@@ -70,7 +72,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     dates = [d for d in (args.dates or "").split(",") if d] or None
     result = run_etl(feeds.df, args.out, sources=feeds.sources, errors=feeds.errors,
-                     dates=dates, table=args.table)
+                     dates=dates, table=args.table, min_score=args.min_score,
+                     columns_by_source=feeds.columns)
     result.summary.orderBy(C.SOURCE_COL).show(10_000, truncate=False)
     if result.counts is not None:
         result.counts.show(10_000, truncate=False)

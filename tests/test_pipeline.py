@@ -225,6 +225,8 @@ def test_command_line(spark, tmp_dir, capsys):
     out = os.path.join(tmp_dir, "out")
     assert main(["etl", tmp_dir, out, "--sources", "alpha,beta,gamma", "--table", "cli_tbl"]) == 0
     assert spark.table("cli_tbl").count() == 5
+    gated = os.path.join(tmp_dir, "gated")
+    assert main(["etl", tmp_dir, gated, "--sources", "alpha,beta,gamma", "--min-score", "80"]) == 0
     assert main(["q1", os.path.join(out, "combined")]) == 0
     printed = capsys.readouterr().out
     assert "VALIDATION FAILED [gamma]: 1 null property IDs!" in printed
