@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 import os
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,7 +93,6 @@ class Profile:
     scores: DataFrame
     overall: DataFrame
     value_plan: DataFrame
-    extras: dict = field(default_factory=dict)
 
     @cached_property
     def values(self) -> DataFrame:
