@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from feedlake.llm.common import read
 from feedlake.llm.mixing import mix
 from feedlake.llm.sharding import shard_documents
+from feedlake.llm.substring_dedup import substring_dedup
+from feedlake.llm.suffix_dedup import suffix_dedup
 
 
 def op1_shard_minimax(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,9 +24,19 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(read(spark, sf_dir, "documents"))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard_minimax": op1_shard_minimax,
     "op2_mix_sources": op2_mix_sources,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -306,10 +306,12 @@ def _decide(kind: Kind, by_order: bool, compare: Callable[[Pile], Verdict], n_bu
                  pa.array((b - a + kind.length).astype(np.int32)), pa.nulls(len(a), pa.binary())], schema=schema)
         split = col["chunks"][row] > 1
         if split.any():
-            # One entry for each distinct window: of its first text by order.
+            # An entry for each distinct window, of its first text by order, and
+            # for each window that other chunks may still mark.
             index = np.flatnonzero(split)
             index = index[np.lexsort((col["rep"][row[index]], same[window[index]]))]
-            index = index[np.concatenate([[True], same[window[index]][1:] != same[window[index]][:-1]])]
+            group = same[window[index]]
+            index = index[np.concatenate([[True], group[1:] != group[:-1]]) | ~marked[index]]
             left = np.zeros(len(index), _LEFT)
             for j, i in enumerate(index.tolist()):
                 r, s = row[i], int(step[i])
