@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm.common import read
+from feedlake.llm.embedding_dedup import embedding_dedup
 from feedlake.llm.mixing import mix
+from feedlake.llm.packing import pack
 from feedlake.llm.sharding import shard_documents
 from feedlake.llm.substring_dedup import substring_dedup
 from feedlake.llm.suffix_dedup import suffix_dedup
@@ -24,6 +27,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(read(spark, sf_dir, "embeddings"))
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(read(spark, sf_dir, "documents"))
 
@@ -32,11 +39,17 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read(spark, sf_dir, "documents"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard_minimax": op1_shard_minimax,
     "op2_mix_sources": op2_mix_sources,
+    "op3_embedding_neardup": op3_embedding_neardup,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_best_fit_packing": op8_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
