@@ -12,6 +12,7 @@ from feedlake.llm.common import read
 from feedlake.llm.embedding_dedup import embedding_dedup
 from feedlake.llm.mixing import mix
 from feedlake.llm.packing import pack
+from feedlake.llm.quality import quality_rules
 from feedlake.llm.sharding import shard_documents
 from feedlake.llm.substring_dedup import substring_dedup
 from feedlake.llm.suffix_dedup import suffix_dedup
@@ -35,6 +36,10 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(read(spark, sf_dir, "documents"))
 
 
+def op6_quality_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_embedding_neardup": op3_embedding_neardup,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op6_quality_line_frequency": op6_quality_line_frequency,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
