@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feedlake.llm.common import read
 from feedlake.llm.embedding_dedup import embedding_dedup
+from feedlake.llm.jaccard_join import jaccard_components
 from feedlake.llm.mixing import mix
 from feedlake.llm.packing import pack
 from feedlake.llm.quality import quality_rules
@@ -36,6 +37,10 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(read(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read(spark, sf_dir, "documents"))
+
+
 def op6_quality_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_sources": op2_mix_sources,
     "op3_embedding_neardup": op3_embedding_neardup,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_quality_line_frequency": op6_quality_line_frequency,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,

@@ -34,7 +34,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-def _codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, and each text's number of words."""
     data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
     word = ~_SPACE[data]
@@ -45,7 +45,7 @@ def _codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_kind(length: int = LENGTH) -> Kind:
-    return Kind(length, max(1, length * 2 // 5), _codes, bytes.split, lambda words, a, b: b" ".join(words[a:b]))
+    return Kind(length, max(1, length * 2 // 5), word_codes, bytes.split, lambda words, a, b: b" ".join(words[a:b]))
 
 
 def _ranks(pairs: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
