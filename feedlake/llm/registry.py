@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feedlake.llm.common import read
 from feedlake.llm.embedding_dedup import embedding_dedup
+from feedlake.llm.html_extract import extract_text
 from feedlake.llm.jaccard_join import jaccard_components
 from feedlake.llm.mixing import mix
 from feedlake.llm.packing import pack
@@ -53,6 +54,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
 
 
+def op9_html_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard_minimax": op1_shard_minimax,
     "op2_mix_sources": op2_mix_sources,
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_line_frequency": op6_quality_line_frequency,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_html_style_tree": op9_html_style_tree,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from feedlake.llm.common import arrow_schema, materialise, shuffle_partitions, text_or_empty
 
 HOT = 4096              # contexts of one anchor that one chunk takes
+BROADCAST_ANCHORS = 200_000  # split anchors that are broadcast, 16 bytes each
 PIECE = 1 << 20         # symbols sampled at once
 PILE_BYTES = 4 << 20    # context bytes compared at once
 _BASE = 0x9E3779B97F4A7C15
@@ -393,8 +394,10 @@ def repeated_spans(texts: DataFrame, kind: Kind, classes: DataFrame, by_order: b
     """
     n = shuffle_partitions(texts.sparkSession)
     found = materialise(candidate_anchors(texts, kind), "anchors")
-    hot = (found.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT)
-                .select("fp", F.ceil(F.col("n") / HOT).cast("int").alias("chunks")))
+    hot = materialise(found.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT)
+                           .select("fp", F.ceil(F.col("n") / HOT).cast("int").alias("chunks")), "split-anchors")
+    if hot.count() <= BROADCAST_ANCHORS:  # else the join shuffles, and AQE splits its hot partitions
+        hot = F.broadcast(hot)
     places = (found.join(hot, "fp", "left").join(classes, "r1")
                    .groupBy("r1", "r2", "rep")
                    .agg(F.collect_set(F.struct("fp", "lo", "hi", F.coalesce("chunks", F.lit(1)).alias("chunks")))
