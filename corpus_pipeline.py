@@ -1,15 +1,84 @@
-"""Corpus pipeline over ``documents``; the stages are added operator by operator."""
+"""Corpus pipeline over ``documents``: quality rules, n-gram Jaccard join,
+suffix-array dedup, mixing to target weights, best-fit packing.
+
+Each stage takes all rows that the stage before kept, as reread from Parquet.
+All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from feedlake.llm import mixing
+from feedlake.llm.common import materialise
+from feedlake.llm.jaccard_join import jaccard_components
+from feedlake.llm.packing import pack
+from feedlake.llm.quality import quality_rules
+from feedlake.llm.suffix_dedup import suffix_dedup
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep, as they are.
+
+    Rows that share an id are kept or dropped together: one rejected row rejects its id.
+    """
+    rejected = quality_rules(docs).where("NOT kept").select(F.col("doc_id").alias("id"))
+    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["id"]), "left_anti")
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates, the document with the smallest id; of rows that
+    repeat that id, one. Documents without words link with nothing and stay."""
+    kept = (jaccard_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .groupBy(F.col("doc_id").alias("id")).agg(F.count(F.lit(1)).alias("n")))
+    kept = materialise(kept, "kept-ids")
+    same = docs["doc_id"].eqNullSafe(kept["id"])
+    return (docs.join(kept.where("n = 1"), same, "left_semi")
+                .unionByName(docs.join(kept.where("n > 1"), same, "left_semi").dropDuplicates(["doc_id"])))
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the byte strings that repeat across them. Characters of which a
+    byte went go whole; documents of which nothing is left go."""
+    cleaned = (suffix_dedup(docs, with_text=True).where("kept_text IS NOT NULL")
+               .select(F.col("doc_id").alias("__id"), F.col("kept_text").alias("__text"))
+               .dropDuplicates(["__id"]))
+    joined = docs.join(cleaned, docs["doc_id"].eqNullSafe(cleaned["__id"]), "left")
+    changed = F.col("__text").isNotNull()
+    return (joined.where(~changed | (F.col("__text") != ""))
+                  .withColumn("text", F.coalesce("__text", "text"))
+                  .withColumn("n_chars", F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+                  .select(*docs.columns))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: not at all, once or twice."""
+    return mixing.mixture(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 1024 tokens and their places in sequences."""
+    return pack(docs, public_tokenizers.path(TOKENIZER)).drop("ids")
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("suffix-array dedup", without_repeats),
+    ("mixing sources", mixture),
+    ("best-fit packing", packed),
+]
 
-STAGES: list = []
+#: Shingle groups, suffix dedup and packing have no SQL form; tests hold the rows against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name.split()[0]}")
     return docs

@@ -70,9 +70,9 @@ def _bucket(level: int) -> Column:
     return F.shiftright("h", 60 - sum(LEVEL_BITS) + below).bitwiseAND((1 << LEVEL_BITS[level]) - 1)
 
 
-def _prefix(level: int) -> Column:
+def _prefix(level: int, h: str = "h") -> Column:
     """The hash without the bits that ``level`` and later levels sum by."""
-    return F.shiftright("h", 60 - sum(LEVEL_BITS[:level]))
+    return F.shiftright(h, 60 - sum(LEVEL_BITS[:level]))
 
 
 def _small(df: DataFrame, n_rows: int) -> DataFrame:
@@ -122,21 +122,46 @@ def thresholds(rows: DataFrame, targets: DataFrame, n_sources: int) -> DataFrame
     return last.select("source", "copies", (F.col("prefix") + take).alias("threshold"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE,
-        max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """``doc_id, size, source_size, target, times, taken`` of every row of ``docs``
-    (``doc_id``, ``source``, ``text``)."""
-    rows = materialise(docs.select(
-        "doc_id", "source", word_count().alias("size"),
-        F.shiftrightunsigned(F.xxhash64("doc_id"), 4).alias("h")), "mix-rows")
+def _hash() -> Column:
+    return F.shiftrightunsigned(F.xxhash64("doc_id"), 4)
+
+
+def _limits(docs: DataFrame, weights: tuple[int, ...], share: float, max_repeats: int) -> tuple[DataFrame, DataFrame]:
+    """Narrow rows ``doc_id, source, size, h`` and, per source ``s``, its size, target and thresholds."""
+    rows = materialise(docs.select("doc_id", "source", word_count().alias("size"), _hash().alias("h")), "mix-rows")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = materialise(source_targets(sizes, weights, share, max_repeats), "mix-targets")
     n_sources = targets.count()
     limits = (targets.alias("t").join(thresholds(rows, targets, n_sources).alias("l"),
                                       F.col("t.source").eqNullSafe(F.col("l.source")))
                      .select(F.col("t.source").alias("s"), "source_size", "target", "copies", "threshold"))
-    times = F.col("copies") + (_prefix(len(LEVEL_BITS)) < F.col("threshold")).cast("int")
-    return (rows.join(_small(limits, n_sources), F.col("source").eqNullSafe(F.col("s")))
-                .withColumn("times", F.least(times, F.lit(max_repeats)).cast("int"))
+    return rows, _small(materialise(limits, "mix-limits"), n_sources)
+
+
+def _times(max_repeats: int, copies: str = "copies", threshold: str = "threshold", h: str = "h") -> Column:
+    """How often the mix takes a document."""
+    times = F.col(copies) + (_prefix(len(LEVEL_BITS), h) < F.col(threshold)).cast("int")
+    return F.least(times, F.lit(max_repeats)).cast("int")
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE,
+        max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """``doc_id, source, size, source_size, target, times, taken`` of every row of ``docs``
+    (``doc_id``, ``source``, ``text``)."""
+    rows, limits = _limits(docs, weights, share, max_repeats)
+    return (rows.join(limits, F.col("source").eqNullSafe(F.col("s")))
+                .withColumn("times", _times(max_repeats))
                 .select("doc_id", "source", "size", "source_size", "target", "times",
                         (F.col("size") * F.col("times")).alias("taken")))
+
+
+def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE,
+            max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """The rows of ``docs``, all columns, as often as the mix takes them. Texts are not shuffled."""
+    names = docs.columns
+    _, limits = _limits(docs, weights, share, max_repeats)
+    limits = limits.select(F.struct("copies", "threshold", F.col("s")).alias("__mix"))
+    return (docs.withColumn("__h", _hash()).join(limits, F.col("source").eqNullSafe(F.col("__mix.s")))
+                .withColumn("__times", _times(max_repeats, "__mix.copies", "__mix.threshold", "__h"))
+                .where("__times > 0")
+                .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*names))

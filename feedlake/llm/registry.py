@@ -18,6 +18,9 @@ from feedlake.llm.quality import quality_rules
 from feedlake.llm.sharding import shard_documents
 from feedlake.llm.substring_dedup import substring_dedup
 from feedlake.llm.suffix_dedup import suffix_dedup
+from feedlake.llm.token_counts import edited_token_counts, sample_edits
+
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_shard_minimax(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,13 +54,18 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
+    return pack(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)).drop("ids")
 
 
 def op9_html_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(read(spark, sf_dir, "pages"))
 
 
+def op10_edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return edited_token_counts(docs.withColumn("edits", sample_edits()), public_tokenizers.path(TOKENIZER))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard_minimax": op1_shard_minimax,
     "op2_mix_sources": op2_mix_sources,
@@ -68,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_substring_dedup": op7_substring_dedup,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_html_style_tree": op9_html_style_tree,
+    "op10_edited_token_counts": op10_edited_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {}

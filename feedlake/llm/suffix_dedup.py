@@ -147,7 +147,16 @@ def equal_windows(pile: Pile, length: int = LENGTH) -> Verdict:
     return repeats, group
 
 
-_KEPT = "r1 long, r2 long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+_KEPT = "r1 long, r2 long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string"
+
+
+def _whole_characters(data: np.ndarray, gone: np.ndarray) -> str:
+    """The text without every character of which a byte goes."""
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    if not len(starts):
+        return ""
+    broken = np.logical_or.reduceat(gone, starts)
+    return data[~np.repeat(broken, np.diff(np.append(starts, len(data))))].tobytes().decode()
 
 
 def _kept(with_text: bool):
@@ -163,7 +172,7 @@ def _kept(with_text: bool):
                 kept = data[~gone].tobytes()
                 edges = np.diff(np.concatenate([[False], gone]).astype(np.int8))
                 rows.append((int(gone.sum()), int((edges > 0).sum()), hashlib.sha256(kept).hexdigest(),
-                             kept if with_text else None))
+                             kept if with_text else None, _whole_characters(data, gone) if with_text else None))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("r1"), batch.column("r2"),
@@ -174,8 +183,8 @@ def _kept(with_text: bool):
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every row of ``docs``
-    (``doc_id``, ``text``), and the remaining bytes as ``kept`` if ``with_text``
-    (null where nothing was removed)."""
+    (``doc_id``, ``text``). ``with_text`` adds, where something was removed, the remaining
+    bytes as ``kept`` and the remaining whole characters as ``kept_text``."""
     texts = keyed(docs)
     rows = materialise(texts.select(
         "doc_id", "r1", "r2", F.octet_length("text").cast("long").alias("n_bytes"),
@@ -193,5 +202,6 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, with_text: bool = False)
                        pick("n_removed", F.col("n_bytes"), F.lit(0)).cast("long").alias("n_removed"),
                        pick("n_spans", F.lit(1), F.lit(0)).cast("long").alias("n_spans"),
                        pick("kept_sha256", F.sha2(F.lit("").cast("binary"), 256), F.col("whole")).alias("kept_sha256"),
-                       F.when(gone, F.lit("").cast("binary")).otherwise(F.col("kept")).alias("kept")))
-    return out if with_text else out.drop("kept")
+                       F.when(gone, F.lit("").cast("binary")).otherwise(F.col("kept")).alias("kept"),
+                       F.when(gone, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text")))
+    return out if with_text else out.drop("kept", "kept_text")
