@@ -48,6 +48,7 @@ LEAF = 256           # points of a large block that one task takes from it at on
 SAMPLE_PART = 50     # one document in so many is sampled for frequent shingles
 SAMPLE_LEAST, SAMPLE_MOST = 5_000, 1_000_000
 FREQUENT_MOST = 65_536
+BROADCAST_TEXTS = 1_000_000  # keys of texts to verify that are broadcast, 24 bytes each
 HOT_BIT = np.uint64(1 << 63)
 
 
@@ -68,15 +69,12 @@ def shingles(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.nd
     return doc[new], hashes[new]
 
 
-def _nodes(n_docs: int, doc: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Size and two hashes of each document's set; they do not depend on the order of its shingles."""
+def _nodes(n_docs: int, doc: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Size and hash of each document's set; the hash does not depend on the order of its shingles."""
     n = np.bincount(doc, minlength=n_docs)
     starts = np.cumsum(n) - n
-    sums = []
-    for h in (scramble(hashes + np.uint64(1)), scramble(hashes * np.uint64(0x9E3779B97F4A7C15) + np.uint64(5))):
-        total = np.concatenate([[np.uint64(0)], np.cumsum(h, dtype=np.uint64)])
-        sums.append(scramble(total[starts + n] - total[starts] + n.astype(np.uint64)).view(np.int64))
-    return n, *sums
+    total = np.concatenate([[np.uint64(0)], np.cumsum(scramble(hashes + np.uint64(1)), dtype=np.uint64)])
+    return n, scramble(total[starts + n] - total[starts] + n.astype(np.uint64)).view(np.int64)
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -85,17 +83,25 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]
         yield part, [t.encode() for t in part.column("text").to_pylist()]
 
 
-_PROFILE = "doc_id long, r1 long, r2 long, n_shingles long, node long, node2 long"
+_PROFILE = "doc_id long, r1 long, r2 long, n_shingles long, node long, point binary"
+
+
+def _points(n_docs: int, doc: np.ndarray, hashes: np.ndarray) -> pa.Array:
+    """Each document's count vector."""
+    group = (scramble(hashes + np.uint64(3)) % np.uint64(GROUPS)).astype(np.int64)
+    points = np.bincount(doc * GROUPS + group, minlength=n_docs * GROUPS).astype(np.int32)
+    return pa.array([points[i * GROUPS:(i + 1) * GROUPS].tobytes() for i in range(n_docs)], pa.binary())
 
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(_PROFILE)
     for batch in batches:
         for part, texts in _slices(batch):
-            n, a, b = _nodes(len(texts), *shingles(texts))
+            doc, h = shingles(texts)
+            n, node = _nodes(len(texts), doc, h)
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in ("doc_id", "r1", "r2")), pa.array(n), pa.array(a), pa.array(b)],
-                schema=schema)
+                [*(part.column(c) for c in ("doc_id", "r1", "r2")), pa.array(n), pa.array(node),
+                 _points(len(texts), doc, h)], schema=schema)
 
 
 def _plain_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +132,7 @@ def _postings(frequent: np.ndarray, percent: int, n_buckets: int):
             tokens, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for _, texts in _slices(batch.take(pa.array(first))):
                 doc, h = shingles(texts)
-                n, node, _ = _nodes(len(texts), doc, h)
+                n, node = _nodes(len(texts), doc, h)
                 if len(frequent):
                     k = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
                     h = np.where(frequent[k] == h, h | HOT_BIT, h)
@@ -199,7 +205,7 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             schema=arrow_schema("block long, leaf int, leaves int, node long"))
 
 
-_SETS = "node long, n int, point binary, shingles binary"
+_SETS = "node long, shingles binary"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,12 +214,9 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _slices(batch):
             doc, h = shingles(texts)
             n = np.bincount(doc, minlength=len(texts))
-            group = (scramble(h + np.uint64(3)) % np.uint64(GROUPS)).astype(np.int64)
-            points = np.bincount(doc * GROUPS + group, minlength=len(texts) * GROUPS).astype(np.int32)
             ends = np.cumsum(n).tolist()
             yield pa.RecordBatch.from_arrays(
-                [part.column("node"), pa.array(n.astype(np.int32)),
-                 pa.array([points[i * GROUPS:(i + 1) * GROUPS].tobytes() for i in range(len(texts))], pa.binary()),
+                [part.column("node"),
                  pa.array([h[e - k:e].tobytes() for e, k in zip(ends, n.tolist(), strict=True)], pa.binary())],
                 schema=schema)
 
@@ -260,8 +263,8 @@ def tree_pairs(points: np.ndarray, n: np.ndarray, percent: int = PERCENT) -> tup
 
 
 def _unit_pairs(spanning: bool, percent: int):
-    """Pairs of one unit's nodes that may link. ``spanning``: one partner for each node; else
-    all whose components differ."""
+    """Pairs of one unit's nodes that may link. ``spanning``: one partner for each node, and
+    each node that may link with any, paired with itself; else all whose components differ."""
     schema = arrow_schema("u long, v long")
 
     def pairs(node: np.ndarray, n: np.ndarray, points: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -273,7 +276,8 @@ def _unit_pairs(spanning: bool, percent: int):
             closeness = bound / (n[i] + n[j])
             order = np.lexsort((-closeness, j))
             order = order[np.concatenate([[True], j[order][1:] != j[order][:-1]])] if len(order) else order
-            i, j = i[order], j[order]
+            may = np.unique(np.concatenate([i, j]))
+            i, j = np.concatenate([i[order], may]), np.concatenate([j[order], may])
         else:
             apart = component[i] != component[j]
             i, j = i[apart], j[apart]
@@ -335,13 +339,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
              .repartition(parts, "bucket").mapInArrow(_blocks, _BLOCKS)
              .dropDuplicates(["block", "leaf"]), "jaccard-blocks")
     members = blocks.mapInArrow(_members, "block long, leaf int, leaves int, node long")
-    wanted = (rows.join(members.select("node").distinct(), "node")
-                  .groupBy("node").agg(F.min(F.struct("r1", "r2")).alias("t")).select("node", "t.r1", "t.r2"))
-    sets = materialise(
-        texts.select("r1", "r2", "text").dropDuplicates(["r1", "r2"])
-             .join(wanted.hint("shuffle_hash"), ["r1", "r2"]).select("node", "text").mapInArrow(_sets, _SETS),
-        "jaccard-sets")
-    points = sets.select("node", "n", "point")
+    points = rows.select("node", F.col("n_shingles").cast("int").alias("n"), "point").dropDuplicates(["node"])
 
     def proposed(units: DataFrame, spanning: bool) -> DataFrame:
         """``units``: ``unit, node, component``."""
@@ -349,12 +347,6 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                      .repartition(parts, "unit").sortWithinPartitions("unit")
                      .mapInArrow(_unit_pairs(spanning, percent), "u long, v long").distinct())
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
-        right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-        return materialise(pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b")
-                                .mapInArrow(_linked(percent), "u long, v long, linked boolean"), name)
-
     # First round: each leaf of a block together with the block's first leaf.
     leaf = F.col("leaf")
     first = (members.where(leaf > 0).unionByName(
@@ -362,7 +354,26 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
              .unionByName(members.where((leaf == 0) & (F.col("leaves") > 1))
                           .withColumn("leaf", F.explode(F.sequence(F.lit(1), F.col("leaves") - 1))))
              .select(F.xxhash64("block", "leaf").alias("unit"), "node", F.col("node").alias("component")))
-    tried = verified(proposed(first, True), "jaccard-first")
+    proposals = materialise(proposed(first, True), "jaccard-proposals")
+    # Sets are needed of nodes that may link; in large blocks that is not known of all pairs yet.
+    may_link = (proposals.where("u = v").select(F.col("u").alias("node"))
+                         .unionByName(members.where(F.col("leaves") > 1).select("node")).distinct())
+    wanted = materialise(rows.join(may_link, "node").groupBy("node").agg(F.min(F.struct("r1", "r2")).alias("t"))
+                             .select("node", "t.r1", "t.r2"), "jaccard-wanted")
+    some = texts.select("r1", "r2", "text")
+    if wanted.count() <= BROADCAST_TEXTS:
+        some = some.join(F.broadcast(wanted), ["r1", "r2"]).dropDuplicates(["node"])
+    else:
+        some = some.dropDuplicates(["r1", "r2"]).join(wanted.hint("shuffle_hash"), ["r1", "r2"])
+    sets = materialise(some.select("node", "text").mapInArrow(_sets, _SETS), "jaccard-sets")
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
+        right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
+        return materialise(pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b")
+                                .mapInArrow(_linked(percent), "u long, v long, linked boolean"), name)
+
+    tried = verified(proposals.where("u < v"), "jaccard-first")
     found = tried.where("linked").select("u", "v")
     groups = materialise(connected_components(found, "jaccard-groups"), "jaccard-groups")
 
