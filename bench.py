@@ -46,6 +46,13 @@ HEADLINE = [
     "date_samples",
     "combined_totals",
     "parquet_roundtrip",
+    "table_counts",
+    "incremental_load",
+    "wide_quality_score",
+    "wide_null_profile",
+    "wide_numeric_profile",
+    "wide_enrich",
+    "etl_after_failure",
 ]
 
 
@@ -55,7 +62,8 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     repeat = max(1, int(os.environ.get("BENCH_REPEAT", "1")))
 
-    from feedlake.plans.registry import QUERIES
+    from feedlake.plans.registry import QUERIES as FEED
+    from feedlake.plans.wide_registry import WIDE_QUERIES
     from feedlake.session import build_session
 
     spark = build_session(f"local[{cpus}]", **{
@@ -65,6 +73,7 @@ def main() -> None:
     })
     spark.sparkContext.setLogLevel("ERROR")
 
+    QUERIES = {**FEED, **WIDE_QUERIES}  # noqa: N806
     QUERIES["source_stats"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}

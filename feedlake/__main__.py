@@ -24,6 +24,13 @@ def _sources(text: str | None) -> list[str]:
     return [s for s in (text or "").split(",") if s] or list(C.DEFAULT_SOURCES)
 
 
+def _print(df) -> None:
+    """Every row as tab-separated text, streamed."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="feedlake")
     sub = parser.add_subparsers(dest="command", required=True)
@@ -51,7 +58,7 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = build_session()
     if args.command == "q1":
-        q1_counts(spark, args.combined).show(10_000, truncate=False)
+        _print(q1_counts(spark, args.combined))
         return 0
     feeds = read_feed_root(spark, args.root, _sources(args.sources), strict_header=args.strict_header)
     if feeds.df is None:
@@ -59,8 +66,8 @@ def main(argv: list[str] | None = None) -> int:
         return 1
     if args.command == "profile":
         report = profile(feeds.df, feeds.columns, feeds.errors, extended_dates=args.extended_dates)
-        report.scores.orderBy(C.SOURCE_COL).show(10_000, truncate=False)
-        report.overall.show(truncate=False)
+        _print(report.scores.orderBy(C.SOURCE_COL))
+        _print(report.overall)
         if args.report:
             frames = {"metrics": report.metrics, "stats": report.stats, "schema": report.schema,
                       "duplicates": report.duplicates, "numeric": report.numeric,
@@ -74,11 +81,11 @@ def main(argv: list[str] | None = None) -> int:
     result = run_etl(feeds.df, args.out, sources=feeds.sources, errors=feeds.errors,
                      dates=dates, table=args.table, min_score=args.min_score,
                      columns_by_source=feeds.columns)
-    result.summary.orderBy(C.SOURCE_COL).show(10_000, truncate=False)
+    _print(result.summary.orderBy(C.SOURCE_COL))
     if result.counts is not None:
-        result.counts.show(10_000, truncate=False)
+        _print(result.counts)
     if result.totals is not None:
-        result.totals.show(truncate=False)
+        _print(result.totals)
     return 0
 
 

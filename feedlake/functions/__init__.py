@@ -17,7 +17,6 @@ from feedlake.functions.numbers import (
     parse_double,
     parse_int,
     price_per_sqft,
-    round_half_even_exact,
 )
 from feedlake.functions.text import capitalise_words, is_null_or_empty, is_present
 
@@ -25,6 +24,6 @@ __all__ = [
     "capitalise_words", "clean_price", "clean_sqft", "date_format_bucket",
     "date_format_label", "is_negative", "is_negative_int", "is_not_numeric",
     "is_null_or_empty", "is_present", "is_zero", "negative_to_null_int",
-    "normalise_date", "parse_double", "parse_int", "price_per_sqft", "round_half_even_exact",
+    "normalise_date", "parse_double", "parse_int", "price_per_sqft",
     "strip",
 ]

@@ -18,7 +18,6 @@ from feedlake.operators.score import quality_overall, quality_scores
 from feedlake.operators.topk import top_k_per_group
 from feedlake.operators.validate import (
     keep_passing,
-    passing_sources,
     pipeline_summary,
     validate_feeds,
 )
@@ -26,7 +25,7 @@ from feedlake.operators.validate import (
 __all__ = [
     "category_profile", "clean", "combine_sources", "date_format_profile", "dedupe",
     "duplicate_count", "duplicate_keys", "enrich", "feed_counts", "feed_totals", "keep_passing",
-    "null_profile", "numeric_profile", "passing_sources", "pipeline_summary", "pivot_counts",
+    "null_profile", "numeric_profile", "pipeline_summary", "pivot_counts",
     "quality_overall", "quality_scores", "run_timestamp", "schema_check", "source_metrics",
     "source_stats", "top_k_per_group", "validate_feeds",
 ]

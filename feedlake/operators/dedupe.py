@@ -24,6 +24,13 @@ def duplicate_count(key: str = C.KEY_COL) -> Column:
     return (F.count(F.lit(1)) - F.count_distinct(k) - has_null).cast("long")
 
 
+def duplicate_counts(df: DataFrame, key: str = C.KEY_COL, group_col: str = C.SOURCE_COL) -> DataFrame:
+    """A3 per group: ``duplicate_ids``. Ids are counted once per (group, id),
+    so a hot group spreads over all reducers, and then summed."""
+    once = df.groupBy(group_col, key).agg(F.count(F.lit(1)).alias("_n"))
+    return once.groupBy(group_col).agg(F.sum(F.col("_n") - 1).cast("long").alias("duplicate_ids"))
+
+
 def dedupe(df: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
            order_by: Sequence[str] | str | None = None) -> DataFrame:
     """A4: one row per key.

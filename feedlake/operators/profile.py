@@ -27,7 +27,7 @@ from feedlake.functions import (
 )
 from feedlake.functions.dates import with_date_format_bucket
 from feedlake.functions.numbers import round_half_even_exact
-from feedlake.operators.dedupe import duplicate_count
+from feedlake.operators.dedupe import duplicate_counts
 
 ColumnsBySource = Mapping[str, Sequence[str]]
 
@@ -61,8 +61,7 @@ def source_metrics(df: DataFrame, numeric: Sequence[str] = C.NUMERIC_COLUMNS,
     cols = set(df.columns)
     aggs: list[Column] = [F.count(F.lit(1)).alias("rows")]
     if C.KEY_COL in cols:
-        aggs += [F.count_if(is_null_or_empty(C.KEY_COL)).alias("null_ids"),
-                 duplicate_count(C.KEY_COL).alias("duplicate_ids")]
+        aggs.append(F.count_if(is_null_or_empty(C.KEY_COL)).alias("null_ids"))
     for c in numeric:
         if c not in cols:
             continue
@@ -79,7 +78,13 @@ def source_metrics(df: DataFrame, numeric: Sequence[str] = C.NUMERIC_COLUMNS,
     for c in (null_columns if null_columns is not None else data_columns(df)):
         if c in cols:
             aggs.append(F.count_if(is_null_or_empty(c)).alias(_metric("empty", c)))
-    return df.groupBy(C.SOURCE_COL).agg(*aggs)
+    wide = df.groupBy(C.SOURCE_COL).agg(*aggs)
+    if C.KEY_COL not in cols:
+        return wide
+    # Distinct ids group by (source, id): that shuffle carries the two columns
+    # only, not the metrics above. Both sides have one row per source.
+    ids = duplicate_counts(df).withColumnRenamed(C.SOURCE_COL, "_ids_of")
+    return wide.join(ids, F.col(C.SOURCE_COL).eqNullSafe(F.col("_ids_of"))).drop("_ids_of")
 
 
 def source_stats(df: DataFrame, columns_by_source: ColumnsBySource | None = None,

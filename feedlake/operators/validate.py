@@ -9,11 +9,7 @@ from pyspark.sql import functions as F
 
 from feedlake import config as C
 from feedlake.functions import is_negative_int, is_null_or_empty
-from feedlake.operators.dedupe import duplicate_count
-
-# Above this many passing sources the filter becomes a semi-join instead of
-# an inline IN list (the list is collected, so its size is checked first).
-MAX_INLINE_SOURCES = 2000
+from feedlake.operators.dedupe import duplicate_counts
 
 
 def _count_if_present(df: DataFrame, column: str, pred) -> F.Column:
@@ -39,10 +35,11 @@ def validate_feeds(df: DataFrame, sources: Iterable[str] | None = None,
     stats = df.groupBy(src).agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(is_null_or_empty(C.KEY_COL)).alias("null_ids"),
-        duplicate_count(C.KEY_COL).alias("duplicate_ids"),
         _count_if_present(df, "price", is_negative_int).alias("negative_prices"),
         _count_if_present(df, "sqft", is_negative_int).alias("negative_sqft"),
     )
+    ids = duplicate_counts(df).withColumnRenamed(src, "_ids_of")
+    stats = stats.join(ids, F.col(src).eqNullSafe(F.col("_ids_of"))).drop("_ids_of")
     spark = df.sparkSession
     if sources is not None:
         registry = spark.createDataFrame([(s,) for s in dict.fromkeys(sources)], f"{src} string")
@@ -75,30 +72,13 @@ def pipeline_summary(validation: DataFrame) -> DataFrame:
     )
 
 
-def passing_sources(validation: DataFrame, limit: int | None = None) -> list[str] | None:
-    """Names of the passing sources, or ``None`` if more than ``limit``.
-
-    Collects at most ``limit + 1`` rows of a one-row-per-source frame.
-    """
-    limit = MAX_INLINE_SOURCES if limit is None else limit
-    rows = (validation.where("passed").select(C.SOURCE_COL)
-            .limit(limit + 1).collect())
-    if len(rows) > limit:
-        return None
-    return sorted(r[0] for r in rows)
-
-
-def keep_passing(df: DataFrame, validation: DataFrame,
-                 max_inline: int | None = None) -> DataFrame:
+def keep_passing(df: DataFrame, validation: DataFrame) -> DataFrame:
     """Keep only rows of sources that passed validation.
 
-    With a checked, small number of passing sources the filter is an inline
-    ``IN`` list: it prunes partitioned input and needs no join. Beyond that
-    bound it is a semi-join on the validation frame, planned at run time.
+    A semi-join on the validation frame, one row per source. Pass it stored
+    (see ``session.stored_copy``): its size is known then, and Spark decides
+    whether to broadcast it.
     """
-    names = passing_sources(validation, max_inline)
-    if names is not None:
-        return df.where(F.col(C.SOURCE_COL).isin(names))
     return df.join(validation.where("passed").select(C.SOURCE_COL), C.SOURCE_COL, "left_semi")
 
 

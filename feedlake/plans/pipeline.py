@@ -31,7 +31,6 @@ from feedlake.operators import (
     validate_feeds,
 )
 from feedlake.operators.counts import Q1_SQL
-from feedlake.operators.validate import MAX_INLINE_SOURCES
 from feedlake.operators.profile import (
     categories_from_values,
     date_samples,
@@ -39,13 +38,18 @@ from feedlake.operators.profile import (
     schema_check_for_sources,
     value_counts,
 )
-from feedlake.session import ensure_checkpoint_dir
+from feedlake.session import ensure_checkpoint_dir, stored_copy
 from feedlake.sinks import (
+    OVERWRITE_MODES,
     add_table_partitions,
+    drop_table_partitions,
+    folders_of,
+    path_exists,
     read_feed_table,
     register_table,
-    write_combined,
-    write_sources,
+    remove_folders,
+    rewrite_touched,
+    write_feed,
 )
 from feedlake.streaming.incremental import date_filter
 
@@ -61,7 +65,8 @@ def process(df: DataFrame, validation: DataFrame | None = None,
     per source across all dates and, by default, keeps the first row in a
     total order, so reruns and task retries give the same rows.
     """
-    validation = validation if validation is not None else validate_feeds(df)
+    if validation is None:
+        validation = stored_copy(validate_feeds(df), "validation")
     good = keep_passing(df, validation)
     cleaned = clean(good, sqft_threshold)
     unique = dedupe(cleaned, order_by=dedupe_order)
@@ -78,25 +83,54 @@ def checkpointed(df: DataFrame) -> DataFrame:
 class Profile:
     """G7 for all sources: report frames derived without rescans.
 
-    ``metrics`` (one row per source) is checkpointed when the profile is
-    built. The per-value counts behind ``dates``, ``categories`` and
-    ``date_samples`` are checkpointed on first use, so a caller reading only
-    the scores pays for one raw pass.
+    The per-source metrics and the per-value counts are each stored on first
+    use; every report reads only the one it needs, so a caller reading the
+    scores alone, or the dates alone, pays for one raw pass.
     """
 
-    metrics: DataFrame
-    stats: DataFrame
-    schema: DataFrame
-    duplicates: DataFrame
-    numeric: DataFrame
-    nulls: DataFrame
-    scores: DataFrame
-    overall: DataFrame
-    value_plan: DataFrame
+    feed: DataFrame
+    columns_by_source: Mapping[str, Sequence[str]] | None = None
+    errors: Mapping[str, str] | None = None
+    extended_dates: bool = False
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return stored_copy(source_metrics(self.feed), "metrics")
 
     @cached_property
     def values(self) -> DataFrame:
-        return checkpointed(self.value_plan)
+        return stored_copy(value_counts(self.feed, extended=self.extended_dates,
+                                        columns_by_source=self.columns_by_source), "values")
+
+    @property
+    def stats(self) -> DataFrame:
+        return source_stats(self.feed, self.columns_by_source, metrics=self.metrics)
+
+    @property
+    def schema(self) -> DataFrame:
+        if self.columns_by_source:
+            return schema_check(self.feed, self.columns_by_source)
+        return schema_check_for_sources(self.metrics, [c for c in self.feed.columns if c != C.SOURCE_COL])
+
+    @property
+    def duplicates(self) -> DataFrame:
+        return duplicate_keys(self.feed)
+
+    @property
+    def numeric(self) -> DataFrame:
+        return numeric_profile(self.feed, columns_by_source=self.columns_by_source, metrics=self.metrics)
+
+    @property
+    def nulls(self) -> DataFrame:
+        return null_profile(self.feed, columns_by_source=self.columns_by_source, metrics=self.metrics)
+
+    @property
+    def scores(self) -> DataFrame:
+        return quality_scores(self.feed, self.columns_by_source, self.errors, metrics=self.metrics)
+
+    @property
+    def overall(self) -> DataFrame:
+        return quality_overall(self.scores)
 
     @property
     def dates(self) -> DataFrame:
@@ -114,24 +148,9 @@ class Profile:
 def profile(df: DataFrame, columns_by_source: Mapping[str, Sequence[str]] | None = None,
             errors: Mapping[str, str] | None = None, extended_dates: bool = False) -> Profile:
     """Profile every source in at most three passes over the raw data: the
-    per-source metrics (checkpointed now), the per-value counts (checkpointed
-    on first use) and the duplicate-key sample. Every other frame is
-    reshaped from those results."""
-    metrics = checkpointed(source_metrics(df))
-    scores = quality_scores(df, columns_by_source, errors, metrics=metrics)
-    schema = (schema_check(df, columns_by_source) if columns_by_source else
-              schema_check_for_sources(metrics, [c for c in df.columns if c != C.SOURCE_COL]))
-    return Profile(
-        metrics=metrics,
-        stats=source_stats(df, columns_by_source, metrics=metrics),
-        schema=schema,
-        duplicates=duplicate_keys(df),
-        numeric=numeric_profile(df, columns_by_source=columns_by_source, metrics=metrics),
-        nulls=null_profile(df, columns_by_source=columns_by_source, metrics=metrics),
-        scores=scores,
-        overall=quality_overall(scores),
-        value_plan=value_counts(df, extended=extended_dates, columns_by_source=columns_by_source),
-    )
+    per-source metrics, the per-value counts (each on first use) and the
+    duplicate-key sample. Every other frame is reshaped from those results."""
+    return Profile(df, columns_by_source, errors, extended_dates)
 
 
 @dataclass
@@ -145,19 +164,24 @@ class EtlResult:
     totals: DataFrame | None = None
 
 
-def quality_gate(df: DataFrame, min_score: float,
-                 columns_by_source: Mapping[str, Sequence[str]] | None = None) -> dict[str, str]:
-    """Sources whose quality score is below ``min_score``, with the reason.
+def quality_gate(validation: DataFrame, scores: DataFrame, min_score: float) -> DataFrame:
+    """``validation`` with the sources that score below ``min_score`` failed, with the reason."""
+    low = scores.where(F.col("score") < min_score).select(
+        C.SOURCE_COL, F.concat(F.lit("QUALITY GATE ["), F.col(C.SOURCE_COL), F.lit("]: score "),
+                               F.col("score").cast("string"), F.lit(f" below {min_score:g}")).alias("_low"))
+    return (validation.join(low, C.SOURCE_COL, "left")
+                      .withColumn("message", F.coalesce("_low", "message"))
+                      .withColumn("passed", F.col("passed") & F.col("_low").isNull()).drop("_low"))
 
-    One aggregation; the result has one row per failing source and is
-    collected with a bound (the number of sources).
-    """
-    scores = quality_scores(df, columns_by_source)
-    low = (scores.where(F.col("score") < min_score).select(C.SOURCE_COL, "score")
-           .limit(MAX_INLINE_SOURCES + 1).collect())
-    if len(low) > MAX_INLINE_SOURCES:
-        raise ValueError(f"more than {MAX_INLINE_SOURCES} sources below the quality gate")
-    return {r[0]: f"QUALITY GATE [{r[0]}]: score {r[1]} below {min_score:g}" for r in low}
+
+def _store(processed: DataFrame, path: str, partition_by: Sequence[str], overwrite: str,
+           keep: F.Column | None) -> tuple[DataFrame | None, DataFrame | None]:
+    """Write a full load, or bring the stored table up to date; the folders written and removed
+    (None: all were written)."""
+    if overwrite == "static" or not path_exists(processed.sparkSession, path):
+        write_feed(processed if keep is None else processed.where(keep), path, partition_by, overwrite="static")
+        return None, None
+    return rewrite_touched(processed, path, partition_by, keep)
 
 
 def run_etl(df: DataFrame, out_root: str, sources: Sequence[str] | None = None,
@@ -168,40 +192,49 @@ def run_etl(df: DataFrame, out_root: str, sources: Sequence[str] | None = None,
     """G9 after profiling: validate, process, store per source (K1), combine
     (K2) from the stored rows, register the table (K3) and run Q1.
 
-    ``dates`` limits the write to those normalised feed dates (I1); the
-    dedupe still sees all rows of a source, so the stored rows equal those
-    of a full run. With ``overwrite='dynamic'`` other dates are untouched.
-    ``min_score`` (off by default) turns the profiler's advice into a gate:
-    sources scoring below it are recorded as failed and left out.
+    ``overwrite='static'`` replaces everything stored. With ``'dynamic'`` the
+    folders that hold an id of this run, before or after it, are rewritten and
+    the others stay, so an id is never stored twice. ``dates`` limits that to
+    ids with a row on those normalised feed dates (I1); it cannot go with
+    ``'static'``, which would erase the other dates. Sources that fail are not
+    in the combined table, also if an earlier run stored them. ``min_score``
+    (off by default) turns the profiler's advice into a gate: sources scoring
+    below it are recorded as failed and left out.
     """
+    if overwrite not in OVERWRITE_MODES:
+        raise ValueError(f"overwrite must be one of {OVERWRITE_MODES}")
+    keep = date_filter(dates)
+    if keep is not None and overwrite == "static":
+        raise ValueError("dates with overwrite='static' would erase every other date; use 'dynamic'")
     spark = df.sparkSession
+    validation = validate_feeds(df, sources, errors)
     if min_score is not None:
-        gated = quality_gate(df, min_score, columns_by_source)
-        if gated:
-            errors = {**dict(errors or {}), **gated}
-            df = df.where(~F.col(C.SOURCE_COL).isin(list(gated)))
-    validation = checkpointed(validate_feeds(df, sources, errors))
+        validation = quality_gate(validation, quality_scores(df, columns_by_source), min_score)
+    validation = stored_copy(validation, "validation")
     summary = pipeline_summary(validation)
+    passed, failed = validation.where("passed").select(C.SOURCE_COL), validation.where("NOT passed").select(C.SOURCE_COL)
     processed = process(df, validation, ingestion_timestamp)
-    keep = date_filter(dates)
-    if keep is not None:
-        processed = processed.where(keep)
-    if not validation.where("passed").take(1):
-        log.warning("no source passed validation; nothing written")
-        return EtlResult(validation, summary, None, None, None, None)
     sources_path = os.path.join(out_root, "processed")
     combined_path = os.path.join(out_root, "combined")
-    write_sources(processed, sources_path, overwrite=overwrite)
-    stored = read_feed_table(spark, sources_path, processed.schema,
-                             partition_by=(C.SOURCE_COL, "feed_date"))
-    if keep is not None:
-        stored = stored.where(keep)
-    write_combined(stored, combined_path, overwrite=overwrite)
+    layout = ("feed_date", C.SOURCE_COL)
+    if not passed.take(1):
+        log.warning("no source passed validation; nothing written")
+        return EtlResult(validation, summary, None, None, None, None)
+    _store(processed, sources_path, (C.SOURCE_COL, "feed_date"), overwrite, keep)
+    stored = read_feed_table(spark, sources_path, processed.schema, partition_by=(C.SOURCE_COL, "feed_date"))
+    stored = stored.join(passed, C.SOURCE_COL, "left_semi").select(*processed.columns)
+    written, gone = _store(stored, combined_path, layout, overwrite, keep)
     counts = None
+    if written is not None:
+        combined = read_feed_table(spark, combined_path, processed.schema)
+        left_out = combined.join(failed, C.SOURCE_COL, "left_semi").select(*layout).distinct()
+        gone = stored_copy(gone.unionByName(left_out), "gone")
+        remove_folders(spark, stored_copy(folders_of(combined, failed, [C.SOURCE_COL]), "doomed"))
     if table:
-        if keep is not None and spark.catalog.tableExists(table):
-            # Incremental run: name only the folders just written (no full listing).
-            add_table_partitions(spark, table, stored)
+        if written is not None and spark.catalog.tableExists(table):
+            # Name only the folders of this run (no full listing).
+            add_table_partitions(spark, table, written)
+            drop_table_partitions(spark, table, gone)
             spark.catalog.refreshTable(table)
         else:
             register_table(spark, table, combined_path, processed.schema)

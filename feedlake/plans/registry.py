@@ -40,11 +40,10 @@ from feedlake.operators import (
     validate_feeds,
 )
 from feedlake.functions.dates import date_format_label, normalise_date_columns
-from feedlake.operators.validate import MAX_INLINE_SOURCES
 from feedlake.plans.pipeline import checkpointed, process, profile
-from feedlake.session import scratch_path
+from feedlake.session import scratch_path, stored_copy
 from feedlake.sinks import read_feed_table, register_table, write_combined
-from feedlake.sources.csv_feeds import read_feeds
+from feedlake.sources.csv_feeds import read_feed_scan
 from feedlake.sources.fixture import listing_feed, listing_feed_sql
 from feedlake.streaming.incremental import incremental_load
 
@@ -140,10 +139,11 @@ def q_source_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_combine_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Processed rows of the passing sources, where the odd-numbered
     sources arrive without a ``tenure`` column (filled with null)."""
-    processed = process(_feed(spark, sf_dir), ingestion_timestamp=RUN_TS)
+    feed = _feed(spark, sf_dir)
+    validation = stored_copy(validate_feeds(feed), "validation")
     odd = F.substring(C.SOURCE_COL, 4, 10).cast("int") % 2 == 1
-    with_tenure = processed.where(~odd)
-    without_tenure = processed.where(odd).drop("tenure")
+    with_tenure = process(feed.where(~odd), validation, RUN_TS)
+    without_tenure = process(feed.where(odd), validation, RUN_TS).drop("tenure")
     return combine_sources([with_tenure, without_tenure])
 
 
@@ -156,7 +156,7 @@ def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, register it as a table, and read the whole table back."""
     processed = process(_feed(spark, sf_dir), ingestion_timestamp=RUN_TS)
     path = scratch_path(spark, "combined")
-    write_combined(processed, path)
+    write_combined(processed, path, overwrite="static")
     name = register_table(spark, _table_name("roundtrip"), path, processed.schema)
     return spark.table(name)
 
@@ -165,22 +165,21 @@ def q_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1 as published: SQL over the registered combined table."""
     processed = process(_feed(spark, sf_dir), ingestion_timestamp=RUN_TS)
     path = scratch_path(spark, "combined-q1")
-    write_combined(processed, path)
+    write_combined(processed, path, overwrite="static")
     name = register_table(spark, _table_name("q1"), path, processed.schema)
     return spark.sql(f"SELECT source_name, feed_date, COUNT(*) AS rows FROM {name} "
                      "GROUP BY source_name, feed_date ORDER BY source_name, feed_date")
 
 
 def q_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load everything, then reload the 1998 dates only (dynamic overwrite),
-    and read the whole table: it must equal one full load."""
+    """Load everything, then reload the 1998 dates only, and read the whole
+    table: it must equal one full load."""
     feed = _feed(spark, sf_dir)
     path = scratch_path(spark, "incremental")
-    incremental_load(feed, path, ingestion_timestamp=RUN_TS)
-    validation = validate_feeds(feed)
-    reload_1998 = F.col("feed_date").startswith("1998")
-    incremental_load(feed, path, ingestion_timestamp=RUN_TS, dates=reload_1998,
-                     validation=validation)
+    validation = stored_copy(validate_feeds(feed), "validation")
+    incremental_load(feed, path, ingestion_timestamp=RUN_TS, validation=validation)
+    incremental_load(feed, path, ingestion_timestamp=RUN_TS, validation=validation,
+                     dates=F.col("feed_date").startswith("1998"))
     schema = process(feed, validation, ingestion_timestamp=RUN_TS).schema
     return read_feed_table(spark, path, schema)
 
@@ -194,16 +193,13 @@ def q_date_format_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_csv_feed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + S2: write the fixture as one CSV folder per source, read the
-    folders back with the feed reader (per-source headers) and score them."""
+    folders back in one scan, by the files' headers, and score them."""
     feed = _feed(spark, sf_dir)
     root = scratch_path(spark, "csv-feeds")
-    (feed.hint("rebalance", C.SOURCE_COL).write.mode("overwrite")
-         .partitionBy(C.SOURCE_COL).option("header", "true").csv(root))
-    names = [r[0] for r in feed.select(C.SOURCE_COL).distinct()
-             .limit(MAX_INLINE_SOURCES + 1).collect()]
-    if len(names) > MAX_INLINE_SOURCES:
-        raise ValueError(f"more than {MAX_INLINE_SOURCES} sources")
-    feeds = read_feeds(spark, {n: f"{root}/{C.SOURCE_COL}={n}" for n in sorted(names)})
+    (feed.write.mode("overwrite").partitionBy(C.SOURCE_COL).option("header", "true").csv(root))
+    names = [r[0] for r in feed.select(C.SOURCE_COL).distinct().toLocalIterator()]
+    feeds = read_feed_scan(spark, root, names, layout=f"{C.SOURCE_COL}={{source}}/",
+                           pattern=f"/{C.SOURCE_COL}=([^/]+)/[^/]*$")
     return quality_scores(feeds.df, feeds.columns, feeds.errors)
 
 

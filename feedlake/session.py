@@ -3,20 +3,19 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are designed for. AQE re-plans shuffles at run
-# time (coalescing small partitions, splitting skewed ones, including the
-# rebalance before partitioned writes); the session time zone pins the
-# ingestion timestamp text.
+# time (coalescing small partitions, splitting skewed joins); the session time
+# zone pins the ingestion timestamp text.
 RECOMMENDED_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.ui.enabled": "false",
@@ -41,11 +40,12 @@ def build_session(master: str | None = None, app_name: str = "feedlake",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder, setting a local one only if unset.
+    """The cluster's shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS, object
-    store) and is used as is. Only when nothing is configured, as in local
-    tests, a fresh folder under the system temp dir is created.
+    ``spark.checkpoint.dir`` (HDFS, object store, shared mount) is used as is.
+    Only a ``local`` session, as in tests, gets a folder of its own when that is
+    unset; a cluster without a shared folder is an error, since its executors
+    do not see each other's disks.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -53,27 +53,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError(f"master {sc.master} needs spark.checkpoint.dir, a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="feedlake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over the cluster when it has fewer splits than cores.
-
-    A large input already has thousands of splits and is returned as is (no
-    shuffle). A small file with one row group would otherwise run every
-    downstream step in a single task. The round-robin repartition is made
-    deterministic by Spark (rows are sorted before they are dealt out), so a
-    retried task gets the same rows.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "feedlake", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stored_copy(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: the lineage is cut,
+    several readers share one run, and the optimizer knows the size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

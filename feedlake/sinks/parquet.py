@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlake import config as C
+from feedlake.session import stored_copy
 
 OVERWRITE_MODES = ("dynamic", "static")
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 
 
 def write_feed(df: DataFrame, path: str, partition_by: Sequence[str] = ("feed_date",),
-               overwrite: str = "dynamic", rebalance: bool = True,
+               overwrite: str = "dynamic", writers: int | None = None,
                max_records_per_file: int | None = None) -> None:
     """Write Parquet partitioned by ``partition_by``, replacing what it covers.
 
@@ -24,15 +25,19 @@ def write_feed(df: DataFrame, path: str, partition_by: Sequence[str] = ("feed_da
     (other dates under ``path`` survive: a rerun for one day is safe);
     ``'static'`` replaces everything under ``path``.
 
-    ``rebalance`` hashes rows on the partition columns before the write so each
-    task writes few partition folders, and lets adaptive execution split a
-    partition value that holds a large share of the rows over several tasks
-    and merge small ones.
+    Rows are dealt to ``writers`` tasks (default: the shuffle partitions) by
+    range over the partition columns and then the id: neighbouring folders go
+    to one writer, which writes one file for each, and a folder that holds a
+    large share of the rows is split between several.
     """
     if overwrite not in OVERWRITE_MODES:
         raise ValueError(f"overwrite must be one of {OVERWRITE_MODES}")
     cols = list(partition_by)
-    out = df.hint("rebalance", *cols) if rebalance and cols else df
+    out = df
+    if cols:
+        n = writers or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        within = [C.KEY_COL] if C.KEY_COL in df.columns and C.KEY_COL not in cols else []
+        out = df.repartitionByRange(n, *cols, *within)
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
@@ -92,39 +97,114 @@ def register_table(spark: SparkSession, name: str, path: str, schema: T.StructTy
     return name
 
 
-# Partitions added per statement by add_table_partitions (the list is collected).
-MAX_PARTITIONS_PER_RUN = 100_000
+# Partitions named in one statement.
+PARTITIONS_PER_STATEMENT = 500
 
 
 def _sql_text(value) -> str:
-    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _alter_partitions(spark: SparkSession, name: str, folders: DataFrame, cols: Sequence[str],
+                      change: str, between: str) -> int:
+    if not _IDENT.match(name):
+        raise ValueError(f"not a plain table name: {name!r}")
+    total, specs = 0, []
+
+    def run() -> None:
+        if specs:
+            spark.sql(f"ALTER TABLE {name} {change} {between.join(specs)}")
+            specs.clear()
+
+    # The names are streamed to the driver, a statement's worth at a time.
+    for r in folders.select(*cols).distinct().toLocalIterator():
+        specs.append("PARTITION (" + ", ".join(f"`{c}` = {_sql_text(r[c])}" for c in cols) + ")")
+        total += 1
+        if len(specs) == PARTITIONS_PER_STATEMENT:
+            run()
+    run()
+    return total
 
 
 def add_table_partitions(spark: SparkSession, name: str, written: DataFrame,
                          partition_by: Sequence[str] = ("feed_date", C.SOURCE_COL)) -> int:
     """K3 for an incremental run: register only the partitions just written.
 
-    ``written`` is the frame that was written (or any frame with the partition
-    columns); its distinct partition values (one row per written folder,
-    checked against a bound) become one ``ALTER TABLE ... ADD IF NOT EXISTS``
-    statement. A full ``MSCK REPAIR TABLE`` would list every folder of the
-    table on each run. Returns the number of partitions named.
+    ``written`` is any frame with the partition columns; each of its distinct
+    values, null included, is one partition. A full ``MSCK REPAIR TABLE`` would
+    list every folder of the table on each run. Returns the number named.
     """
-    if not _IDENT.match(name):
-        raise ValueError(f"not a plain table name: {name!r}")
-    cols = list(partition_by)
-    rows = (written.select(*cols).distinct().limit(MAX_PARTITIONS_PER_RUN + 1).collect())
-    if len(rows) > MAX_PARTITIONS_PER_RUN:
-        spark.sql(f"MSCK REPAIR TABLE {name} ADD PARTITIONS")
-        return len(rows)
-    specs = []
-    for r in rows:
-        if any(r[c] is None for c in cols):
-            continue  # the null folder is found by a full repair only
-        specs.append("PARTITION (" + ", ".join(f"`{c}` = {_sql_text(r[c])}" for c in cols) + ")")
-    if specs:
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(specs))
-    return len(specs)
+    return _alter_partitions(spark, name, written, list(partition_by), "ADD IF NOT EXISTS", " ")
+
+
+def drop_table_partitions(spark: SparkSession, name: str, gone: DataFrame,
+                          partition_by: Sequence[str] = ("feed_date", C.SOURCE_COL)) -> int:
+    """K3 for an incremental run: forget partitions whose folders were removed."""
+    return _alter_partitions(spark, name, gone, list(partition_by), "DROP IF EXISTS", ", ")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def folders_of(stored: DataFrame, chosen: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``folder``: the folders, as URIs, that hold rows of the Parquet read ``stored`` whose
+    ``cols`` are among ``chosen``'s."""
+    held = stored.select(*cols, F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1).alias("folder"))
+    held = held.distinct()
+    return held.join(chosen, same_folder(held, chosen, cols), "left_semi").select("folder").distinct()
+
+
+def remove_folders(spark: SparkSession, folders: DataFrame) -> int:
+    """Delete the folders named in ``folders`` (streamed to the driver, one call each)."""
+    jvm, conf, n = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
+    for r in folders.toLocalIterator():
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r["folder"]))
+        p.getFileSystem(conf).delete(p, True)
+        n += 1
+    return n
+
+
+def same_folder(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> F.Column:
+    """Join condition on partition columns, null folders included."""
+    on = F.lit(True)
+    for c in cols:
+        on = on & a[c].eqNullSafe(b[c])
+    return on
+
+
+def rewrite_touched(processed: DataFrame, path: str, partition_by: Sequence[str],
+                    keep: F.Column | None = None, keys: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Bring the stored table under ``path`` up to date with ``processed`` around some ids.
+
+    The ids are those of ``keys``, or those that ``processed`` or the table
+    have in rows that pass ``keep``, or all of ``processed``. Every folder that
+    holds one of them before or after, and every stored folder that passes
+    ``keep``, is rewritten whole from ``processed``; a folder left without rows
+    is removed. So an id whose surviving row moved to another date is stored
+    once, as after a full load. Returns the folders written and those removed.
+    """
+    spark, cols, ids = processed.sparkSession, list(partition_by), [C.SOURCE_COL, C.KEY_COL]
+    narrow = list(dict.fromkeys([*ids, *cols]))
+    stored = read_feed_table(spark, path, processed.schema, cols)
+    now = stored_copy(processed.select(*narrow), "places")
+    if keys is None:
+        keys = now.select(*ids) if keep is None else now.where(keep).select(*ids).unionByName(
+            stored.where(keep).select(*ids))
+    touched = stored_copy(keys.select(*ids).distinct(), "touched")
+    places = now.unionByName(stored.select(*narrow)).join(touched, ids, "left_semi").select(*cols)
+    if keep is not None:
+        places = places.unionByName(stored.where(keep).select(*cols))
+    folders = stored_copy(places.distinct(), "folders")
+    rows = stored_copy(processed.join(folders, same_folder(processed, folders, cols), "left_semi"), "rewritten")
+    written = stored_copy(rows.select(*cols).distinct(), "written")
+    gone = stored_copy(folders.join(written, same_folder(folders, written, cols), "left_anti"), "gone")
+    doomed = stored_copy(folders_of(stored, gone, cols), "doomed")
+    write_feed(rows, path, cols, overwrite="dynamic")
+    remove_folders(spark, doomed)
+    return written, gone
 
 
 def write_source_folders(df: DataFrame, root: str, sources: Sequence[str],

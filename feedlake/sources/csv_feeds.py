@@ -4,11 +4,11 @@ Each source directory holds daily CSV files with a header row. Every cell is
 read as text (no schema inference), PERMISSIVE mode, comma separated, ``"``
 quoting (addresses hold commas). Blank and ``""`` cells read as null.
 
-Sources are read separately (each directory has its own header) and joined
-with ``unionByName``: the union is one plan, so one job scans all files. A
-source whose directory cannot be read, or whose header lacks
-``property_id`` (a directory with only an empty file gives no columns at
-all), is recorded in ``FeedSet.errors`` and left out; the others go on.
+``read_feed_scan`` reads all sources as one scan and matches cells by the
+header of each file; ``read_feeds`` reads each source on its own. A source
+that cannot be read, or whose header lacks ``property_id`` (a directory with
+only an empty file gives no lines at all), is recorded in ``FeedSet.errors``
+and left out; the others go on.
 """
 
 from __future__ import annotations
@@ -19,13 +19,15 @@ from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlake import config as C
 from feedlake.operators.combine import combine_sources
+from feedlake.session import stored_copy
+from feedlake.sinks import path_exists
 
 log = logging.getLogger(__name__)
 
@@ -129,7 +131,7 @@ def read_feed_strict(spark: SparkSession, path: str | Sequence[str], source_name
 
 
 def read_feeds(spark: SparkSession, paths: Mapping[str, str | Sequence[str]],
-               schema: T.StructType | None = None, strict_header: bool = False) -> FeedSet:
+               schema: T.StructType | None = None, strict_header: bool = True) -> FeedSet:
     """Every source of ``paths`` (source -> directory or files) as one frame.
 
     ``strict_header`` reads each file under its own header (see
@@ -140,12 +142,12 @@ def read_feeds(spark: SparkSession, paths: Mapping[str, str | Sequence[str]],
     errors: dict[str, str] = {}
     for source, path in paths.items():
         try:
-            if strict_header:
+            if strict_header and schema is None:
                 df = read_feed_strict(spark, path, source)
             else:
                 df = read_feed(spark, path, source, schema)
         except AnalysisException as e:
-            errors[source] = _short(e)
+            errors[source] = _reason(e)
             continue
         header = tuple(c for c in df.columns if c != C.SOURCE_COL)
         if C.KEY_COL not in header:
@@ -158,38 +160,97 @@ def read_feeds(spark: SparkSession, paths: Mapping[str, str | Sequence[str]],
     return FeedSet(combine_sources(frames), columns, errors)
 
 
-def read_feed_root(spark: SparkSession, root: str,
-                   sources: Sequence[str] = C.DEFAULT_SOURCES,
-                   schema: T.StructType | None = None, strict_header: bool = False) -> FeedSet:
-    """S1 + S2 over the ``{root}/{source}/raw-data/`` layout."""
-    return read_feeds(spark, source_paths(root, sources), schema, strict_header)
+# A header with more names than this fails its source.
+MAX_COLUMNS = 64
+_SOURCE_IN_PATH = r"/([^/]+)/raw-data/[^/]*$"
+
 
+def _cells(spark: SparkSession, paths: list[str], pattern: str) -> DataFrame:
+    """Every line of every file as an array of cells, with its file and source."""
+    names = [f"c{i}" for i in range(MAX_COLUMNS + 1)]
+    reader = (spark.read.option("header", "false").option("mode", "PERMISSIVE").option("sep", ",")
+              .option("quote", '"').schema(", ".join(f"{n} string" for n in names)))
+    return reader.csv(paths).select(
+        F.array(*names).alias("cells"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).alias(C.SOURCE_COL))
 
-def read_feed_scan(spark: SparkSession, root: str, schema: T.StructType,
-                   sources: Sequence[str] = C.DEFAULT_SOURCES) -> FeedSet:
-    """S1 + S2 as ONE scan over ``{root}/{a,b,...}/raw-data/`` with a declared
-    schema: for many sources (no per-source header job, one scan node).
 
-    ``source_name`` comes from each file's path. Every file's header is
-    checked against ``schema`` (a mismatch fails the read). Sources without
-    any file are recorded as errors from the file listing (no data read).
+def read_feed_scan(spark: SparkSession, root: str, sources: Sequence[str] = C.DEFAULT_SOURCES,
+                   layout: str = "{source}/raw-data/", pattern: str = _SOURCE_IN_PATH) -> FeedSet:
+    """S1 + S2 for any number of sources as ONE scan of the folders ``{root}/{layout}``;
+    ``pattern`` finds the source in a file's path.
+
+    Cells are matched by name: the header of each file (the line that names
+    ``property_id``) is found by a first pass over the files' first blocks, kept
+    as a table of one row per file, and joined back by file. Files of a source
+    may order their columns differently. A source fails alone, with the reason,
+    if it has no files, a file without a header or with one that is too wide,
+    or a file that cannot be read.
     """
     base = root.rstrip("/")
-    glob = f"{base}/{{{','.join(sources)}}}/raw-data/"
-    try:
-        df = _csv_reader(spark, schema).csv(glob)
-        files = df.inputFiles()
-    except AnalysisException as e:
-        return FeedSet(None, {}, {s: _short(e) for s in sources})
-    found = {f.rstrip("/").split("/")[-3] for f in files}
-    df = df.withColumn(C.SOURCE_COL, F.regexp_extract(F.col("_metadata.file_path"),
-                                                      r"/([^/]+)/raw-data/[^/]*$", 1))
-    header = tuple(schema.fieldNames())
-    columns = {s: header for s in sources if s in found}
-    errors = {s: f"no files under {base}/{s}/raw-data/" for s in sources if s not in found}
+    places = {s: f"{base}/{layout.format(source=s)}" for s in dict.fromkeys(sources)}
+    errors: dict[str, str] = {}
+    lines, headers = None, None
+    while lines is None:
+        there = {s: p for s, p in places.items() if s not in errors}
+        missing = [s for s, p in there.items() if not path_exists(spark, p)]
+        errors.update({s: f"no files under {places[s]}" for s in missing})
+        there = {s: p for s, p in there.items() if s not in missing}
+        if not there:
+            return FeedSet(None, {}, errors)
+        try:
+            lines = _cells(spark, list(there.values()), pattern)
+            first = lines.where((F.col("block") == 0) & F.array_contains("cells", C.KEY_COL))
+            headers = stored_copy(first.groupBy(C.SOURCE_COL, "file").agg(F.min("cells").alias("header")), "headers")
+            unnamed = (lines.select(C.SOURCE_COL, "file").distinct().join(headers, "file", "left_anti")
+                            .select(C.SOURCE_COL).distinct())
+            bad = unnamed.unionByName(headers.where(F.element_at("header", -1).isNotNull()).select(C.SOURCE_COL))
+            found = {r[0]: None for r in lines.select(C.SOURCE_COL).distinct().toLocalIterator()}
+            errors.update({r[0]: f"a file has no header with {C.KEY_COL}, or more than {MAX_COLUMNS} columns"
+                           for r in bad.distinct().toLocalIterator()})
+            errors.update({s: f"missing column {C.KEY_COL}" for s in there if s not in found})
+        except PySparkException as e:
+            # Some file cannot be read: find whose, and go on with the others.
+            lines = None
+            broken = {}
+            for s, p in there.items():
+                try:
+                    _cells(spark, [p], pattern).write.format("noop").mode("overwrite").save()
+                except PySparkException as own:
+                    broken[s] = _reason(own)
+            if not broken:
+                raise e
+            errors.update(broken)
+    good = headers.where(~F.col(C.SOURCE_COL).isin(list(errors))) if errors else headers
+    columns: dict[str, tuple[str, ...]] = {}
+    for r in good.select(C.SOURCE_COL, "header").distinct().toLocalIterator():
+        names = [c for c in r["header"] if c is not None]
+        columns[r[0]] = tuple(dict.fromkeys([*columns.get(r[0], ()), *names]))
+    for s, msg in errors.items():
+        log.warning("source %s left out: %s", s, msg)
+    if not columns:
+        return FeedSet(None, {}, errors)
+    every = list(dict.fromkeys(c for cols in columns.values() for c in cols))
+    every = [c for c in C.EXPECTED_COLUMNS if c in every] + [c for c in every if c not in C.EXPECTED_COLUMNS]
+    place = F.array_position
+    rows = lines.drop(C.SOURCE_COL).join(good, "file").where(~((F.col("block") == 0) & (F.col("cells") == F.col("header"))))
+    df = rows.select(*[F.when(place("header", F.lit(c)) > 0,
+                              F.get("cells", (place("header", F.lit(c)) - 1).cast("int"))).alias(c) for c in every],
+                     F.col(C.SOURCE_COL))
     return FeedSet(df, columns, errors)
 
 
-def _short(e: Exception) -> str:
-    text = str(e).strip().splitlines()[0] if str(e).strip() else type(e).__name__
-    return text[:300]
+def read_feed_root(spark: SparkSession, root: str,
+                   sources: Sequence[str] = C.DEFAULT_SOURCES,
+                   schema: T.StructType | None = None, strict_header: bool = True) -> FeedSet:
+    """S1 + S2 over the ``{root}/{source}/raw-data/`` layout: one scan, cells matched by
+    name. With ``schema``, or ``strict_header=False`` (one header for a source's
+    files, cells by position), each source is read on its own."""
+    if schema is None and strict_header:
+        return read_feed_scan(spark, root, sources)
+    return read_feeds(spark, source_paths(root, sources), schema, strict_header)
+
+
+def _reason(e: Exception) -> str:
+    return str(e).strip() or type(e).__name__

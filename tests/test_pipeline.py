@@ -163,19 +163,19 @@ def test_strict_header_matches_columns_by_name(spark, tmp_dir):
     strict = read_feed_root(spark, tmp_dir, ["reo"], strict_header=True)
     got = {r.property_id: r.source_agency for r in strict.df.collect()}
     assert got == {"R0": "Reo", "R1": "Reo"}
-    loose = read_feed_root(spark, tmp_dir, ["reo"])
+    assert {r.property_id for r in read_feed_root(spark, tmp_dir, ["reo"]).df.collect()} == {"R0", "R1"}
+    loose = read_feed_root(spark, tmp_dir, ["reo"], strict_header=False)
     assert {r.property_id for r in loose.df.collect()} != {"R0", "R1"}   # read by position
 
 
 def test_single_scan_reader_matches_per_source_reads(spark, tmp_dir):
     from feedlake.sources import read_feed_scan
-    from feedlake.streaming.incremental import raw_feed_schema
 
     sources = make_feeds(tmp_dir)
-    one = read_feed_scan(spark, tmp_dir, raw_feed_schema(), sources)
-    assert set(one.errors) == {"missing"}
-    assert set(one.columns) == {"alpha", "beta", "gamma", "delta"}
-    per = read_feed_root(spark, tmp_dir, sources)
+    one = read_feed_scan(spark, tmp_dir, sources)
+    assert set(one.errors) == {"missing", "delta"}
+    assert set(one.columns) == {"alpha", "beta", "gamma"}
+    per = read_feed_root(spark, tmp_dir, sources, strict_header=False)
     cols = list(C.EXPECTED_COLUMNS) + [C.SOURCE_COL]
     def rows(df):
         return sorted(tuple("" if v is None else v for v in r) for r in df.select(cols).collect())
@@ -183,7 +183,7 @@ def test_single_scan_reader_matches_per_source_reads(spark, tmp_dir):
     plan = one.df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan csv") == 1
     v = {r.source_name: r.message for r in validate_feeds(one.df, sources=one.sources).collect()}
-    assert v["delta"] == "VALIDATION FAILED [delta]: No records found!"
+    assert v["delta"] == "VALIDATION FAILED [delta]: No records found!" and v["alpha"] is None
 
 
 def test_add_table_partitions_registers_only_new_folders(spark, tmp_dir):
@@ -270,13 +270,12 @@ def test_feed_stream_bookmark_processes_only_new_files(spark, tmp_dir):
 def test_declared_schema_rejects_reordered_header(spark, tmp_dir):
     import pytest as _pytest
 
-    from feedlake.sources import read_feed_scan
     from feedlake.streaming.incremental import raw_feed_schema
 
     cols = list(C.EXPECTED_COLUMNS)
     reordered = [cols[1], cols[0]] + cols[2:]
     _write(tmp_dir, "reo", "a.csv", [",".join(reordered), _line("R1", "Reo", "2025-01-06")])
-    feeds = read_feed_scan(spark, tmp_dir, raw_feed_schema(), ["reo"])
+    feeds = read_feed_root(spark, tmp_dir, ["reo"], schema=raw_feed_schema())
     with _pytest.raises(Exception, match="(?i)header|schema"):
         feeds.df.collect()
 
@@ -295,3 +294,133 @@ def test_source_folder_layout(spark, tmp_dir):
     assert folders == ["feed_date=2025-01-06", "feed_date=2025-01-07"]
     alpha = read_feed_table(spark, os.path.join(root, "alpha", "processed"), partition_by=("feed_date",))
     assert alpha.count() == 3 and C.SOURCE_COL in alpha.columns
+
+
+def _feed_rows(spark, rows):
+    """(source, id, feed_date)"""
+    from feedlake.streaming.incremental import raw_feed_schema
+    schema = raw_feed_schema().add("source_name", "string")
+    full = [tuple({"property_id": i, "feed_date": d, "price": "100", "sqft": "50"}.get(c) for c in C.EXPECTED_COLUMNS) + (s,)
+            for s, i, d in rows]
+    return spark.createDataFrame(full, schema)
+
+
+def _stored(spark, path, schema=None):
+    return sorted((r.source_name, r.property_id, r.feed_date) for r in read_feed_table(spark, path, schema).select(
+        "source_name", "property_id", "feed_date").collect())
+
+
+def test_stream_equals_full_load_and_records_failures(spark, tmp_dir):
+    """Late rows, bad dates and a failing source, one file per batch."""
+    from feedlake.streaming.incremental import start_feed_stream
+    root, out, ckpt = (os.path.join(tmp_dir, x) for x in ("in", "out", "ckpt"))
+
+    def run():
+        start_feed_stream(spark, root, out, ckpt, max_files_per_trigger=1).awaitTermination()
+
+    _write(root, "a", "d1.csv", [HEADER, _line("A1", "A", "06/01/2025"), _line("A2", "A", "junk")])
+    _write(root, "b", "d1.csv", [HEADER, _line("B1", "B", "06/01/2025")])
+    run()
+    _write(root, "a", "d2.csv", [HEADER, _line("A3", "A", "06/01/2025"), _line("A4", "A", "bad"),
+                                 _line("A5", "A", "09/01/2025")])
+    run()
+    assert _stored(spark, out) != []
+    _write(root, "a", "d3.csv", [HEADER, _line("A5", "A", "07/01/2025")])     # moves the survivor
+    _write(root, "b", "d2.csv", [HEADER, _line("", "B", "07/01/2025")])       # fails the gate from now on
+    run()
+    got = {(s, i): d for s, i, d in [(r.source_name, r.property_id, r.feed_date)
+                                     for r in read_feed_table(spark, out).collect()]}
+    assert got == {("a", "A1"): "2025-01-06", ("a", "A2"): None, ("a", "A3"): "2025-01-06", ("a", "A4"): None,
+                   ("a", "A5"): "2025-01-07"}
+    status = spark.read.parquet(out + "-status").where("NOT passed").collect()
+    assert [r.source_name for r in status] == ["b"] and "null property IDs" in status[0].message
+
+
+def test_run_etl_after_a_failure_and_a_late_row(spark, tmp_dir):
+    first = _feed_rows(spark, [("a", "a1", "2025-01-09"), ("a", "a2", "2025-01-09"), ("b", "b1", "2025-01-09"),
+                               ("c", "c1", "x")])
+    second = _feed_rows(spark, [("a", "a1", "2025-01-07"), ("a", "a2", "2025-01-09"), ("a", "a1", "2025-01-09"),
+                                ("b", "b1", "2025-01-09"), ("b", "", "2025-01-09"), ("c", "c1", "x")])
+    out = os.path.join(tmp_dir, "out")
+    run_etl(first, out, table="etl_after_failure")
+    result = run_etl(second, out, table="etl_after_failure")
+    full = run_etl(second, os.path.join(tmp_dir, "full"))
+    expected = {("a", "a1", "2025-01-07"), ("a", "a2", "2025-01-09"), ("c", "c1", None)}
+    for path in (result.combined_path, full.combined_path):
+        rows = read_feed_table(spark, path).collect()
+        assert {(r.source_name, r.property_id, r.feed_date) for r in rows} == expected and len(rows) == 3
+    assert {r.source_name: r.status[:7] for r in result.summary.collect()} == {"a": "SUCCESS", "b": "FAILED:", "c": "SUCCESS"}
+    assert spark.table("etl_after_failure").count() == 3                       # the null folder included
+    assert sum(r.rows for r in result.counts.collect()) == 3
+    spark.sql("DROP TABLE etl_after_failure")
+
+
+def test_incremental_dates_rewrite_moved_survivors(spark, tmp_dir):
+    from feedlake.streaming.incremental import incremental_load
+    path = os.path.join(tmp_dir, "t")
+    incremental_load(_feed_rows(spark, [("a", "a1", "2025-01-09"), ("a", "a2", "2025-01-08"), ("a", "a9", "y")]), path)
+    both = _feed_rows(spark, [("a", "a1", "2025-01-09"), ("a", "a2", "2025-01-08"), ("a", "a1", "2025-01-07"),
+                              ("a", "a9", "y")])
+    incremental_load(both, path, dates=["2025-01-07"])
+    rows = {(r.property_id, r.feed_date) for r in read_feed_table(spark, path).collect()}
+    assert rows == {("a1", "2025-01-07"), ("a2", "2025-01-08"), ("a9", None)}
+
+
+def test_dates_with_static_overwrite_is_refused(spark, tmp_dir):
+    import pytest
+    with pytest.raises(ValueError, match="erase"):
+        run_etl(_feed_rows(spark, [("a", "a1", "2025-01-07")]), tmp_dir, dates=["2025-01-07"], overwrite="static")
+
+
+def test_null_partition_is_registered(spark, tmp_dir):
+    from feedlake.sinks import add_table_partitions, register_table, write_combined
+    path = os.path.join(tmp_dir, "t")
+    df = _feed_rows(spark, [("a", "a1", "2025-01-07"), ("a", "a2", None)]).select("property_id", "source_name", "feed_date")
+    write_combined(df.where("feed_date IS NOT NULL"), path)
+    register_table(spark, "null_part", path, df.schema)
+    write_combined(df.where("feed_date IS NULL"), path)
+    assert add_table_partitions(spark, "null_part", df.where("feed_date IS NULL")) == 1
+    assert spark.table("null_part").count() == 2
+    spark.sql("DROP TABLE null_part")
+
+
+def test_many_writers_and_a_split_hot_folder(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    df = spark.range(20_000).selectExpr("'s' AS source_name", "CASE WHEN id < 15000 THEN '2025-01-01' ELSE concat('d', id % 50) END AS feed_date",
+                                        "concat('p', id) AS property_id")
+    write_feed(df, path, ("feed_date", "source_name"), overwrite="static", writers=8)
+    files = spark.read.parquet(path).selectExpr("feed_date", "_metadata.file_path AS f").distinct().collect()
+    assert sum(r.feed_date is not None and str(r.feed_date) == "2025-01-01" for r in files) > 2
+    assert len({r.f.rsplit("part-", 1)[1][:5] for r in files}) >= 6
+
+
+def test_a_thousand_sources_are_one_scan(spark, tmp_dir):
+    names = [f"s{k}" for k in range(1000)]
+    reordered = [C.EXPECTED_COLUMNS[1], C.EXPECTED_COLUMNS[0], "unit_no", *C.EXPECTED_COLUMNS[2:]]
+    for k, n in enumerate(names[:990]):
+        if k % 2:
+            _write(tmp_dir, n, "a.csv", [HEADER, _line(f"P{k}", "X", "2025-01-06")])
+        else:
+            _write(tmp_dir, n, "a.csv", [",".join(reordered), ",".join(["X", f"P{k}", "7", "2025-01-06"])])
+    _write(tmp_dir, "s990", "listings.csv", [""])                          # nothing but an empty line
+    _write(tmp_dir, "s991", "a.csv", ["agency,address", "X,Y"])            # no id column
+    feeds = read_feed_root(spark, tmp_dir, names)
+    plan = feeds.df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("csv") <= 2 and plan.count("Union") == 0
+    rows = feeds.df.select("source_name", "property_id", "source_agency", "feed_date", "unit_no").collect()
+    assert len(rows) == 990
+    assert all(r.property_id == "P" + r.source_name[1:] and r.source_agency == "X" and r.feed_date == "2025-01-06"
+               and r.unit_no == (None if int(r.source_name[1:]) % 2 else "7") for r in rows)
+    assert set(feeds.errors) == set(names[990:]) and "property_id" in feeds.errors["s991"]
+
+
+def test_cluster_without_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from feedlake.session import ensure_checkpoint_dir
+    jsc = SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: SimpleNamespace(isDefined=lambda: False)))
+    session = SimpleNamespace(sparkContext=SimpleNamespace(_jsc=jsc, master="yarn"), conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(session)

@@ -32,10 +32,17 @@ def test_no_python_evaluation_anywhere(spark):
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
-def test_metrics_are_one_aggregation_over_one_scan(spark):
-    feed = listing_feed(spark, SF_SMALL)
-    p = _plan(source_metrics(feed))
-    assert p.count("FileScan parquet") == 1 or p.count("Scan parquet") == 1
+def test_metrics_do_not_travel_with_the_ids(spark):
+    """One wide aggregation per source, and one of (source, id) that holds the key columns only."""
+    p = source_metrics(listing_feed(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    by_id = [line for line in p.splitlines() if "hashpartitioning(source_name" in line and "property_id" in line]
+    assert by_id
+    lines = p.splitlines()
+    for i, line in enumerate(lines):
+        if "HashAggregate(keys=[source_name" in line and "property_id" in line.split("functions")[0]:
+            assert "count" in line and "neg" not in line and "min(" not in line
+            assert line.split("functions=[")[1].split("]")[0].count(",") == 0
+    assert p.count("Scan parquet") == 2
 
 
 def test_scan_reads_only_needed_columns(spark):
@@ -77,9 +84,3 @@ def test_profile_reports_do_not_rescan_raw_data(spark):
     for frame in derived:
         assert "lineitem" not in _plan(frame)
     assert "lineitem" in _plan(prof.duplicates)
-
-
-def test_partitioned_write_rebalances(spark):
-    df = spark.createDataFrame([("a", "2025-01-06")], "id string, feed_date string")
-    hinted = df.hint("rebalance", "feed_date")
-    assert "RebalancePartitions" in hinted._jdf.queryExecution().optimizedPlan().toString()

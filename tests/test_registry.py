@@ -12,19 +12,23 @@ from scripts.oracle_check import _rows
 
 from .conftest import SF_SMALL
 
-WRITES = {"parquet_roundtrip", "table_counts", "incremental_load"}
+from feedlake.plans.registry import QUERIES
+from feedlake.plans.wide_registry import WIDE_QUERIES
+
+FEED_QUERIES = sorted({**QUERIES, **WIDE_QUERIES})
 
 
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("lineitem",):
+    for t in ("lineitem", "orders", "part", "supplier", "customer"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_SMALL, t + '.parquet')}')")
     return con
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    """Of the feed queries; those of training data are tested in ``tests/llm``."""
+    assert set(FEED_QUERIES) <= set(entry.queries()) and set(FEED_QUERIES) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -33,7 +37,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITES))
+@pytest.mark.parametrize("name", FEED_QUERIES)
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     cur = duck.execute(entry.oracle_sql()[name])
@@ -42,13 +46,20 @@ def test_query_matches_oracle(spark, duck, name):
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(d_cols, cur.fetchall())
 
 
-@pytest.mark.skipif(os.environ.get("FEEDLAKE_SLOW") != "1", reason="set FEEDLAKE_SLOW=1 (writes ~4k partitions)")
-@pytest.mark.parametrize("name", sorted(WRITES))
-def test_write_query_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF_SMALL)
-    cur = duck.execute(entry.oracle_sql()[name])
+def test_a_changed_threshold_turns_a_row_red(spark, duck, monkeypatch):
+    """The wide oracles share no values with ``config``."""
+    from feedlake import config as C
+    monkeypatch.setattr(C, "GRADES", ((90, "EXCELLENT"), (76, "GOOD"), (60, "FAIR")))
+    df = entry.queries()["wide_quality_score"](spark, SF_SMALL)
+    cur = duck.execute(entry.oracle_sql()["wide_quality_score"])
     d_cols = [d[0] for d in cur.description]
-    assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(d_cols, cur.fetchall())
+    assert _rows(df.columns, [tuple(r) for r in df.collect()]) != _rows(d_cols, cur.fetchall())
+
+
+def test_wide_scores_reach_every_grade(spark):
+    rows = {r.source_name: (r.score, r.grade) for r in entry.queries()["wide_quality_score"](spark, SF_SMALL).collect()}
+    assert {g for _, g in rows.values()} == {"EXCELLENT", "GOOD", "FAIR", "POOR", "ERROR"}
+    assert rows["w4"] == (75, "GOOD")
 
 
 @pytest.mark.parametrize("name", ["validate_feeds", "clean_listings", "numeric_profile",
