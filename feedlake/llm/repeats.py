@@ -39,8 +39,9 @@ from feedlake.llm.common import arrow_schema, materialise, shuffle_partitions, t
 
 HOT = 4096              # contexts of one anchor that one chunk takes
 BROADCAST_ANCHORS = 200_000  # split anchors that are broadcast, 16 bytes each
-PIECE = 1 << 20         # symbols sampled at once
-PILE_BYTES = 4 << 20    # context bytes compared at once
+PIECE = 1 << 18         # symbols sampled at once
+SLICE = 500             # documents of a batch that are held as text at once
+PILE_BYTES = 1 << 20    # context bytes compared at once
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _SEED = np.random.default_rng(20240229)
@@ -148,11 +149,15 @@ def _postings(kind: Kind, n_buckets: int):
             refs, first = np.unique(batch.column("r1").to_numpy(zero_copy_only=False), return_index=True)
             if not len(refs):
                 continue
-            texts = [t.encode() for t in batch.column("text").take(pa.array(first)).to_pylist()]
-            parts = list(zip(*_sampled(kind, texts), strict=True))
-            doc, fp, lo, hi = (np.concatenate(p) for p in parts)
+            column, parts = batch.column("text"), []
+            for low in range(0, len(first), SLICE):
+                texts = [t.encode() for t in column.take(pa.array(first[low:low + SLICE])).to_pylist()]
+                parts += [(doc + low, fp, a.astype(np.int32), b.astype(np.int32))
+                          for doc, fp, a, b in _sampled(kind, texts)]
+            doc, fp, lo, hi = (np.concatenate(p) for p in zip(*parts, strict=True))
+            del parts
             order = np.argsort(fp, kind="stable")
-            ref, fp, lo, hi = refs[doc[order]], fp[order], lo[order].astype(np.int32), hi[order].astype(np.int32)
+            ref, fp, lo, hi = refs[doc[order]], fp[order], lo[order], hi[order]
             starts = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]])) if len(fp) else np.zeros(0, int)
             counts = np.diff(np.concatenate([starts, [len(fp)]]))
             known = np.repeat(counts > 1, counts)
