@@ -269,12 +269,12 @@ _LEFT = np.dtype([("a", "<u8"), ("b", "<u8"), ("rep", "<i8"), ("r1", "<i8"), ("r
                   ("done", "?")])
 
 
-def _runs(flags: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last index of each run of set flags within a group."""
+def _runs(flags: np.ndarray, joined: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last index of each run of set flags; a run goes on where ``joined`` says so."""
     on = np.flatnonzero(flags)
     if not len(on):
         return on, on
-    new = np.flatnonzero((on[1:] != on[:-1] + 1) | (group[on[1:]] != group[on[:-1]])) + 1
+    new = np.flatnonzero((on[1:] != on[:-1] + 1) | ~joined[on[1:]]) + 1
     return on[np.concatenate([[0], new])], on[np.concatenate([new, [len(on)]]) - 1]
 
 
@@ -298,13 +298,20 @@ def _decide(kind: Kind, by_order: bool, compare: Callable[[Pile], Verdict], n_bu
         row = np.repeat(np.arange(len(n)), n)
         step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
         window = bounds[which[row]] + step
+        joined = np.concatenate([[False], row[1:] == row[:-1]])
         if by_order:
-            lowest = np.full(int(same.max(initial=-1)) + 1, np.iinfo(np.int64).max)
-            np.minimum.at(lowest, same, np.repeat(pile.least, pile.n))
-            marked = lowest[same[window]] < col["rep"][row]
+            # The reference's window for each distinct one: that of the smallest order number.
+            order = np.repeat(pile.least, pile.n)
+            by = np.lexsort((np.arange(len(same)), order, same))
+            heads = by[np.concatenate([[True], same[by][1:] != same[by][:-1]])]
+            reference = heads[same[window]]
+            marked = order[reference] < col["rep"][row]
+            # A factor goes on while the reference continues like the text; at its
+            # end the next windows, across the boundary, start factors of their own.
+            joined[1:] &= reference[1:] == reference[:-1] + 1
         else:
             marked = repeats[window] | pile.many[which[row]]
-        a, b = _runs(marked, row)
+        a, b = _runs(marked, joined)
         if len(a):
             yield pa.RecordBatch.from_arrays(
                 [col["r1"][row[a]], col["r1"][row[a]], col["r2"][row[a]],

@@ -54,7 +54,8 @@ def _ranks(pairs: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
 
 
 def parsed_windows(pile: Pile, length: int = LENGTH) -> Verdict:
-    """Equal windows' numbers; which windows another stretch has is left to the order of documents."""
+    """The index's number of each window; equal windows have equal numbers. The parse by the
+    order of documents follows in ``repeats``, which also holds the stretches that share a text."""
     numbers: dict = {}
     words = [[numbers.setdefault(w, len(numbers)) for w in x.split(b" ")] for x in pile.data]
     sizes = np.fromiter(map(len, words), np.int64, len(words))
