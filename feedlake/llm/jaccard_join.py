@@ -42,13 +42,14 @@ from feedlake.llm.substring_dedup import word_codes
 
 SHINGLE = 5
 PERCENT = 75
-GROUPS = 128
+GROUPS = 512
 FANOUT = 16          # points in a tree node
 LEAF = 256           # points of a large block that one task takes from it at once
-SAMPLE_PART = 50     # one document in so many is sampled for frequent shingles
+SAMPLE_PART = 10     # one document in so many is sampled for frequent shingles
 SAMPLE_LEAST, SAMPLE_MOST = 5_000, 1_000_000
 FREQUENT_MOST = 65_536
 BROADCAST_TEXTS = 1_000_000  # keys of texts to verify that are broadcast, 24 bytes each
+SLICE = 200          # documents that a task holds as text and word hashes at once
 HOT_BIT = np.uint64(1 << 63)
 
 
@@ -78,8 +79,8 @@ def _nodes(n_docs: int, doc: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    for low in range(0, batch.num_rows, 1000):
-        part = batch.slice(low, 1000)
+    for low in range(0, batch.num_rows, SLICE):
+        part = batch.slice(low, SLICE)
         yield part, [t.encode() for t in part.column("text").to_pylist()]
 
 
@@ -89,8 +90,15 @@ _PROFILE = "doc_id long, r1 long, r2 long, n_shingles long, node long, point bin
 def _points(n_docs: int, doc: np.ndarray, hashes: np.ndarray) -> pa.Array:
     """Each document's count vector."""
     group = (scramble(hashes + np.uint64(3)) % np.uint64(GROUPS)).astype(np.int64)
-    points = np.bincount(doc * GROUPS + group, minlength=n_docs * GROUPS).astype(np.int32)
-    return pa.array([points[i * GROUPS:(i + 1) * GROUPS].tobytes() for i in range(n_docs)], pa.binary())
+    points = np.bincount(doc * GROUPS + group, minlength=n_docs * GROUPS).reshape(n_docs, GROUPS)
+    kinds = [np.uint8 if m < 1 << 8 else np.uint16 if m < 1 << 16 else np.uint32
+             for m in points.max(axis=1, initial=0).tolist()]
+    return pa.array([p.astype(k).tobytes() for p, k in zip(points, kinds, strict=True)], pa.binary())
+
+
+def _unpacked(points: list[bytes]) -> np.ndarray:
+    """Count vectors of one, two or four bytes a group."""
+    return np.array([np.frombuffer(p, f"<u{len(p) // GROUPS}") for p in points], np.int32).reshape(len(points), GROUPS)
 
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,7 +276,7 @@ def _unit_pairs(spanning: bool, percent: int):
     schema = arrow_schema("u long, v long")
 
     def pairs(node: np.ndarray, n: np.ndarray, points: np.ndarray, component: np.ndarray) -> tuple[np.ndarray, ...]:
-        if len(node) < 2 or not spanning and (component == component[0]).all():
+        if len(node) < 2:
             return node[:0], node[:0]
         i, j, bound = tree_pairs(points, n, percent)
         if spanning:
@@ -288,13 +296,17 @@ def _unit_pairs(spanning: bool, percent: int):
 
         def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
             unit, node, n, component = (table.column(c).to_numpy() for c in ("unit", "node", "n", "component"))
-            points = np.frombuffer(b"".join(table.column("point").to_pylist()), np.int32).reshape(len(node), GROUPS)
+            points = table.column("point")
             cuts = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]])).tolist()
             found = []
             for a, b in zip(cuts, [*cuts[1:], len(unit)], strict=True):
                 # A node may be in both leaves of a unit.
                 keep = a + np.unique(node[a:b], return_index=True)[1]
-                found.append(pairs(node[keep], n[keep], points[keep], component[keep]))
+                if spanning or (component[keep] != component[keep[0]]).any():
+                    found.append(pairs(node[keep], n[keep], _unpacked(points.take(pa.array(keep)).to_pylist()),
+                                       component[keep]))
+            if not found:
+                return
             u, v = (np.concatenate(c) for c in zip(*found, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], schema=schema)
 
