@@ -238,7 +238,9 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, window: in
     cols = ["component", "node", "weight", "unit"]
     left = dealt.select(*cols, F.col("tile").alias("a"), every, F.lit(0).alias("side")).withColumnRenamed("other", "b")
     right = dealt.select(*cols, F.col("tile").alias("b"), every, F.lit(1).alias("side")).withColumnRenamed("other", "a")
-    counts = (left.unionByName(right).groupBy("component", "a", "b")
+    # Tile pairs are dealt by all three: a component's tiles go to many tasks.
+    counts = (left.unionByName(right).repartition(shuffle_partitions(spark), "component", "a", "b")
+                  .groupBy("component", "a", "b")
                   .applyInArrow(_tile_counts(threshold), _COUNTS)
                   .groupBy("node").agg(F.sum("n").alias("n")))
     least = (groups.join(classes.select("node", "least"), "node").groupBy("component")
