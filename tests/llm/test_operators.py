@@ -217,6 +217,28 @@ def test_embedding_links(spark):
     assert n_passes(10**9, 0.95, 32, 0.995) > n_passes(10**4, 0.95, 32, 0.995) >= 4
 
 
+def test_embedding_links_in_a_loose_cluster(spark):
+    # A common direction, and a third of the rows in a cluster whose cosines are below the threshold.
+    g = np.random.default_rng(5)
+
+    def units(x):
+        return x / np.linalg.norm(x, axis=1)[:, None]
+    n, d = 12000, 64
+    common, centre = units(g.standard_normal((2, d)))
+    x = units(0.7 ** 0.5 * common + 0.3 ** 0.5 * units(g.standard_normal((n, d))))
+    x[::3] = units(0.85 ** 0.5 * centre + 0.15 ** 0.5 * units(g.standard_normal((len(x[::3]), d))))
+    some = np.arange(0, 3000, 3).tolist() + np.arange(1, 3000, 3).tolist()
+    off = g.standard_normal((len(some), d))
+    off = units(off - np.einsum("ij,ij->i", off, x[some])[:, None] * x[some])
+    x = np.concatenate([x, 0.955 * x[some] + (1 - 0.955 ** 2) ** 0.5 * off]).astype(np.float32).astype(float)
+    rows = [(i, v.tolist(), 0, "n", "u") for i, v in enumerate(x)]
+    out = {r["vec_id"]: r for r in embedding_dedup(spark.createDataFrame(rows, VECTORS).repartition(4)).collect()}
+    near = np.argwhere(np.triu(units(x) @ units(x).T >= 0.95, 1)).tolist()
+    met = sum(out[i]["component_id"] == out[j]["component_id"] for i, j in near)
+    print(f"recall {met / len(near):.4f} of {len(near)} links")
+    assert len(near) >= 2000 and met >= 0.99 * len(near)
+
+
 # --- 4 and 7: repeats ----------------------------------------------------------------------------
 
 def plain_suffix(rows, length=200):
