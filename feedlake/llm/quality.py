@@ -3,9 +3,16 @@
 Lines are normalised (lower case, runs of white space as one space, trimmed)
 and hashed. For each host the distinct documents of each line are counted;
 equal texts are one document, so copies of a good page do not count against
-it. A line in more than ``max_documents`` documents of a host is boilerplate
-there and is removed. A document that keeps less than ``min_kept`` of its words
-is depleted and rejected, and so is one that fails the base rules.
+it. A line in more than ``max_documents`` documents of a host, and in more than
+``max_share`` of them, is boilerplate there and is removed. A document that
+keeps less than ``min_kept`` of its words is depleted and rejected, and so is
+one that fails the base rules.
+
+Near copies are one document as well. Documents that such a count would deplete
+share nearly all their words with others; those with the same smallest shared
+line are a group, and lines are counted again with each group as one document.
+So a line is boilerplate if documents of different content hold it, and a page's
+near copies do not remove it.
 
 Only DataFrame functions run here. A document's words stay in its row; what is
 shuffled is one hash per distinct line, summed before the shuffle, so a line or
@@ -24,6 +31,7 @@ from pyspark.sql import functions as F
 from feedlake.llm.common import SPACE_CLASS, WORD, materialise, text_or_empty
 
 MAX_DOCUMENTS = 50   # of a host that may share a line
+MAX_SHARE = 0.001    # part of a host's documents that may, if that is more
 MIN_KEPT = 0.2       # part of a document's words that must remain
 MIN_WORDS = 50
 MAX_REPEATED = 50    # percent of words in repeated windows
@@ -72,26 +80,45 @@ def base_measures(docs: DataFrame, *keep: str) -> DataFrame:
     return rows.withColumn("n_repeat_words", repeated).drop("w", "z", "at")
 
 
-def frequent_lines(rows: DataFrame, max_documents: int) -> DataFrame:
-    """``host, h``: lines in more than ``max_documents`` distinct texts of a host.
-    ``rows``: ``host, r1, lines``."""
-    return (rows.select("host", "r1", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
-                .distinct()
-                .groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"))
-                .where(F.col("n") > max_documents).select("host", "h"))
+def _common(counted: DataFrame, sizes: DataFrame, max_documents: int, max_share: float) -> DataFrame:
+    """``f, g`` (host and hash) of lines over the limit. ``counted``: ``host, h`` and a document, distinct."""
+    counts = counted.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_documents)
+    return (counts.join(sizes, counts["host"].eqNullSafe(sizes["s"])).where(F.col("n") > max_share * F.col("documents"))
+                  .select(F.col("host").alias("f"), F.col("h").alias("g")))
+
+
+def _held(entries: DataFrame, lines: DataFrame) -> DataFrame:
+    return entries.join(lines, F.col("host").eqNullSafe(F.col("f")) & (F.col("h") == F.col("g")), "left_semi")
+
+
+def frequent_lines(rows: DataFrame, max_documents: int, max_share: float, min_kept: float) -> tuple[DataFrame, DataFrame]:
+    """``f, g``: host and hash of the lines that are boilerplate, and the occurrences (``row, host,
+    h, words``) of all that may be. ``rows``: ``row, host, r1, n_words, lines``."""
+    sizes = materialise(rows.select("host", "r1").distinct().groupBy(F.col("host").alias("s"))
+                            .agg(F.count(F.lit(1)).alias("documents")), "quality-hosts")
+    counted = rows.select("host", "r1", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
+    first = materialise(_common(counted.distinct(), sizes, max_documents, max_share), "quality-lines")
+    entries = (rows.select("row", "host", "r1", "n_words", F.explode("lines").alias("line"))
+                   .select("row", "host", "r1", "n_words", "line.h", "line.words"))
+    held = materialise(
+        _held(entries, first).groupBy("row", "host", "r1", "n_words")
+        .agg(F.sum("words").alias("shared"), F.min("h").alias("least"),
+             F.collect_list(F.struct("h", "words")).alias("lines")), "quality-shared")
+    depleted = F.col("n_words") - F.col("shared") < min_kept * F.col("n_words")
+    again = held.select("host", depleted.alias("group"), F.when(depleted, F.col("least")).otherwise(F.col("r1")).alias("document"),
+                        F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h")).distinct()
+    lines = materialise(_common(again, sizes, max_documents, max_share), "quality-boilerplate")
+    return lines, held.select("row", "host", F.explode("lines").alias("line")).select("row", "host", "line.h", "line.words")
 
 
 def quality_rules(docs: DataFrame, host: str = "source", max_documents: int = MAX_DOCUMENTS,
-                  min_kept: float = MIN_KEPT) -> DataFrame:
+                  min_kept: float = MIN_KEPT, max_share: float = MAX_SHARE) -> DataFrame:
     """``doc_id``, the base measures, ``base_failed``, ``removed_words`` and ``kept`` of every
     row of ``docs`` (``doc_id``, ``text``, host)."""
     base = base_measures(docs.select("doc_id", F.col(host).alias("host"), "text"), "doc_id", "host")
     rows = materialise(base.withColumn("row", F.monotonically_increasing_id()), "quality-rows")
-    frequent = frequent_lines(rows, max_documents)
-    entries = rows.select("row", "host", F.explode("lines").alias("line")).select("row", "host", "line.h", "line.words")
-    removed = (entries.join(frequent.withColumnRenamed("host", "f"),
-                            F.col("host").eqNullSafe(F.col("f")) & (entries["h"] == frequent["h"]), "left_semi")
-                      .groupBy("row").agg(F.sum("words").alias("removed_words")))
+    frequent, held = frequent_lines(rows, max_documents, max_share, min_kept)
+    removed = _held(held, frequent).groupBy("row").agg(F.sum("words").alias("removed_words"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     depleted = F.col("n_words") - F.col("removed_words") < min_kept * F.col("n_words")
     return (rows.drop("lines", "r1", "host").join(removed, "row", "left").drop("row")
@@ -100,12 +127,16 @@ def quality_rules(docs: DataFrame, host: str = "source", max_documents: int = MA
                 .withColumn("kept", ~failed & ~depleted))
 
 
-def without_frequent_lines(docs: DataFrame, host: str = "source", max_documents: int = MAX_DOCUMENTS) -> DataFrame:
+def without_frequent_lines(docs: DataFrame, host: str = "source", max_documents: int = MAX_DOCUMENTS,
+                           min_kept: float = MIN_KEPT, max_share: float = MAX_SHARE) -> DataFrame:
     """``docs`` with its texts' frequent lines removed; hot hosts' lists are joined by host once."""
     rows = docs.select(F.col(host).alias("host"), F.xxhash64(text_or_empty()).alias("r1"),
                        line_entries(text_or_empty()).alias("lines"))
-    lists = (frequent_lines(rows, max_documents).groupBy(F.col("host").alias("f"))
-             .agg(F.collect_set("h").alias("frequent")))
+    rows = materialise(
+        rows.withColumn("n_words", F.aggregate("lines", F.lit(0), lambda n, x: n + x["words"]).cast("long"))
+            .withColumn("row", F.monotonically_increasing_id()), "quality-rows")
+    lists = (frequent_lines(rows, max_documents, max_share, min_kept)[0].groupBy("f")
+             .agg(F.collect_set("g").alias("frequent")))
     kept = F.filter(F.split("text", "\n"),
                     lambda x: ~F.coalesce(F.array_contains("frequent", F.xxhash64(normalised(x))), F.lit(False)))
     return (docs.join(lists, docs[host].eqNullSafe(lists["f"]), "left")

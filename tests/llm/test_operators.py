@@ -425,6 +425,29 @@ def test_quality_rules_equal_brute_force(spark):
     assert cleaned[600][0][0].startswith("# a | b")
 
 
+def test_quality_rules_keep_near_copies(spark):
+    r = random.Random(8)
+
+    def line(k=12):
+        return " ".join(f"n{r.randint(0, 10**6)}" for _ in range(k))
+    page, shared = [line() for _ in range(20)], [line() for _ in range(4)]
+    rows = [(0, "\n".join(page), "hot")]
+    for k in range(1, 300):
+        copy = list(page)
+        for _ in range(r.choice([1, 1, 2])):
+            copy[r.randrange(20)] = line()
+        rows.append((k, "\n".join(copy), "hot"))
+    rows += [(1000 + k, "\n".join([*shared, line(60), line(60)]), "hot") for k in range(60)]  # boilerplate of other pages
+    rows += [(2000 + k, "\n".join([*shared, line(8)]), "hot") for k in range(20)]             # little but that
+    out = {x["doc_id"]: x for x in quality_rules(table(spark, rows)).collect()}
+    assert all(out[k]["kept"] and out[k]["removed_words"] == 0 for k in range(300))
+    assert all(out[1000 + k]["kept"] and out[1000 + k]["removed_words"] == 48 for k in range(60))
+    assert not any(out[2000 + k]["kept"] for k in range(20))
+    # A line in 81 of 380 documents is no boilerplate of a host that allows a quarter of them.
+    out = quality_rules(table(spark, rows), max_share=0.25).collect()
+    assert all(x["kept"] and x["removed_words"] == 0 for x in out if x["doc_id"] >= 1000)
+
+
 # --- 8: packing ----------------------------------------------------------------------------------
 
 def optimum(items, capacity):
