@@ -54,6 +54,13 @@ FURNITURE_NAMES = frozenset(
     "gdpr notice notices newsletter subscribe subscription share sharing social related recommended sidebar menu nav "
     "navbar navigation breadcrumb breadcrumbs footer masthead comment comments disqus replies respond popup modal "
     "overlay paywall login signup pagination pager toolbar widget widgets skip".split())
+#: Second parts of names of furniture, as in ``share-buttons``.
+FURNITURE_PARTS = frozenset("area bar block box button buttons container form icon icons inner item items link links list "
+                            "outer panel section top bottom left right unit wrap wrapper".split())
+#: Names that an article's own parts have too: inside it the style tree decides.
+DOUBTFUL_NAMES = frozenset("comment consent notice notices overlay promo promotion recommended related replies respond "
+                           "share sharing skip social subscription".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 MAIN = frozenset(("article", "main"))
 BLOCK = frozenset(
@@ -71,8 +78,8 @@ NOT_IN_P = BLOCK - {"br", "option", "optgroup", "body", "html", "head", "title",
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|</([a-zA-Z][^\s/>]*+)[^>]*+>"
     r"|<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
-_ATTRIBUTE = re.compile(r"""(?:^|[\s/])(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""",
-                        re.I)
+#: A whole attribute, so that values are never searched for names.
+_ATTRIBUTE = re.compile(r"""([^\s/>="']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|"[^"]*"|'[^']*'""")
 _NAME = re.compile(r"[a-z]+")
 _RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 
@@ -89,6 +96,19 @@ class Node:
         self.text: list[str] = []
 
 
+def _furniture(key: str, value: str, tag: str, in_main: bool) -> bool:
+    """Whether a whole class or id names page furniture. Ids of headings and sections are
+    slugs of their titles; headings in an article belong to it."""
+    if tag in HEADINGS and (in_main or key == "id") or tag == "section" and key == "id" and in_main:
+        return False
+    for token in value.split():
+        parts = _NAME.findall(token)
+        if parts and parts[0] in FURNITURE_NAMES and all(x in FURNITURE_NAMES or x in FURNITURE_PARTS for x in parts):
+            if not (in_main and len(parts) == 1 and parts[0] in DOUBTFUL_NAMES):
+                return True
+    return False
+
+
 def _named(tag: str, attributes: str, in_main: bool) -> tuple[str, bool]:
     """The node's name in the style tree (tag and classes), and whether it is page furniture."""
     mute = tag in FURNITURE or (tag == "header" and not in_main)
@@ -98,8 +118,9 @@ def _named(tag: str, attributes: str, in_main: bool) -> tuple[str, bool]:
             key, value = key.lower(), value.strip("\"'").lower()
             if key in ("class", "id"):
                 if tag not in MAIN and tag not in ("body", "html"):
-                    mute = mute or any(x in FURNITURE_NAMES for x in _NAME.findall(value))
-                elif tag == "article" and "comment" in value:
+                    mute = mute or _furniture(key, value, tag, in_main)
+                elif tag == "article" and any(x.startswith(("comment-", "comments-")) or x in ("comment", "comments")
+                                              for x in value.split()):
                     mute = True
                 if key == "class":
                     name += "." + " ".join(_NAME.findall(value))

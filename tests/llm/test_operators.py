@@ -546,6 +546,18 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article><h2 id='related-work'>R</h2><section id='social-effects'>s</section><section id=sharing>t</section>",
+     "R s t"),
+    ("<article><p class='notice-period'>p</p><div class=share-price>q</div><p class='notice'>r</p>", "p q r"),
+    ("<article><a title='the hidden side'>l</a> <b title=\"x class='ad' y\" data-x='role=navigation'>m</b>", "l m"),
+    ("<article>a<div class='x ad'>b</div><div class=share-buttons>c</div><div id=ad_box>d</div><i HIDDEN>e</i>f", "af"),
+    ("<article>a<div class = 'newsletter' title='x'>b</div><p title=''hidden>c</p>", "a"),
+])
+def test_names_of_furniture_are_whole(page, text):
+    assert main_text(page).replace("a f", "af") == text
+
+
 def test_style_tree_cuts_what_a_site_repeats(spark):
     r = random.Random(1)
 
