@@ -43,6 +43,7 @@ from feedlake.llm.common import arrow_schema, materialise
 THRESHOLD = 0.3
 CONTENT_WEIGHT = 0.9
 MIN_PAGES = 10
+PATH_DEPTH = 400  # elements below it share the path of the one above them, so that paths stay short
 BROADCAST_BRANCHES = 100_000  # branches to cut, all hosts, that are broadcast
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -87,9 +88,9 @@ _RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 class Node:
     __slots__ = ("children", "main", "mute", "parent", "path", "tag", "text")
 
-    def __init__(self, tag: str, name: str, parent: Node | None, mute: bool):
+    def __init__(self, tag: str, name: str, parent: Node | None, mute: bool, depth: int = 0):
         self.tag, self.parent = tag, parent
-        self.path = f"{parent.path}/{name}" if parent else name
+        self.path = name if parent is None else parent.path if depth > PATH_DEPTH else f"{parent.path}/{name}"
         self.mute = mute or (parent is not None and parent.mute)
         self.main = tag in MAIN or (parent is not None and parent.main)
         self.children: list[str] = []
@@ -137,14 +138,17 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
     """All nodes, and the runs of text in page order with their node; None: a block begins or ends."""
     root = Node("", "", None, False)
     nodes, runs, stack, at = [root], [], [root], 0
+    places: dict[str, list[int]] = {}  # of the open elements in the stack, by tag
+
+    def innermost(tags: frozenset) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
 
     def pop_to(names: frozenset, limits: frozenset) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in names:
-                del stack[k:]
-                return
-            if stack[k].tag in limits:
-                return
+        k = innermost(names)
+        if k and k >= innermost(limits):
+            for node in stack[k:]:
+                places[node.tag].pop()
+            del stack[k:]
 
     def add(upto: int) -> None:
         if at < upto:
@@ -178,9 +182,10 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
                 close = _RAW_END[tag].search(page, at)
                 at = close.end() if close else len(page)
                 continue
-            node = Node(tag, name, stack[-1], mute)
+            node = Node(tag, name, stack[-1], mute, len(stack))
             nodes.append(node)
-            if not (tag in RAW or len(stack) > 400):  # deeper nesting is read as flat
+            if tag not in RAW:
+                places.setdefault(tag, []).append(len(stack))
                 stack.append(node)
     add(len(page))
     return nodes, runs
@@ -190,20 +195,17 @@ def main_text(page: str, cut: frozenset = frozenset()) -> str:
     """Text of the page's article; ``cut``: paths of branches to leave out."""
     nodes, runs = parse(page)
     has_main = any(n.main and not n.mute for n in nodes)
-    dropped: dict[int, bool] = {}
-
-    def drop(node: Node) -> bool:
-        if (known := dropped.get(id(node))) is None:
-            known = node.mute or node.path in cut or (node.parent is not None and drop(node.parent))
-            dropped[id(node)] = known
-        return known
+    dropped: set[int] = set()
+    for node in nodes:  # parents come first
+        if node.mute or node.path in cut or id(node.parent) in dropped:
+            dropped.add(id(node))
 
     blocks, block = [], []
     for node, text in runs:
         if text is None:
             blocks.append("".join(block))
             block = []
-        elif not (has_main and not node.main) and not drop(node):
+        elif not (has_main and not node.main) and id(node) not in dropped:
             block.append(text)
     blocks.append("".join(block))
     return " ".join(x for b in blocks if (x := " ".join(b.split())))

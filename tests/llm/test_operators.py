@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from feedlake.llm import repeats
 from feedlake.llm.embedding_dedup import embedding_dedup, n_passes
-from feedlake.llm.html_extract import extract_text, main_text, style_tree
+from feedlake.llm.html_extract import extract_text, main_text, parse, style_tree
 from feedlake.llm.jaccard_join import jaccard_components, tree_pairs
 from feedlake.llm.mixing import mix, mixture
 from feedlake.llm.packing import _Plan, pack, packing_plan
@@ -558,6 +558,15 @@ def test_names_of_furniture_are_whole(page, text):
     assert main_text(page).replace("a f", "af") == text
 
 
+def test_very_deep_pages():
+    deep = 1000
+    assert main_text("<body><div><article>a" + "<div>" * deep + "b" + "</div>" * deep + "<p>c</p></article></div>out") == "a b c"
+    assert main_text("<div>" * deep + "out<article>a<nav>n</nav><p>b</p></article>" + "</div>" * deep + "out") == "a b"
+    assert main_text("<article>" + "<b>" * deep + "a<aside>n</aside>b") == "a b"
+    assert main_text("<p>" + "<object>x</object><span><div>" * 30000 + "a" + "</i>" * 30000 + "b").endswith("ab")
+    assert len(max((n.path for n in parse("<div>" * 30000)[0]), key=len)) < 10000
+
+
 def test_style_tree_cuts_what_a_site_repeats(spark):
     r = random.Random(1)
 
