@@ -8,11 +8,11 @@ All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm import mixing
-from feedlake.llm.common import materialise
+from feedlake.llm.common import materialise, text_or_empty
 from feedlake.llm.jaccard_join import jaccard_components
 from feedlake.llm.packing import pack
 from feedlake.llm.quality import quality_rules
@@ -21,33 +21,50 @@ from feedlake.llm.suffix_dedup import suffix_dedup
 TOKENIZER = "byte_bpe_50k.json"
 
 
-def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, as they are.
+def text_key() -> tuple[Column, Column]:
+    """Ids may be null or shared; with the hashes of its text a row is known for sure."""
+    return F.xxhash64(text_or_empty()), F.xxhash64(F.lit(7), text_or_empty())
+
+
+def _same_text(other: DataFrame) -> Column:
+    first, second = text_key()
+    return (first == other["k1"]) & (second == other["k2"])
 
-    Rows that share an id are kept or dropped together: one rejected row rejects its id.
-    """
-    rejected = quality_rules(docs).where("NOT kept").select(F.col("doc_id").alias("id"))
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["id"]), "left_anti")
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep, as they are. A verdict holds for the rows of
+    one text and source, whatever their ids."""
+    rejected = (quality_rules(docs, with_key=True).where("NOT kept")
+                .select(F.col("host").alias("h"), F.col("r1").alias("k1"), F.col("r2").alias("k2")).distinct())
+    return docs.join(rejected, docs["source"].eqNullSafe(rejected["h"]) & _same_text(rejected), "left_anti")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest id; of rows that
-    repeat that id, one. Documents without words link with nothing and stay."""
-    kept = (jaccard_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy(F.col("doc_id").alias("id")).agg(F.count(F.lit(1)).alias("n")))
-    kept = materialise(kept, "kept-ids")
-    same = docs["doc_id"].eqNullSafe(kept["id"])
-    return (docs.join(kept.where("n = 1"), same, "left_semi")
-                .unionByName(docs.join(kept.where("n > 1"), same, "left_semi").dropDuplicates(["doc_id"])))
+    """Of each group of near-duplicates, the document with the smallest id (a null id is the
+    largest); of rows that repeat that id and text, one. Documents without words link with
+    nothing and stay; of those that repeat an id and text, one."""
+    rows = (jaccard_components(docs, with_key=True)
+            .groupBy("component", F.col("doc_id").alias("id"), F.col("r1").alias("k1"), F.col("r2").alias("k2"))
+            .agg(F.count(F.lit(1)).alias("n")))
+    rows = materialise(rows, "jaccard-ids")
+    first = (rows.where("component IS NOT NULL").groupBy("component")
+                 .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2", "n")).alias("x"))
+                 .select("x.id", "x.k1", "x.k2", "x.n"))
+    kept = materialise(first.unionByName(rows.where("component IS NULL").drop("component")), "kept-ids")
+    once, more = kept.where("n = 1"), kept.where("n > 1")
+    keyed = docs.withColumns(dict(zip(("__1", "__2"), text_key(), strict=True)))
+    return (docs.join(once, docs["doc_id"].eqNullSafe(once["id"]) & _same_text(once), "left_semi")
+                .unionByName(keyed.join(more, keyed["doc_id"].eqNullSafe(more["id"]) & _same_text(more), "left_semi")
+                                  .dropDuplicates(["doc_id", "__1", "__2"]).drop("__1", "__2")))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the byte strings that repeat across them. Characters of which a
     byte went go whole; documents of which nothing is left go."""
     cleaned = (suffix_dedup(docs, with_text=True).where("kept_text IS NOT NULL")
-               .select(F.col("doc_id").alias("__id"), F.col("kept_text").alias("__text"))
-               .dropDuplicates(["__id"]))
-    joined = docs.join(cleaned, docs["doc_id"].eqNullSafe(cleaned["__id"]), "left")
+               .select(F.col("r1").alias("k1"), F.col("r2").alias("k2"), F.col("kept_text").alias("__text"))
+               .dropDuplicates(["k1", "k2"]))
+    joined = docs.join(cleaned, _same_text(cleaned), "left")
     changed = F.col("__text").isNotNull()
     return (joined.where(~changed | (F.col("__text") != ""))
                   .withColumn("text", F.coalesce("__text", "text"))

@@ -339,8 +339,10 @@ def _linked(percent: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``docs`` (``doc_id``, ``text``)."""
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, with_key: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row of ``docs`` (``doc_id``, ``text``).
+    ``with_key`` adds ``r1, r2``, the hashes of the text, and ``component``, a number of the
+    component whatever the ids; null without words."""
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     texts = keyed(docs)
@@ -410,7 +412,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     named = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
     labelled = (named.join(final, "node", "left").withColumn("component", F.coalesce("component", "node")))
     ids = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    return (rows.join(labelled.join(ids, "component").select("node", "component_id"), "node", "left")
+    return (rows.join(labelled.join(ids, "component").select("node", "component", "component_id"), "node", "left")
                 .select("doc_id", "n_shingles",
                         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-                        .alias("component_id")))
+                        .alias("component_id"),
+                        *(["r1", "r2", F.when(F.col("n_shingles") > 0, F.col("component")).alias("component")]
+                          if with_key else [])))

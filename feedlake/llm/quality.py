@@ -112,16 +112,19 @@ def frequent_lines(rows: DataFrame, max_documents: int, max_share: float, min_ke
 
 
 def quality_rules(docs: DataFrame, host: str = "source", max_documents: int = MAX_DOCUMENTS,
-                  min_kept: float = MIN_KEPT, max_share: float = MAX_SHARE) -> DataFrame:
+                  min_kept: float = MIN_KEPT, max_share: float = MAX_SHARE, with_key: bool = False) -> DataFrame:
     """``doc_id``, the base measures, ``base_failed``, ``removed_words`` and ``kept`` of every
-    row of ``docs`` (``doc_id``, ``text``, host)."""
-    base = base_measures(docs.select("doc_id", F.col(host).alias("host"), "text"), "doc_id", "host")
+    row of ``docs`` (``doc_id``, ``text``, host). ``with_key`` adds ``host, r1, r2``, the hashes
+    of the text; rows that agree in them have one verdict."""
+    extra = ["r2"] if with_key else []
+    base = base_measures(docs.select("doc_id", F.col(host).alias("host"), "text",
+                                     F.xxhash64(F.lit(7), text_or_empty()).alias("r2")), "doc_id", "host", *extra)
     rows = materialise(base.withColumn("row", F.monotonically_increasing_id()), "quality-rows")
     frequent, held = frequent_lines(rows, max_documents, max_share, min_kept)
     removed = _held(held, frequent).groupBy("row").agg(F.sum("words").alias("removed_words"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     depleted = F.col("n_words") - F.col("removed_words") < min_kept * F.col("n_words")
-    return (rows.drop("lines", "r1", "host").join(removed, "row", "left").drop("row")
+    return (rows.drop("lines", *([] if with_key else ["r1", "host"])).join(removed, "row", "left").drop("row")
                 .withColumn("removed_words", F.coalesce("removed_words", F.lit(0)))
                 .withColumn("base_failed", failed)
                 .withColumn("kept", ~failed & ~depleted))

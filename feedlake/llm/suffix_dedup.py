@@ -183,8 +183,9 @@ def _kept(with_text: bool):
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every row of ``docs``
-    (``doc_id``, ``text``). ``with_text`` adds, where something was removed, the remaining
-    bytes as ``kept`` and the remaining whole characters as ``kept_text``."""
+    (``doc_id``, ``text``). ``with_text`` adds ``r1, r2``, the hashes of the text, and, where
+    something was removed, the remaining bytes as ``kept`` and the remaining whole characters
+    as ``kept_text``."""
     texts = keyed(docs)
     rows = materialise(texts.select(
         "doc_id", "r1", "r2", F.octet_length("text").cast("long").alias("n_bytes"),
@@ -198,10 +199,10 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, with_text: bool = False)
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
     pick = lambda c, whole, none: F.when(gone, whole).otherwise(F.coalesce(F.col(c), none))
     out = (rows.join(classes, ["r1", "r2"]).join(changed, ["r1", "r2"], "left")
-               .select("doc_id", "n_bytes",
+               .select("doc_id", "r1", "r2", "n_bytes",
                        pick("n_removed", F.col("n_bytes"), F.lit(0)).cast("long").alias("n_removed"),
                        pick("n_spans", F.lit(1), F.lit(0)).cast("long").alias("n_spans"),
                        pick("kept_sha256", F.sha2(F.lit("").cast("binary"), 256), F.col("whole")).alias("kept_sha256"),
                        F.when(gone, F.lit("").cast("binary")).otherwise(F.col("kept")).alias("kept"),
                        F.when(gone, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text")))
-    return out if with_text else out.drop("kept", "kept_text")
+    return out if with_text else out.drop("kept", "kept_text", "r1", "r2")

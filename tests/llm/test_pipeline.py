@@ -72,3 +72,22 @@ def test_connected_components(spark):
     got = {r["node"]: r["component"] for r in out.collect()}
     assert got == {**dict.fromkeys(range(100, 161), 100), **dict.fromkeys(range(5, 40), 5)}
     assert connected_components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_stages_with_null_and_shared_ids(spark):
+    def words(name, n=60):
+        return " ".join(f"{name}{j}" for j in range(n))
+    passage = words("passage")
+    rows = [(None, words("a"), "s"), (None, words("b"), "s"), (7, words("c"), "s"), (7, words("d"), "s"),
+            (None, "too short", "s"), (7, "short too", "s"), (8, words("e"), "s"), (9, words("e") + " f", "s"),
+            (8, words("e"), "s"), (None, words("g") + " " + passage, "s"), (None, words("h") + " " + passage, "s")]
+    docs = table(spark, rows)
+    kept = corpus_pipeline.quality(spark, docs, "")
+    assert Counter(rows_of(kept)) == Counter(r for r in rows if "short" not in r[1])
+    one = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert one.columns == docs.columns
+    assert Counter(rows_of(one)) == Counter(r for r in dict.fromkeys(rows) if r[0] != 9)
+    clean = Counter(rows_of(corpus_pipeline.without_repeats(spark, one, "")))
+    assert sum(clean.values()) == sum(r[0] != 9 for r in dict.fromkeys(rows))
+    assert all(sum(i is None and t.startswith(x) and "passage30" not in t for i, t, _ in clean) == 1 for x in ("g0 ", "h0 "))
+    assert {r for r in dict.fromkeys(rows) if r[0] in (7, 8) or r[0] is None and r[1][0] in "abt"} <= set(clean)
