@@ -6,6 +6,9 @@ inside each window of ``length`` symbols, the one with the smallest hash (the
 first of equals) is the window's anchor. Equal windows have equal anchors at
 equal places, so windows need comparing only if their anchors' hashes agree.
 That loses nothing; the operator's own method then decides on the symbols.
+In a run of one symbol or of a short period anchors of one hash follow each
+other; the first keeps its own windows, so that two places show the repeat, and
+the windows of the others go together in stretches of about ``STRETCH``.
 
 Steps, each a Spark shuffle of what the one before kept:
 
@@ -14,8 +17,9 @@ Steps, each a Spark shuffle of what the one before kept:
    known to repeat and are dealt by document, so that a frequent passage sends
    one posting per batch to its bucket, not one per occurrence.
 2. ``contexts``: each candidate anchor's windows (the stretch of text that they
-   cover) go to the anchor's hash. An anchor with more than ``HOT`` windows'
-   stretches is split into chunks.
+   cover) go to the anchor's hash, in batches of bounded size. An anchor with
+   more than ``HOT`` stretches, or as much in longer ones, is split into chunks
+   by text and place.
 3. ``decide``: the operator compares the windows of a pile of whole chunks in
    one task. For split anchors a chunk also sends one digest per distinct
    window, packed by digest bucket.
@@ -39,6 +43,8 @@ from feedlake.llm.common import arrow_schema, materialise, shuffle_partitions, t
 
 HOT = 4096              # contexts of one anchor that one chunk takes
 BROADCAST_ANCHORS = 200_000  # split anchors that are broadcast, 16 bytes each
+STRETCH = 2048          # windows of anchors of one hash that go together
+CUT_BYTES = 1 << 23     # context bytes of an output batch
 PIECE = 1 << 18         # symbols sampled at once
 SLICE = 500             # documents of a batch that are held as text at once
 PILE_BYTES = 1 << 20    # context bytes compared at once
@@ -82,7 +88,8 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def anchors(codes: np.ndarray, ends: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
-    """Anchor hash, first and last window start of each run of windows with one anchor.
+    """Anchor hash, first and last window start of each run of windows with one anchor, or
+    with anchors of one hash.
 
     ``codes`` holds several documents one after another, ``ends`` the end of
     each symbol's document; no window crosses it.
@@ -101,7 +108,13 @@ def anchors(codes: np.ndarray, ends: np.ndarray, length: int, k: int) -> tuple[n
     new = np.flatnonzero((place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)) + 1
     first = np.concatenate([[0], new])
     last = np.concatenate([new, [len(starts)]]) - 1
-    return grams[place[first]], starts[first], starts[last]
+    fp, lo, hi = grams[place[first]], starts[first], starts[last]
+    # Of neighbours with one hash all but the first go together.
+    head = np.concatenate([[True], (fp[1:] != fp[:-1]) | (lo[1:] != hi[:-1] + 1)])
+    at = np.maximum.accumulate(np.where(head, np.arange(len(fp)), 0))
+    block = np.where(head, -1, (lo - lo[at]) // STRETCH)
+    new = np.flatnonzero(head | np.concatenate([[True], block[1:] != block[:-1]]))
+    return fp[new], lo[new], hi[np.concatenate([new[1:], [len(fp)]]) - 1]
 
 
 @dataclass(frozen=True)
@@ -166,9 +179,11 @@ def _postings(kind: Kind, n_buckets: int):
             spread = n_buckets + (ref[known] % n_buckets)
             bucket = np.concatenate([one, spread])
             pick = np.concatenate([starts, np.flatnonzero(known)])
+            if not len(bucket):  # only short texts
+                continue
             order = np.argsort(bucket, kind="stable")
             bucket, pick = bucket[order], pick[order]
-            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
+            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
             rows = [(int(bucket[a]), *(x[pick[a:b]].tobytes() for x in (fp, ref, lo, hi, known)))
                     for a, b in zip(cuts, [*cuts[1:], len(bucket)], strict=True)]
             if rows:
@@ -239,16 +254,27 @@ def _cut_contexts(kind: Kind):
                 fp, lo, hi, chunks = (c.to_numpy(zero_copy_only=False) for c in places.flatten().flatten())
                 row = np.repeat(np.arange(part.num_rows), np.diff(offsets))
                 r1, r2, rep = (part.column(c).to_numpy(zero_copy_only=False) for c in ("r1", "r2", "rep"))
-                data = []
-                for i, text in enumerate(part.column("text").to_pylist()):
-                    symbols = kind.split(text.encode())
-                    data += [kind.cut(symbols, a, b + kind.length)
-                             for a, b in zip(lo[offsets[i]:offsets[i + 1]].tolist(),
-                                             hi[offsets[i]:offsets[i + 1]].tolist(), strict=True)]
-                chunk = ((r1[row].view(np.uint64) >> np.uint64(8)) % chunks.astype(np.uint64)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [fp, chunk, chunks, r1[row], r2[row], rep[row], lo, (hi - lo + 1).astype(np.int32),
-                     pa.array(data, pa.binary())], schema=schema)
+                # Chunks by text and place: one long text may hold most of an anchor's stretches.
+                mixed = scramble(r1[row].view(np.uint64) ^ (lo.astype(np.uint64) << np.uint64(20)))
+                chunk = ((mixed >> np.uint64(8)) % chunks.astype(np.uint64)).astype(np.int32)
+                data, size, at = [], 0, 0
+
+                def batch_of(at: int, data: list[bytes]) -> pa.RecordBatch:
+                    to = slice(at, at + len(data))
+                    return pa.RecordBatch.from_arrays(
+                        [fp[to], chunk[to], chunks[to], r1[row[to]], r2[row[to]], rep[row[to]], lo[to],
+                         (hi[to] - lo[to] + 1).astype(np.int32), pa.array(data, pa.binary())], schema=schema)
+
+                for i, text in enumerate(part.column("text")):
+                    symbols = kind.split(text.as_py().encode())
+                    for j in range(offsets[i], offsets[i + 1]):
+                        data.append(kind.cut(symbols, int(lo[j]), int(hi[j]) + kind.length))
+                        size += len(data[-1])
+                        if size >= CUT_BYTES:
+                            yield batch_of(at, data)
+                            data, size, at = [], 0, at + len(data)
+                if data:
+                    yield batch_of(at, data)
     return run
 
 
@@ -406,7 +432,8 @@ def repeated_spans(texts: DataFrame, kind: Kind, classes: DataFrame, by_order: b
     """
     n = shuffle_partitions(texts.sparkSession)
     found = materialise(candidate_anchors(texts, kind), "anchors")
-    hot = materialise(found.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT)
+    wide = F.ceil((F.col("hi") - F.col("lo") + 1) / (kind.length - kind.k + 1))
+    hot = materialise(found.groupBy("fp").agg(F.sum(wide).alias("n")).where(F.col("n") > HOT)
                            .select("fp", F.ceil(F.col("n") / HOT).cast("int").alias("chunks")), "split-anchors")
     if hot.count() <= BROADCAST_ANCHORS:  # else the join shuffles, and AQE splits its hot partitions
         hot = F.broadcast(hot)

@@ -23,7 +23,7 @@ from feedlake.llm.packing import _Plan, pack, packing_plan
 from feedlake.llm.quality import quality_rules, without_frequent_lines
 from feedlake.llm.sharding import even_cuts, greedy_cuts, shard_documents, smallest_capacity
 from feedlake.llm.substring_dedup import substring_dedup
-from feedlake.llm.suffix_dedup import suffix_dedup, two_stage_sort
+from feedlake.llm.suffix_dedup import byte_kind, suffix_dedup, two_stage_sort
 from feedlake.llm.token_counts import CountTree, apply_edits, count_trees, edited_token_counts, sample_edits
 from feedlake.llm.tokens import Encoder
 
@@ -299,6 +299,26 @@ def test_repeats_across_the_pieces_of_a_very_long_text(spark, monkeypatch):
     assert words[1]["n_removed"] == 0 and words[2]["n_removed"] >= len(middle.split()) - 2
 
 
+def test_repeats_of_long_runs(spark, monkeypatch):
+    r = random.Random(9)
+
+    def prose(k):
+        return " ".join(f"v{r.randint(0, 10**6)}" for _ in range(k))
+    runs = ["x" * 900, "=-" * 600, "row, " * 400, "ab " * 300 + prose(60) + " ab" * 500, "x" * 250 + prose(50) + "x" * 700]
+    rows = [(i, t, "s") for i, t in enumerate([*runs, *(prose(30) + t for t in runs), prose(80)])]
+    for hot in (repeats.HOT, 3):
+        monkeypatch.setattr(repeats, "HOT", hot)
+        assert Counter(tuple(x) for x in suffix_dedup(table(spark, rows)).collect()) == Counter(plain_suffix(rows))
+        assert Counter(map(tuple, substring_dedup(table(spark, rows)).collect())) == Counter(plain_substring(rows))
+    # Of a run of some MB not every byte is a place.
+    data = b"x" * 3_000_000
+    found = [lo for _, _, lo, _ in repeats._sampled(byte_kind(), [data])]
+    assert sum(map(len, found)) < 3000
+    monkeypatch.undo()
+    out = suffix_dedup(table(spark, [(1, "x" * 3_000_000, "s"), (2, prose(9) + "x" * 300, "s")])).collect()
+    assert {x["doc_id"]: x["n_removed"] for x in out} == {1: 3_000_000, 2: 300}
+
+
 def test_removed_text_keeps_whole_characters(spark):
     rows = [(1, "é" * 150 + "ab", "a"), (2, "è" + "é" * 150 + "cd", "a")]
     out = by_id(suffix_dedup(table(spark, rows), with_text=True), "kept_text", "kept")
