@@ -160,15 +160,20 @@ def read_feeds(spark: SparkSession, paths: Mapping[str, str | Sequence[str]],
     return FeedSet(combine_sources(frames), columns, errors)
 
 
-# A header with more names than this fails its source.
-MAX_COLUMNS = 64
 _SOURCE_IN_PATH = r"/([^/]+)/raw-data/[^/]*$"
 
 
-def _cells(spark: SparkSession, paths: list[str], pattern: str) -> DataFrame:
-    """Every line of every file as an array of cells, with its file and source."""
-    names = [f"c{i}" for i in range(MAX_COLUMNS + 1)]
+def _width(spark: SparkSession, paths: list[str]) -> int:
+    """At least the number of names in the widest header: commas of the lines that may be one."""
+    may_be = (F.col("_metadata.file_block_start") == 0) & F.col("value").contains(C.KEY_COL)
+    return spark.read.text(paths).where(may_be).agg(F.max(F.size(F.split("value", ",")))).first()[0] or 1
+
+
+def _cells(spark: SparkSession, paths: list[str], pattern: str, width: int) -> DataFrame:
+    """Every line of every file as an array of ``width`` cells, with its file and source."""
+    names = [f"c{i}" for i in range(width)]
     reader = (spark.read.option("header", "false").option("mode", "PERMISSIVE").option("sep", ",")
+              .option("maxColumns", max(20480, width + 1))
               .option("quote", '"').schema(", ".join(f"{n} string" for n in names)))
     return reader.csv(paths).select(
         F.array(*names).alias("cells"), F.col("_metadata.file_path").alias("file"),
@@ -184,9 +189,9 @@ def read_feed_scan(spark: SparkSession, root: str, sources: Sequence[str] = C.DE
     Cells are matched by name: the header of each file (the line that names
     ``property_id``) is found by a first pass over the files' first blocks, kept
     as a table of one row per file, and joined back by file. Files of a source
-    may order their columns differently. A source fails alone, with the reason,
-    if it has no files, a file without a header or with one that is too wide,
-    or a file that cannot be read.
+    may order their columns differently; the widest header found sets the number
+    of cells. A source fails alone, with the reason, if it has no files, a file
+    without a header, or a file that cannot be read.
     """
     base = root.rstrip("/")
     places = {s: f"{base}/{layout.format(source=s)}" for s in dict.fromkeys(sources)}
@@ -200,15 +205,15 @@ def read_feed_scan(spark: SparkSession, root: str, sources: Sequence[str] = C.DE
         if not there:
             return FeedSet(None, {}, errors)
         try:
-            lines = _cells(spark, list(there.values()), pattern)
+            # One cell more than names: the array's end is null, as for rows that are too long.
+            lines = _cells(spark, list(there.values()), pattern, _width(spark, list(there.values())) + 1)
             first = lines.where((F.col("block") == 0) & F.array_contains("cells", C.KEY_COL))
             headers = stored_copy(first.groupBy(C.SOURCE_COL, "file").agg(F.min("cells").alias("header")), "headers")
             unnamed = (lines.select(C.SOURCE_COL, "file").distinct().join(headers, "file", "left_anti")
                             .select(C.SOURCE_COL).distinct())
-            bad = unnamed.unionByName(headers.where(F.element_at("header", -1).isNotNull()).select(C.SOURCE_COL))
             found = {r[0]: None for r in lines.select(C.SOURCE_COL).distinct().toLocalIterator()}
-            errors.update({r[0]: f"a file has no header with {C.KEY_COL}, or more than {MAX_COLUMNS} columns"
-                           for r in bad.distinct().toLocalIterator()})
+            errors.update({r[0]: f"a file has no header with {C.KEY_COL}"
+                           for r in unnamed.distinct().toLocalIterator()})
             errors.update({s: f"missing column {C.KEY_COL}" for s in there if s not in found})
         except PySparkException as e:
             # Some file cannot be read: find whose, and go on with the others.
@@ -216,7 +221,7 @@ def read_feed_scan(spark: SparkSession, root: str, sources: Sequence[str] = C.DE
             broken = {}
             for s, p in there.items():
                 try:
-                    _cells(spark, [p], pattern).write.format("noop").mode("overwrite").save()
+                    _cells(spark, [p], pattern, _width(spark, [p]) + 1).write.format("noop").mode("overwrite").save()
                 except PySparkException as own:
                     broken[s] = _reason(own)
             if not broken:

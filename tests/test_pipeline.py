@@ -424,3 +424,17 @@ def test_cluster_without_shared_folder_is_refused():
     session = SimpleNamespace(sparkContext=SimpleNamespace(_jsc=jsc, master="yarn"), conf=SimpleNamespace(get=lambda *a: None))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(session)
+
+
+def test_wide_sources_are_read(spark, tmp_dir):
+    names = ["property_id", *(f"x{i}" for i in range(299)), "last"]
+    for source, cols in (("wide", names), ("narrow", ["price", "property_id"])):
+        folder = os.path.join(tmp_dir, source, "raw-data")
+        os.makedirs(folder)
+        with open(os.path.join(folder, "a.csv"), "w") as f:
+            f.write(",".join(cols) + "\n" + ",".join(f"{source}-{c}" for c in cols) + "\n")
+    feeds = read_feed_root(spark, tmp_dir, ["wide", "narrow"])
+    assert feeds.errors == {} and feeds.columns["wide"] == tuple(names)
+    rows = {r["source_name"]: r for r in feeds.df.collect()}
+    assert len(rows) == 2 and all(rows["wide"][c] == f"wide-{c}" for c in names)
+    assert rows["narrow"]["price"] == "narrow-price" and rows["narrow"]["last"] is None
