@@ -427,7 +427,7 @@ def test_cluster_without_shared_folder_is_refused():
 
 
 def test_wide_sources_are_read(spark, tmp_dir):
-    names = ["property_id", *(f"x{i}" for i in range(299)), "last"]
+    names = ["property_id", *(f"x{i}" for i in range(69)), "last"]
     for source, cols in (("wide", names), ("narrow", ["price", "property_id"])):
         folder = os.path.join(tmp_dir, source, "raw-data")
         os.makedirs(folder)
