@@ -14,13 +14,17 @@ from feedlake.llm.html_extract import extract_text
 from feedlake.llm.jaccard_join import jaccard_components
 from feedlake.llm.mixing import mix
 from feedlake.llm.packing import pack
+from feedlake.llm.periodic_runs import periodic_runs
 from feedlake.llm.quality import quality_rules
+from feedlake.llm.quality_classifier import quality_scores
 from feedlake.llm.sharding import shard_documents
 from feedlake.llm.substring_dedup import substring_dedup
 from feedlake.llm.suffix_dedup import suffix_dedup
+from feedlake.llm.token_alignment import token_alignment
 from feedlake.llm.token_counts import edited_token_counts, sample_edits
 
 TOKENIZER = "byte_bpe_50k.json"
+OTHER_TOKENIZER = "piece_bpe_32k.model"
 
 
 def op1_shard_minimax(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +70,19 @@ def op10_edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_token_counts(docs.withColumn("edits", sample_edits()), public_tokenizers.path(TOKENIZER))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER),
+                           public_tokenizers.path(OTHER_TOKENIZER))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(read(spark, sf_dir, "documents"), plant=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shard_minimax": op1_shard_minimax,
     "op2_mix_sources": op2_mix_sources,
@@ -77,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_html_style_tree": op9_html_style_tree,
     "op10_edited_token_counts": op10_edited_token_counts,
+    "op11_quality_classifier": op11_quality_classifier,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {}
