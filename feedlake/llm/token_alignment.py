@@ -49,7 +49,7 @@ from feedlake.llm.common import arrow_schema, materialise, shuffle_partitions, t
 from feedlake.llm.tokens import _byte_letters, encoder
 
 BUCKETS = 16          # of first ids
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 BATCH_ROWS = 1000     # a document's number in its batch fits 10 bits
 CHUNK_BATCHES = 128   # batches whose parts pass one copy of a bucket's counts
 SUM_TASKS = 64        # tasks whose sums of a bucket meet
@@ -103,14 +103,22 @@ def pair(first: str, second: str) -> Pair:
     return Pair(first, second)
 
 
-def components(first_ends: np.ndarray, second_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def tokens_at(ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``size`` bytes, the token that holds it, and whether one ends before it (or at the end)."""
+    cut = np.zeros(size + 1, bool)
+    cut[ends] = True
+    return np.cumsum(cut[:-1], dtype=np.int32 if size < 1 << 31 else np.int64), cut
+
+
+def components(first_ends: np.ndarray, second_ends: np.ndarray, first_at: np.ndarray, second_at: np.ndarray,
+               first_cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Group numbers, from 0 in byte order, of the tokens of both sides; a side is given by the
-    byte offsets at which its tokens end."""
+    byte offsets at which its tokens end (see ``tokens_at``)."""
     n = len(first_ends)
-    beyond = np.searchsorted(first_ends, second_ends)   # the first side's token with a second one's last byte
-    terminal = first_ends[beyond] == second_ends
+    beyond = first_at[second_ends - 1]                  # the first side's token with a second one's last byte
+    terminal = first_cut[second_ends]
     own = n + np.arange(len(second_ends))
-    pointer = np.concatenate([n + np.searchsorted(second_ends, first_ends), np.where(terminal, own, beyond)])
+    pointer = np.concatenate([n + second_at[first_ends - 1], np.where(terminal, own, beyond)])
     while True:
         further = pointer[pointer]
         if np.array_equal(further, pointer):
@@ -120,11 +128,12 @@ def components(first_ends: np.ndarray, second_ends: np.ndarray) -> tuple[np.ndar
     return label[:n], label[n:]
 
 
-def overlaps(first_ends: np.ndarray, second_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def overlaps(first_at: np.ndarray, second_at: np.ndarray, first_cut: np.ndarray,
+             second_cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All pairs of overlapping tokens, as places on both sides, and the byte after each overlap.
     The overlaps are what both sides' cuts together leave of the bytes."""
-    ends = np.union1d(first_ends, second_ends)
-    return np.searchsorted(first_ends, ends), np.searchsorted(second_ends, ends), ends
+    ends = np.flatnonzero(first_cut | second_cut)
+    return first_at[ends - 1], second_at[ends - 1], ends
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -168,7 +177,8 @@ def align(tokens: list[tuple[np.ndarray, np.ndarray] | None], both: Pair,
     a, b = (np.concatenate([tokens[k][side] for k in some]) for side in (0, 1))
     a_after, b_after = (np.cumsum([len(tokens[k][side]) for k in some]) for side in (0, 1))
     a_ends, b_ends = np.cumsum(both.first_lengths[a]), np.cumsum(both.second_lengths[b])
-    a_group, b_group = components(a_ends, b_ends)
+    (a_at, a_cut), (b_at, b_cut) = (tokens_at(ends, int(a_ends[-1])) for ends in (a_ends, b_ends))
+    a_group, b_group = components(a_ends, b_ends, a_at, b_at, a_cut)
     n_groups = int(b_group[-1]) + 1
     groups_after = b_group[b_after - 1] + 1
 
@@ -181,7 +191,7 @@ def align(tokens: list[tuple[np.ndarray, np.ndarray] | None], both: Pair,
     listed[np.arange(len(b)) + np.cumsum(in_a)[b_group]] = 2 * n_first + b + n_second * last_b
     names = both.names[listed].tolist()
 
-    left, right, ends = overlaps(a_ends, b_ends)
+    left, right, ends = overlaps(a_at, b_at, a_cut, b_cut)
     links_after = np.searchsorted(ends, a_ends[a_after - 1]) + 1
     before = (0, 0, 0, 0)
     for k, *after in zip(some, a_after.tolist(), b_after.tolist(), groups_after.tolist(), links_after.tolist(),

@@ -178,11 +178,12 @@ def test_pointer_jumping_finds_the_common_cuts(first, second):
     gap = sum(first) - sum(second)
     (second if gap > 0 else first).append(abs(gap)) if gap else None
     a, b = np.cumsum(first), np.cumsum(second)
-    in_a, in_b = A.components(a, b)
+    (a_at, a_cut), (b_at, b_cut) = A.tokens_at(a, a[-1]), A.tokens_at(b, b[-1])
+    in_a, in_b = A.components(a, b, a_at, b_at, a_cut)
     cuts = sorted(set(a.tolist()) & set(b.tolist()))
     assert in_a.tolist() == [sum(c < e for c in cuts) for e in a.tolist()]
     assert in_b.tolist() == [sum(c < e for c in cuts) for e in b.tolist()]
-    left, right, _ = A.overlaps(a, b)
+    left, right, _ = A.overlaps(a_at, b_at, a_cut, b_cut)
     starts = lambda e: [0, *e[:-1].tolist()]
     pairs = [(i, j) for i, (s, e) in enumerate(zip(starts(a), a)) for j, (u, v) in enumerate(zip(starts(b), b)) if s < v and u < e]
     assert sorted(zip(left.tolist(), right.tolist())) == pairs
