@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +50,9 @@ SAMPLE_PART = 10     # one document in so many is sampled for frequent shingles
 SAMPLE_LEAST, SAMPLE_MOST = 5_000, 1_000_000
 FREQUENT_MOST = 65_536
 BROADCAST_TEXTS = 1_000_000  # keys of texts to verify that are broadcast, 24 bytes each
-SLICE = 200          # documents that a task holds as text and word hashes at once
+SLICE = 200          # documents, and bytes of text, that a task holds with their word hashes at once
+SLICE_BYTES = 1 << 20
+POSTED = 1 << 18     # postings that a task holds before they go out
 HOT_BIT = np.uint64(1 << 63)
 
 
@@ -78,10 +81,18 @@ def _nodes(n_docs: int, doc: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray
     return n, scramble(total[starts + n] - total[starts] + n.astype(np.uint64)).view(np.int64)
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    for low in range(0, batch.num_rows, SLICE):
-        part = batch.slice(low, SLICE)
+def _slices(batch: pa.RecordBatch, rows: np.ndarray | None = None) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """``batch``, or its ``rows``, in parts of bounded rows and bytes (a longer text is a part of its own)."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    rows = np.arange(batch.num_rows) if rows is None else rows
+    upto = np.cumsum(sizes[rows])
+    low = 0
+    while low < len(rows):
+        before = int(upto[low - 1]) if low else 0
+        high = min(max(low + 1, int(np.searchsorted(upto, before + SLICE_BYTES, side="right"))), low + SLICE)
+        part = batch.take(pa.array(rows[low:high]))
         yield part, [t.encode() for t in part.column("text").to_pylist()]
+        low = high
 
 
 _PROFILE = "doc_id long, r1 long, r2 long, n_shingles long, node long, point binary"
@@ -134,11 +145,23 @@ _POSTINGS = "bucket int, token binary, node binary"
 def _postings(frequent: np.ndarray, percent: int, n_buckets: int):
     schema = arrow_schema(_POSTINGS)
 
+    def dealt(tokens: list[np.ndarray], nodes: list[np.ndarray]) -> pa.RecordBatch:
+        token, node = np.concatenate(tokens), np.concatenate(nodes)
+        bucket = (token % np.uint64(n_buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        token, node, bucket = token[order], node[order], bucket[order]
+        cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])).tolist()
+        spans = list(zip(cuts, [*cuts[1:], len(token)], strict=True))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket[cuts].astype(np.int32)),
+             *(pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (token, node))], schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, nodes, held = [], [], 0
         for batch in batches:
+            # Copies in a batch once.
             _, first = np.unique(batch.column("r1").to_numpy(zero_copy_only=False), return_index=True)
-            tokens, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            for _, texts in _slices(batch.take(pa.array(first))):
+            for _, texts in _slices(batch, np.sort(first)):
                 doc, h = shingles(texts)
                 n, node = _nodes(len(texts), doc, h)
                 if len(frequent):
@@ -150,17 +173,12 @@ def _postings(frequent: np.ndarray, percent: int, n_buckets: int):
                 pick = np.arange(len(doc)) - start[doc] < take[doc]
                 tokens.append(h[pick])
                 nodes.append(node[doc[pick]])
-            token, node = np.concatenate(tokens), np.concatenate(nodes)
-            bucket = (token % np.uint64(n_buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            token, node, bucket = token[order], node[order], bucket[order]
-            if not len(token):
-                continue
-            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])).tolist()
-            spans = list(zip(cuts, [*cuts[1:], len(token)], strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[cuts].astype(np.int32)),
-                 *(pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (token, node))], schema=schema)
+                held += len(tokens[-1])
+                if held >= POSTED:
+                    yield dealt(tokens, nodes)
+                    tokens, nodes, held = [], [], 0
+        if held:
+            yield dealt(tokens, nodes)
     return run
 
 
@@ -170,13 +188,14 @@ _BLOCKS = "block long, leaf int, leaves int, nodes binary"
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Nodes that share a token; equal lists once per task."""
     schema = arrow_schema(_BLOCKS)
-    parts = [(t, n) for b in batches for t, n in zip(b.column("token").to_pylist(), b.column("node").to_pylist(),
-                                                    strict=True)]
-    if not parts:
+    held_tokens, held_nodes = bytearray(), bytearray()
+    for b in batches:
+        for t, n in zip(b.column("token"), b.column("node"), strict=True):
+            held_tokens += t.as_py()
+            held_nodes += n.as_py()
+    if not held_tokens:
         return
-    token = np.concatenate([np.frombuffer(t, np.uint64) for t, _ in parts])
-    node = np.concatenate([np.frombuffer(n, np.int64) for _, n in parts])
-    del parts
+    token, node = np.frombuffer(held_tokens, np.uint64), np.frombuffer(held_nodes, np.int64)
     order = np.lexsort((node, token))
     token, node = token[order], node[order]
     new = np.concatenate([[True], (token[1:] != token[:-1]) | (node[1:] != node[:-1])])
