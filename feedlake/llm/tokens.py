@@ -42,7 +42,10 @@ class Encoder:
 
         letters = _byte_letters()
         with open(path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
+            content = json.load(f)
+        vocabulary = content["model"]["vocab"]
+        self.added = {t["content"]: t["id"] for t in content["added_tokens"]}
+        self.added_in = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
         ranks = {bytes(letters[c] for c in token): i for token, i in vocabulary.items()
                  if all(c in letters for c in token) and token != "<|endoftext|>"}
         self.fast = tiktoken.Encoding("byte level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
@@ -57,8 +60,14 @@ class Encoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        return array("I", self.encode(text)).tobytes()
+        """Little-endian unsigned 32-bit ids, as the file gives them without special tokens added:
+        the string of an added token that stands in the text has that token's id."""
+        if self.added_in is None or not any(t in text for t in self.added):
+            return array("I", self.encode(text)).tobytes()
+        out = array("I")
+        for part in self.added_in.split(text):
+            out.extend([self.added[part]] if part in self.added else self.encode(part))
+        return out.tobytes()
 
     def _known(self, parts: list[str]) -> list[int | None]:
         """Number of ids of each part as it stands after a space; None: the part can't be cut off there."""
