@@ -1,6 +1,6 @@
 """Operator 2, mixing sources to target weights: hash-threshold histograms.
 
-Every document has a 60-bit hash of its id. A source's budget becomes a
+Every document has a 60-bit hash of its id and text. A source's budget becomes a
 threshold: the documents with a smaller hash are taken. Words are summed by
 source and hash bucket, a running sum over the buckets finds the bucket where
 the budget is met, and only that boundary bucket is summed again, more finely.
@@ -11,8 +11,8 @@ source's size takes all its documents and, below the threshold, a second copy.
 Only DataFrame functions run here.
 
 Defined cases: a null text has no words; null sources form one source, ordered
-last; documents without words are taken zero words of; repeated rows share a
-hash and are taken together; an empty table gives an empty result; other
+last; documents without words are taken zero words of; rows that repeat an id
+and a text share a hash and are taken together; an empty table gives an empty result; other
 columns are ignored.
 """
 
@@ -123,7 +123,8 @@ def thresholds(rows: DataFrame, targets: DataFrame, n_sources: int) -> DataFrame
 
 
 def _hash() -> Column:
-    return F.shiftrightunsigned(F.xxhash64("doc_id"), 4)
+    """Of the id and the text: rows whose ids are null or shared can still be taken one by one."""
+    return F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), text_or_empty()), 4)
 
 
 def _limits(docs: DataFrame, weights: tuple[int, ...], share: float, max_repeats: int) -> tuple[DataFrame, DataFrame]:

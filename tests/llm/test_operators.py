@@ -175,6 +175,17 @@ def test_mix_takes_more_for_a_larger_budget(spark):
     assert all(large[i] >= small[i] for i in small)
 
 
+def test_documents_without_or_with_shared_ids_are_taken_one_by_one(spark):
+    r = random.Random(8)
+    rows = [(None if k % 2 else 7, " ".join(str(r.random()) for _ in range(r.randint(5, 40))), "a") for k in range(600)]
+    rows += [(k, "word " * r.randint(5, 40), "b") for k in range(1000, 1400)]
+    taken, target = Counter(), {}
+    for x in mix(table(spark, rows), share=0.8).collect():
+        taken[x["source"]] += x["taken"]
+        target[x["source"]] = x["target"]
+    assert all(abs(taken[s] - target[s]) <= 40 for s in "ab")
+
+
 # --- 3: embeddings -------------------------------------------------------------------------------
 
 VECTORS = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())),
@@ -519,9 +530,8 @@ def test_reduction_keeps_an_optimum_and_plan_is_whole():
 
 def test_pack_pieces(spark):
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(TOKENIZER)
-    t.encode_special_tokens = True
-    rows = corpus(4, 30) + [(900, "don't  <|endoftext|> x", "a"), (901, " 日本   語 \U0001F600", "b")]
+    t = Tokenizer.from_file(TOKENIZER)  # gives the string of its special token that token's id
+    rows = corpus(4, 30) + [(900, "don't  <|endoftext|> x<|endoftext|><|endoftext|>", "a"), (902, "<|endoftext|>", "a"), (901, " 日本   語 \U0001F600", "b")]
     out = pack(table(spark, rows), TOKENIZER, with_ids=True).collect()
     pieces, sequences = defaultdict(list), defaultdict(list)
     for p in out:

@@ -62,7 +62,7 @@ def test_run_and_names(spark):
         "quality rules", "n-gram Jaccard join", "suffix-array dedup", "mixing sources", "best-fit packing"]
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.count() > 0 and "sequence_id" in out.columns
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 def test_connected_components(spark):
@@ -91,3 +91,19 @@ def test_stages_with_null_and_shared_ids(spark):
     assert sum(clean.values()) == sum(r[0] != 9 for r in dict.fromkeys(rows))
     assert all(sum(i is None and t.startswith(x) and "passage30" not in t for i, t, _ in clean) == 1 for x in ("g0 ", "h0 "))
     assert {r for r in dict.fromkeys(rows) if r[0] in (7, 8) or r[0] is None and r[1][0] in "abt"} <= set(clean)
+
+
+def test_columns_of_the_stages_names(spark):
+    """A caller's columns may be named like those the stages use, and stay as they are."""
+    from pyspark.sql import functions as F
+
+    docs = table(spark, corpus(6, 12) + [(800, " ".join(f"q{j}" for j in range(80)), "c")])
+    names = ("k1", "k2", "r1", "r2", "component", "kept_text", "corpus pipeline", "corpus pipeline_", "__text", "id", "x y")
+    extra = docs.select(*docs.columns, *[F.lit(c).alias(c) for c in names if c not in docs.columns])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        plain, out = stage(spark, docs, ""), stage(spark, extra, "")
+        assert out.columns == extra.columns
+        rows = out.collect()
+        assert Counter(tuple(r[c] for c in docs.columns) for r in rows) == Counter(map(tuple, plain.collect())) and rows
+        assert all(r[c] == c for r in rows for c in names if c not in docs.columns)
+    assert corpus_pipeline.packed(spark, extra, "").count() == corpus_pipeline.packed(spark, docs, "").count()
