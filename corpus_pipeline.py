@@ -7,6 +7,8 @@ All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import re
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,22 +23,47 @@ from feedlake.llm.suffix_dedup import suffix_dedup
 TOKENIZER = "byte_bpe_50k.json"
 
 
-def text_key() -> tuple[Column, Column]:
+#: Names of the stages' own columns are put beside a document's as one column of a name that no
+#: caller's column has.
+OWN = "corpus pipeline"
+
+
+def _own(docs: DataFrame) -> str:
+    """A column name that ``docs`` does not have."""
+    name = OWN
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
+
+
+def text_key() -> Column:
     """Ids may be null or shared; with the hashes of its text a row is known for sure."""
-    return F.xxhash64(text_or_empty()), F.xxhash64(F.lit(7), text_or_empty())
+    return F.struct(F.xxhash64(text_or_empty()).alias("k1"), F.xxhash64(F.lit(7), text_or_empty()).alias("k2"))
 
 
-def _same_text(other: DataFrame) -> Column:
-    first, second = text_key()
-    return (first == other["k1"]) & (second == other["k2"])
+def _semi(docs: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
+    """``docs`` whose columns and text hashes are among the rows of ``chosen``, whose columns are
+    named like ``docs``', or ``k1, k2`` for the hashes. Null equals null."""
+    own = _own(docs)
+    columns = [c for c in chosen.columns if c not in ("k1", "k2")]
+    left = docs.withColumn(own, F.struct(text_key().alias("key"), *[F.col(f"`{c}`").alias(c) for c in columns]))
+    right = chosen.select(F.struct(F.struct("k1", "k2").alias("key"), *columns).alias(own + "s"))
+    on = F.lit(True)
+    for field in ("key.k1", "key.k2", *columns):
+        on = on & F.col(f"`{own}`.{field}").eqNullSafe(F.col(f"`{own}s`.{field}"))
+    return left.join(right, on, how)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep, as they are. A verdict holds for the rows of
     one text and source, whatever their ids."""
     rejected = (quality_rules(docs, with_key=True).where("NOT kept")
-                .select(F.col("host").alias("h"), F.col("r1").alias("k1"), F.col("r2").alias("k2")).distinct())
-    return docs.join(rejected, docs["source"].eqNullSafe(rejected["h"]) & _same_text(rejected), "left_anti")
+                .select(F.col("host").alias("source"), F.col("r1").alias("k1"), F.col("r2").alias("k2")).distinct())
+    return _semi(docs, rejected, "left_anti").select(*_names(docs))
+
+
+def _names(docs: DataFrame) -> list[str]:
+    return [f"`{c}`" for c in docs.columns]
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,32 +71,36 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     largest); of rows that repeat that id and text, one. Documents without words link with
     nothing and stay; of those that repeat an id and text, one."""
     rows = (jaccard_components(docs, with_key=True)
-            .groupBy("component", F.col("doc_id").alias("id"), F.col("r1").alias("k1"), F.col("r2").alias("k2"))
+            .groupBy("component", "doc_id", F.col("r1").alias("k1"), F.col("r2").alias("k2"))
             .agg(F.count(F.lit(1)).alias("n")))
     rows = materialise(rows, "jaccard-ids")
     first = (rows.where("component IS NOT NULL").groupBy("component")
-                 .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2", "n")).alias("x"))
-                 .select("x.id", "x.k1", "x.k2", "x.n"))
+                 .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2", "n")).alias("x"))
+                 .select("x.doc_id", "x.k1", "x.k2", "x.n"))
     kept = materialise(first.unionByName(rows.where("component IS NULL").drop("component")), "kept-ids")
-    once, more = kept.where("n = 1"), kept.where("n > 1")
-    keyed = docs.withColumns(dict(zip(("__1", "__2"), text_key(), strict=True)))
-    return (docs.join(once, docs["doc_id"].eqNullSafe(once["id"]) & _same_text(once), "left_semi")
-                .unionByName(keyed.join(more, keyed["doc_id"].eqNullSafe(more["id"]) & _same_text(more), "left_semi")
-                                  .dropDuplicates(["doc_id", "__1", "__2"]).drop("__1", "__2")))
+    once, more = kept.where("n = 1").drop("n"), kept.where("n > 1").drop("n")
+    own, names = _own(docs), _names(docs)
+    # Of rows that repeat an id and a text, the first by what else they hold, so that a rerun keeps the same.
+    ordered = [f"`{f.name}`" for f in docs.schema if not re.search("map<|variant", f.dataType.simpleString())]
+    single = (_semi(docs, more, "left_semi").groupBy(own)
+              .agg(F.min_by(F.struct(*names), F.struct(*ordered)).alias(own + "r")).select(f"`{own}r`.*"))
+    return _semi(docs, once, "left_semi").select(*names).unionByName(single)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the byte strings that repeat across them. Characters of which a
     byte went go whole; documents of which nothing is left go."""
+    own = _own(docs)
     cleaned = (suffix_dedup(docs, with_text=True).where("kept_text IS NOT NULL")
-               .select(F.col("r1").alias("k1"), F.col("r2").alias("k2"), F.col("kept_text").alias("__text"))
-               .dropDuplicates(["k1", "k2"]))
-    joined = docs.join(cleaned, _same_text(cleaned), "left")
-    changed = F.col("__text").isNotNull()
-    return (joined.where(~changed | (F.col("__text") != ""))
-                  .withColumn("text", F.coalesce("__text", "text"))
-                  .withColumn("n_chars", F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-                  .select(*docs.columns))
+               .select(F.struct(F.col("r1").alias("k1"), F.col("r2").alias("k2")).alias(own), "kept_text")
+               .dropDuplicates([own]).select(own, F.col("kept_text").alias(own + "t")))
+    joined = docs.withColumn(own, text_key()).join(cleaned, own, "left")
+    text = F.col(f"`{own}t`")
+    left = joined.where(text.isNull() | (text != ""))
+    return left.select(*[
+        F.coalesce(text, F.col("text")).alias(c) if c == "text" else
+        F.when(text.isNotNull(), F.char_length(text).cast("long")).otherwise(F.col("n_chars")).alias(c) if c == "n_chars" else
+        F.col(f"`{c}`") for c in docs.columns])
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
