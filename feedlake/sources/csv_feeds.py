@@ -13,13 +13,11 @@ and left out; the others go on.
 
 from __future__ import annotations
 
-import csv
 import logging
-from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,24 +26,26 @@ from feedlake import config as C
 from feedlake.operators.combine import combine_sources
 from feedlake.session import stored_copy
 from feedlake.sinks import path_exists
+from feedlake.sources.heads import file_heads, hadoop_heads
 
 log = logging.getLogger(__name__)
 
-# Concurrent first-line reads when checking headers file by file.
-HEADER_READ_THREADS = 16
-
 
 @dataclass
 class FeedSet:
     """All readable sources as one frame, with per-source metadata.
 
     ``columns`` maps each readable source to its header (file order);
-    ``errors`` maps each unreadable source to the reason.
+    ``errors`` maps each unreadable source to the reason. From the one-scan
+    reader also ``malformed`` (``source_name, feed_file, line``: rows whose cells are
+    not as many as their file's names) and ``heads`` (``file, header, error``).
     """
 
     df: DataFrame | None
     columns: dict[str, tuple[str, ...]] = field(default_factory=dict)
     errors: dict[str, str] = field(default_factory=dict)
+    malformed: DataFrame | None = None
+    heads: DataFrame | None = None
 
     @property
     def sources(self) -> list[str]:
@@ -89,29 +89,12 @@ def list_files(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
 
 
 def file_headers(spark: SparkSession, files: Sequence[str]) -> dict[str, tuple[str, ...] | None]:
-    """First non-blank line of each file, split as a CSV header.
+    """First non-blank line of each file, split as a CSV header; ``None`` for an empty file.
 
     Reads only the start of each file through the cluster's file system
-    (metadata, like schema inference); ``None`` for an empty file.
+    (metadata, like schema inference).
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    def first_line(f: str) -> tuple[str, ...] | None:
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        stream = path.getFileSystem(conf).open(path)
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        try:
-            line = reader.readLine()
-            while line is not None and not line.strip():
-                line = reader.readLine()
-        finally:
-            reader.close()
-        return None if line is None else tuple(next(csv.reader([line])))
-
-    # Each read is one short round trip to the file system; overlap them.
-    with ThreadPoolExecutor(max_workers=HEADER_READ_THREADS) as pool:
-        return dict(zip(files, pool.map(first_line, files)))
+    return {f: tuple(header) if header else None for f, header, _ in hadoop_heads(spark, files)}
 
 
 def read_feed_strict(spark: SparkSession, path: str | Sequence[str], source_name: str) -> DataFrame:
@@ -161,24 +144,55 @@ def read_feeds(spark: SparkSession, paths: Mapping[str, str | Sequence[str]],
 
 
 _SOURCE_IN_PATH = r"/([^/]+)/raw-data/[^/]*$"
-
-
-def _width(spark: SparkSession, paths: list[str]) -> int:
-    """At least the number of names in the widest header: commas of the lines that may be one."""
-    may_be = (F.col("_metadata.file_block_start") == 0) & F.col("value").contains(C.KEY_COL)
-    return spark.read.text(paths).where(may_be).agg(F.max(F.size(F.split("value", ",")))).first()[0] or 1
-
-
-def _cells(spark: SparkSession, paths: list[str], pattern: str, width: int) -> DataFrame:
-    """Every line of every file as an array of ``width`` cells, with its file and source."""
-    names = [f"c{i}" for i in range(width)]
-    reader = (spark.read.option("header", "false").option("mode", "PERMISSIVE").option("sep", ",")
-              .option("maxColumns", max(20480, width + 1))
-              .option("quote", '"').schema(", ".join(f"{n} string" for n in names)))
-    return reader.csv(paths).select(
-        F.array(*names).alias("cells"), F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).alias(C.SOURCE_COL))
+#: Of the scan: the raw line of a row whose cells are not as many as its file's names.
+MALFORMED = "malformed_line"
+FILE = "feed_file"
+
+
+def source_files(spark: SparkSession, places: Mapping[str, str]) -> dict[str, list[str]]:
+    """The files under each source's place, as Spark lists them. A place that isn't there has none."""
+    there = {s: p for s, p in places.items() if path_exists(spark, p)}
+    found: dict[str, list[str]] = {s: [] for s in places}
+    if not there:
+        return found
+    # Files without a byte are not listed; contents are not read.
+    roots = {s: _qualified(spark, p).rstrip("/") for s, p in there.items()}
+    by_root = {r: s for s, r in roots.items()}
+    for row in spark.read.format("binaryFile").load(list(there.values())).select("path").toLocalIterator():
+        folder = row["path"].rsplit("/", 1)[0]
+        while folder and folder not in by_root:
+            folder = folder.rpartition("/")[0]
+        if folder:
+            found[by_root[folder]].append(row["path"])
+    return found
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(p).toString()
+
+
+def _one_header(spark: SparkSession, files: Sequence[str], header: Sequence[str], pattern: str) -> DataFrame:
+    """Rows of files that share a header, as its names; the first line of each is not a row, whatever
+    it holds, and every other line is. Cells that a row lacks are null."""
+    cells = [f"c{i}" for i in range(len(header))]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*cells, MALFORMED]])
+    lines = (spark.read.schema(schema).option("header", "true").option("enforceSchema", "true")
+             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
+             # All cells are parsed, so that a row is judged alike whatever columns a query reads.
+             .option("columnPruning", "false")
+             .option("sep", ",").option("quote", '"').option("maxColumns", max(20480, len(header) + 1)).csv(list(files)))
+    place: dict[str, int] = {}
+    known: set[str] = set()
+    for i, name in enumerate(header):
+        if name and name.lower() not in known:
+            known.add(name.lower())
+            place[name] = i
+    # The path is escaped like a URL's, in which a plus sign is itself.
+    file = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    return lines.select(*[F.col(f"c{i}").alias(name) for name, i in place.items()],
+                        F.regexp_extract(file, pattern, 1).alias(C.SOURCE_COL), file.alias(FILE), MALFORMED)
 
 
 def read_feed_scan(spark: SparkSession, root: str, sources: Sequence[str] = C.DEFAULT_SOURCES,
@@ -186,64 +200,66 @@ def read_feed_scan(spark: SparkSession, root: str, sources: Sequence[str] = C.DE
     """S1 + S2 for any number of sources as ONE scan of the folders ``{root}/{layout}``;
     ``pattern`` finds the source in a file's path.
 
-    Cells are matched by name: the header of each file (the line that names
-    ``property_id``) is found by a first pass over the files' first blocks, kept
-    as a table of one row per file, and joined back by file. Files of a source
-    may order their columns differently; the widest header found sets the number
-    of cells. A source fails alone, with the reason, if it has no files, a file
-    without a header, or a file that cannot be read.
+    Cells are matched by name, and a file's header is its first line that isn't
+    blank: found by place and not by what it says, from the file's first bytes
+    (see ``heads``). Files with the same header are read together, so the plan
+    has one scan for each distinct header and reads each file once. A data cell
+    that reads ``property_id``, and a header line repeated further down, are
+    data.
+
+    A source fails alone, with the reason, if it has no files, a file without
+    ``property_id`` in its header, or a file that can't be read; an empty file
+    beside others is ignored. Finding that out reads no other source again.
+
+    Rows that have too few or too many cells stay in ``df`` as the CSV reader
+    leaves them, and ``malformed`` has their raw lines.
     """
     base = root.rstrip("/")
     places = {s: f"{base}/{layout.format(source=s)}" for s in dict.fromkeys(sources)}
-    errors: dict[str, str] = {}
-    lines, headers = None, None
-    while lines is None:
-        there = {s: p for s, p in places.items() if s not in errors}
-        missing = [s for s, p in there.items() if not path_exists(spark, p)]
-        errors.update({s: f"no files under {places[s]}" for s in missing})
-        there = {s: p for s, p in there.items() if s not in missing}
-        if not there:
-            return FeedSet(None, {}, errors)
-        try:
-            # One cell more than names: the array's end is null, as for rows that are too long.
-            lines = _cells(spark, list(there.values()), pattern, _width(spark, list(there.values())) + 1)
-            first = lines.where((F.col("block") == 0) & F.array_contains("cells", C.KEY_COL))
-            headers = stored_copy(first.groupBy(C.SOURCE_COL, "file").agg(F.min("cells").alias("header")), "headers")
-            unnamed = (lines.select(C.SOURCE_COL, "file").distinct().join(headers, "file", "left_anti")
-                            .select(C.SOURCE_COL).distinct())
-            found = {r[0]: None for r in lines.select(C.SOURCE_COL).distinct().toLocalIterator()}
-            errors.update({r[0]: f"a file has no header with {C.KEY_COL}"
-                           for r in unnamed.distinct().toLocalIterator()})
-            errors.update({s: f"missing column {C.KEY_COL}" for s in there if s not in found})
-        except PySparkException as e:
-            # Some file cannot be read: find whose, and go on with the others.
-            lines = None
-            broken = {}
-            for s, p in there.items():
-                try:
-                    _cells(spark, [p], pattern, _width(spark, [p]) + 1).write.format("noop").mode("overwrite").save()
-                except PySparkException as own:
-                    broken[s] = _reason(own)
-            if not broken:
-                raise e
-            errors.update(broken)
-    good = headers.where(~F.col(C.SOURCE_COL).isin(list(errors))) if errors else headers
+    files = source_files(spark, places)
+    owner = {f: s for s, some in files.items() for f in some}
+    errors: dict[str, str] = {s: f"no files under {places[s]}" for s, some in files.items() if not some}
+    heads = stored_copy(file_heads(spark, list(owner)), "heads")
+    groups: dict[tuple[str, ...], list[str]] = {}
     columns: dict[str, tuple[str, ...]] = {}
-    for r in good.select(C.SOURCE_COL, "header").distinct().toLocalIterator():
-        names = [c for c in r["header"] if c is not None]
-        columns[r[0]] = tuple(dict.fromkeys([*columns.get(r[0], ()), *names]))
+    for r in heads.orderBy("file").toLocalIterator():
+        source, header = owner[r["file"]], tuple(x.strip() for x in r["header"] or ())
+        if r["error"] is not None:
+            errors.setdefault(source, f"{r['file']}: {r['error']}")
+        elif header and C.KEY_COL not in header:
+            errors.setdefault(source, f"a file has no header with {C.KEY_COL}")
+        elif header:
+            groups.setdefault(header, []).append(r["file"])
+            columns[source] = tuple(dict.fromkeys([*columns.get(source, ()), *(c for c in header if c)]))
+    errors.update({s: f"missing column {C.KEY_COL}" for s in files if s not in columns and s not in errors})
+    columns = {s: c for s, c in columns.items() if s not in errors}
     for s, msg in errors.items():
         log.warning("source %s left out: %s", s, msg)
-    if not columns:
+    frames = [_one_header(spark, some, header, pattern) for header, listed in groups.items()
+              if (some := [f for f in listed if owner[f] not in errors])]
+    if not frames:
         return FeedSet(None, {}, errors)
+    rows = combine_sources(frames)
     every = list(dict.fromkeys(c for cols in columns.values() for c in cols))
     every = [c for c in C.EXPECTED_COLUMNS if c in every] + [c for c in every if c not in C.EXPECTED_COLUMNS]
-    place = F.array_position
-    rows = lines.drop(C.SOURCE_COL).join(good, "file").where(~((F.col("block") == 0) & (F.col("cells") == F.col("header"))))
-    df = rows.select(*[F.when(place("header", F.lit(c)) > 0,
-                              F.get("cells", (place("header", F.lit(c)) - 1).cast("int"))).alias(c) for c in every],
-                     F.col(C.SOURCE_COL))
-    return FeedSet(df, columns, errors)
+    every = [c for c in every if c in rows.columns]
+    # Not null for malformed rows alone. The CSV reader refuses a query of that column without a cell.
+    reads_cells = F.length(MALFORMED) + F.coalesce(F.length(C.KEY_COL), F.lit(0))
+    bad = rows.where(reads_cells >= 0).select(C.SOURCE_COL, FILE, F.col(MALFORMED).alias("line"))
+    return FeedSet(rows.select(*[F.col(f"`{c}`") for c in every], C.SOURCE_COL), columns, errors, bad, heads)
+
+
+def malformed_counts(malformed: DataFrame) -> DataFrame:
+    """``source_name, malformed_rows`` from a feed's malformed rows (or their quarantine)."""
+    return malformed.groupBy(C.SOURCE_COL).agg(F.count(F.lit(1)).alias("malformed_rows"))
+
+
+def quarantine(feeds: FeedSet, path: str) -> DataFrame:
+    """Store a feed's malformed rows (source, file, raw line), one folder per source, and read them back."""
+    (feeds.malformed.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(C.SOURCE_COL).parquet(path))
+    schema = T.StructType([f for f in feeds.malformed.schema if f.name != C.SOURCE_COL]).add(C.SOURCE_COL, "string")
+    return feeds.malformed.sparkSession.read.schema(schema).parquet(path)
 
 
 def read_feed_root(spark: SparkSession, root: str,
