@@ -31,16 +31,26 @@ def validate_feeds(df: DataFrame, sources: Iterable[str] | None = None,
     Columns: source_name, total_rows, null_ids, duplicate_ids,
     negative_prices, negative_sqft, passed, message.
     """
-    src = C.SOURCE_COL
-    stats = df.groupBy(src).agg(
+    stats = first_measures(df)
+    ids = duplicate_counts(df).withColumnRenamed(C.SOURCE_COL, "_ids_of")
+    stats = stats.join(ids, F.col(C.SOURCE_COL).eqNullSafe(F.col("_ids_of"))).drop("_ids_of")
+    return verdicts(stats, sources, errors)
+
+
+def first_measures(df: DataFrame) -> DataFrame:
+    """Per source the counts that are sums over rows: those of parts of a feed add up."""
+    return df.groupBy(C.SOURCE_COL).agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(is_null_or_empty(C.KEY_COL)).alias("null_ids"),
         _count_if_present(df, "price", is_negative_int).alias("negative_prices"),
         _count_if_present(df, "sqft", is_negative_int).alias("negative_sqft"),
     )
-    ids = duplicate_counts(df).withColumnRenamed(src, "_ids_of")
-    stats = stats.join(ids, F.col(src).eqNullSafe(F.col("_ids_of"))).drop("_ids_of")
-    spark = df.sparkSession
+
+
+def verdicts(stats: DataFrame, sources: Iterable[str] | None = None,
+             errors: Mapping[str, str] | None = None) -> DataFrame:
+    """The validation frame from a source's counts (see :func:`validate_feeds`)."""
+    src, spark = C.SOURCE_COL, stats.sparkSession
     if sources is not None:
         registry = spark.createDataFrame([(s,) for s in dict.fromkeys(sources)], f"{src} string")
         stats = registry.join(stats, src, "left").fillna(

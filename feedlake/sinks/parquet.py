@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,8 +101,9 @@ def register_table(spark: SparkSession, name: str, path: str, schema: T.StructTy
     return name
 
 
-# Partitions named in one statement.
-PARTITIONS_PER_STATEMENT = 500
+PARTITIONS_PER_STATEMENT = 500  # named in one statement
+STATEMENTS_AT_ONCE = 8
+FOLDERS_PER_TASK = 64           # that one task deletes
 
 
 def _sql_text(value) -> str:
@@ -109,21 +114,20 @@ def _alter_partitions(spark: SparkSession, name: str, folders: DataFrame, cols:
                       change: str, between: str) -> int:
     if not _IDENT.match(name):
         raise ValueError(f"not a plain table name: {name!r}")
-    total, specs = 0, []
-
-    def run() -> None:
-        if specs:
-            spark.sql(f"ALTER TABLE {name} {change} {between.join(specs)}")
-            specs.clear()
-
-    # The names are streamed to the driver, a statement's worth at a time.
-    for r in folders.select(*cols).distinct().toLocalIterator():
-        specs.append("PARTITION (" + ", ".join(f"`{c}` = {_sql_text(r[c])}" for c in cols) + ")")
-        total += 1
-        if len(specs) == PARTITIONS_PER_STATEMENT:
-            run()
-    run()
-    return total
+    def statements() -> Iterator[str]:
+        # The names are streamed to the driver, a statement's worth at a time.
+        rows = folders.select(*cols).distinct().toLocalIterator()
+        while some := list(itertools.islice(rows, PARTITIONS_PER_STATEMENT)):
+            specs = ["PARTITION (" + ", ".join(f"`{c}` = {_sql_text(r[c])}" for c in cols) + ")" for r in some]
+            counts.append(len(some))
+            yield f"ALTER TABLE {name} {change} {between.join(specs)}"
+
+    counts: list[int] = []
+    todo = statements()
+    with ThreadPoolExecutor(STATEMENTS_AT_ONCE) as pool:
+        while some := list(itertools.islice(todo, STATEMENTS_AT_ONCE)):
+            list(pool.map(spark.sql, some))
+    return sum(counts)
 
 
 def add_table_partitions(spark: SparkSession, name: str, written: DataFrame,
@@ -150,20 +154,48 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def folders_of(stored: DataFrame, chosen: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``folder``: the folders, as URIs, that hold rows of the Parquet read ``stored`` whose
+    """``folder``: the folders, by path, that hold rows of the Parquet read ``stored`` whose
     ``cols`` are among ``chosen``'s."""
-    held = stored.select(*cols, F.regexp_extract(F.col("_metadata.file_path"), "^(.*)/[^/]*$", 1).alias("folder"))
+    # The path is escaped like a URL's, in which a plus sign is itself.
+    path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    held = stored.select(*cols, F.regexp_extract(path, "^(.*)/[^/]*$", 1).alias("folder"))
     held = held.distinct()
     return held.join(chosen, same_folder(held, chosen, cols), "left_semi").select("folder").distinct()
 
 
+def _delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from feedlake.sources.heads import file_system
+
+    for batch in batches:
+        gone = []
+        for folder in batch.column("folder").to_pylist():
+            system, path = file_system(folder)
+            there = system.get_file_info(path).type == fs.FileType.Directory
+            if there:
+                try:
+                    system.delete_dir(path)
+                except FileNotFoundError:  # an attempt before this one was as far
+                    pass
+            gone.append(int(there))
+        yield pa.RecordBatch.from_arrays([pa.array(gone, pa.int64())], names=["gone"])
+
+
 def remove_folders(spark: SparkSession, folders: DataFrame) -> int:
-    """Delete the folders named in ``folders`` (streamed to the driver, one call each)."""
+    """Delete the folders named in ``folders`` by a job on the executors; the number that were
+    there. Only file systems that ``pyarrow`` does not know are left to the driver."""
+    from feedlake.sources.heads import opens
+
+    named = stored_copy(folders.select("folder").distinct(), "doomed")
+    one = named.first()
+    if one is None:
+        return 0
+    if opens(one["folder"]):
+        tasks = -(-named.count() // FOLDERS_PER_TASK)
+        return named.repartition(tasks).mapInArrow(_delete, "gone long").agg(F.sum("gone")).first()[0]
     jvm, conf, n = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
-    for r in folders.toLocalIterator():
-        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r["folder"]))
-        p.getFileSystem(conf).delete(p, True)
-        n += 1
+    for r in named.toLocalIterator():
+        p = jvm.org.apache.hadoop.fs.Path(r["folder"])
+        n += bool(p.getFileSystem(conf).delete(p, True))
     return n
 
 

@@ -32,7 +32,7 @@ _ARROW_SCHEMA = pa.schema([("file", pa.string()), ("header", pa.list_(pa.string(
 _SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
-def _place(uri: str) -> tuple[fs.FileSystem, str]:
+def file_system(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system and path of a name as Hadoop writes it: nothing in it is escaped."""
     scheme, colon, rest = uri.partition(":")
     if not colon:
@@ -69,7 +69,7 @@ def names_of(line: str | None) -> list[str]:
 def read_head(uri: str) -> tuple[str, list[str] | None, str | None]:
     """The file's names (none: it has no line), or why it can't be read."""
     try:
-        system, path = _place(uri)
+        system, path = file_system(uri)
         packed = path.endswith(COMPRESSED)
         with system.open_input_stream(path, compression="detect") as stream:
             return uri, names_of(first_line(stream, packed)), None
@@ -85,10 +85,10 @@ def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             schema=_ARROW_SCHEMA)
 
 
-def _opens(uri: str) -> bool:
+def opens(uri: str) -> bool:
     """Whether this file system is one that ``pyarrow`` knows."""
     try:
-        _place(uri)
+        file_system(uri)
     except Exception:  # noqa: BLE001 - an unknown scheme or a missing client library
         return False
     return True
@@ -125,7 +125,7 @@ def file_heads(spark: SparkSession, files: Sequence[str]) -> DataFrame:
     """``file, header, error`` of each file; ``header`` is empty for a file without a line."""
     if not files:
         return spark.createDataFrame([], SCHEMA)
-    if not _opens(files[0]):
+    if not opens(files[0]):
         return spark.createDataFrame(hadoop_heads(spark, files), SCHEMA)
     tasks = -(-len(files) // FILES_PER_TASK)
     listed = spark.createDataFrame(pa.table({"file": pa.array(sorted(files), pa.string())}))
