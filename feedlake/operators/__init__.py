@@ -3,8 +3,9 @@
 from feedlake.operators.clean import clean
 from feedlake.operators.combine import combine_sources
 from feedlake.operators.counts import feed_counts, feed_totals, pivot_counts
-from feedlake.operators.dedupe import dedupe, duplicate_count, duplicate_keys
+from feedlake.operators.dedupe import dedupe, duplicate_keys
 from feedlake.operators.enrich import enrich, run_timestamp
+from feedlake.operators.ordered import rank_within
 from feedlake.operators.profile import (
     category_profile,
     date_format_profile,
@@ -24,8 +25,8 @@ from feedlake.operators.validate import (
 
 __all__ = [
     "category_profile", "clean", "combine_sources", "date_format_profile", "dedupe",
-    "duplicate_count", "duplicate_keys", "enrich", "feed_counts", "feed_totals", "keep_passing",
+    "duplicate_keys", "enrich", "feed_counts", "feed_totals", "keep_passing",
     "null_profile", "numeric_profile", "pipeline_summary", "pivot_counts",
-    "quality_overall", "quality_scores", "run_timestamp", "schema_check", "source_metrics",
+    "quality_overall", "quality_scores", "rank_within", "run_timestamp", "schema_check", "source_metrics",
     "source_stats", "top_k_per_group", "validate_feeds",
 ]

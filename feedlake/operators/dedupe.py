@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import config as C
@@ -13,19 +13,8 @@ from feedlake.operators.topk import top_k_per_group
 DEFAULT_KEYS: tuple[str, ...] = (C.SOURCE_COL, C.KEY_COL)
 
 
-def duplicate_count(key: str = C.KEY_COL) -> Column:
-    """A3 aggregate: rows minus distinct keys, where null keys form one group.
-
-    Equals ``count() - dropDuplicates([key]).count()`` per group, computed in
-    the same aggregation as other per-source metrics (one scan).
-    """
-    k = F.col(key)
-    has_null = F.max(F.when(k.isNull(), 1).otherwise(0))
-    return (F.count(F.lit(1)) - F.count_distinct(k) - has_null).cast("long")
-
-
 def duplicate_counts(df: DataFrame, key: str = C.KEY_COL, group_col: str = C.SOURCE_COL) -> DataFrame:
-    """A3 per group: ``duplicate_ids``. Ids are counted once per (group, id),
+    """A3 per group: ``duplicate_ids``, rows minus distinct keys (null is a key). Ids are counted once per (group, id),
     so a hot group spreads over all reducers, and then summed."""
     once = df.groupBy(group_col, key).agg(F.count(F.lit(1)).alias("_n"))
     return once.groupBy(group_col).agg(F.sum(F.col("_n") - 1).cast("long").alias("duplicate_ids"))

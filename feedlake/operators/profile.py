@@ -20,8 +20,12 @@ from pyspark.sql import functions as F
 
 from feedlake import config as C
 from feedlake.functions import (
+    is_negative,
     is_negative_int,
+    is_not_numeric,
     is_null_or_empty,
+    is_present,
+    is_zero,
     parse_double,
     strip,
 )
@@ -66,9 +70,9 @@ def source_metrics(df: DataFrame, numeric: Sequence[str] = C.NUMERIC_COLUMNS,
         if c not in cols:
             continue
         d = parse_double(c)
-        aggs += [F.count_if(d.isNull()).alias(_metric("nonnum", c)),
-                 F.count_if(d < 0).alias(_metric("neg", c)),
-                 F.count_if(d == 0).alias(_metric("zero", c)),
+        aggs += [F.count_if(is_not_numeric(c)).alias(_metric("nonnum", c)),
+                 F.count_if(is_negative(c)).alias(_metric("neg", c)),
+                 F.count_if(is_zero(c)).alias(_metric("zero", c)),
                  F.min(d).alias(_metric("min", c)),
                  F.max(d).alias(_metric("max", c)),
                  F.avg(d).alias(_metric("avg", c))]
@@ -221,7 +225,7 @@ def category_profile(df: DataFrame, columns: Sequence[str] = C.CATEGORICAL_COLUM
     if not present:
         return df.select(C.SOURCE_COL).where(F.lit(False))
     return (_long_values(df, present, columns_by_source)
-            .where(F.col("value").isNotNull() & (F.col("value") != ""))
+            .where(is_present("value"))
             .groupBy(C.SOURCE_COL, "column_name", "value")
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
@@ -280,7 +284,7 @@ def value_counts(df: DataFrame, categorical: Sequence[str] = C.CATEGORICAL_COLUM
         C.SOURCE_COL, "kind", "column_name",
         F.when(is_date, strip(F.col("value"))).otherwise(F.col("value")).alias("value"),
         F.when(is_date, F.col("_fmt")).alias("date_format"))
-    keyed = keyed.where(is_date | (F.col("value").isNotNull() & (F.col("value") != "")))
+    keyed = keyed.where(is_date | is_present("value"))
     return (keyed.groupBy(C.SOURCE_COL, "kind", "column_name", "value", "date_format")
                  .agg(F.count(F.lit(1)).alias("n")))
 

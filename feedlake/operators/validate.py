@@ -90,8 +90,3 @@ def keep_passing(df: DataFrame, validation: DataFrame) -> DataFrame:
     whether to broadcast it.
     """
     return df.join(validation.where("passed").select(C.SOURCE_COL), C.SOURCE_COL, "left_semi")
-
-
-def registry_frame(spark: SparkSession, sources: Iterable[str]) -> DataFrame:
-    """The registry as a one-column frame (metadata, one row per source)."""
-    return spark.createDataFrame([(s,) for s in dict.fromkeys(sources)], f"{C.SOURCE_COL} string")

@@ -175,13 +175,13 @@ def quality_gate(validation: DataFrame, scores: DataFrame, min_score: float) ->
 
 
 def _store(processed: DataFrame, path: str, partition_by: Sequence[str], overwrite: str,
-           keep: F.Column | None) -> tuple[DataFrame | None, DataFrame | None]:
+           keep: F.Column | None, once: bool = True) -> tuple[DataFrame | None, DataFrame | None]:
     """Write a full load, or bring the stored table up to date; the folders written and removed
     (None: all were written)."""
     if overwrite == "static" or not path_exists(processed.sparkSession, path):
         write_feed(processed if keep is None else processed.where(keep), path, partition_by, overwrite="static")
         return None, None
-    return rewrite_touched(processed, path, partition_by, keep)
+    return rewrite_touched(processed, path, partition_by, keep, once=once)
 
 
 def run_etl(df: DataFrame, out_root: str, sources: Sequence[str] | None = None,
@@ -223,7 +223,7 @@ def run_etl(df: DataFrame, out_root: str, sources: Sequence[str] | None = None,
     _store(processed, sources_path, (C.SOURCE_COL, "feed_date"), overwrite, keep)
     stored = read_feed_table(spark, sources_path, processed.schema, partition_by=(C.SOURCE_COL, "feed_date"))
     stored = stored.join(passed, C.SOURCE_COL, "left_semi").select(*processed.columns)
-    written, gone = _store(stored, combined_path, layout, overwrite, keep)
+    written, gone = _store(stored, combined_path, layout, overwrite, keep, once=False)
     counts = None
     if written is not None:
         combined = read_feed_table(spark, combined_path, processed.schema)

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.functions.dates import normalise_date_columns
@@ -26,9 +26,11 @@ from feedlake.operators import (
     pivot_counts,
     quality_overall,
     quality_scores,
+    rank_within,
     schema_check,
     validate_feeds,
 )
+from feedlake.plans.daily_profile import MergedProfile, ProfileStore
 from feedlake.plans.pipeline import process, run_etl
 from feedlake.plans.registry import FEED_CTE, PROCESSED_CTES, RUN_TS, _norm_date
 from feedlake.session import scratch_path, stored_copy
@@ -81,9 +83,39 @@ def q_wide_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_ordered_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1: the distinct values of each categorical column in order, with their rank."""
-    values = category_profile(listing_feed(spark, sf_dir))
-    order = Window.partitionBy("source_name", "column_name").orderBy("value")
-    return values.select("source_name", "column_name", "value", F.row_number().over(order).alias("rank"))
+    values = category_profile(listing_feed(spark, sf_dir)).drop("n_rows")
+    return rank_within(values, ["source_name", "column_name"], ["value"])
+
+
+def q_ordered_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 with many values: the distinct ids of each source in order, with their rank."""
+    ids = listing_feed(spark, sf_dir).select("source_name", "property_id").distinct()
+    return rank_within(ids, ["source_name"], ["property_id"])
+
+
+def q_wide_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 on all ten categorical columns."""
+    return category_profile(wide_feed(spark, sf_dir))
+
+
+def _by_days(spark: SparkSession, sf_dir: str) -> MergedProfile:
+    """A profile merged from three days' partial results."""
+    feed = wide_feed(spark, sf_dir)
+    store = ProfileStore(spark, scratch_path(spark, "daily-profile"), [c for c in feed.columns if c != "source_name"])
+    day = F.pmod(F.xxhash64("property_id", "price"), F.lit(3))
+    for k in range(3):
+        store.add(f"d{k}", feed.where(day == k))
+    return store.profile(["d0", "d1", "d2"], wide_columns(feed), UNREADABLE)
+
+
+def q_merged_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G7 by days: scores from stored partial results, equal to those of all rows at once."""
+    return _by_days(spark, sf_dir).scores
+
+
+def q_merged_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A9 by days."""
+    return _by_days(spark, sf_dir).categories
 
 
 def _monthly(feed: DataFrame) -> DataFrame:
@@ -114,7 +146,7 @@ def q_etl_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G9 run twice on the monthly feed. The first run sees no row before 1997, and no null id
     in src1; the second sees all. Survivors move to older dates and src1 fails, so the combined
     table must equal one full run."""
-    feed = _monthly(listing_feed(spark, sf_dir))
+    feed = stored_copy(_monthly(listing_feed(spark, sf_dir)), "monthly-feed")  # a raw feed is stored, too
     out = scratch_path(spark, "etl")
     early = F.coalesce(F.col("feed_date") < "1997-01-01", F.lit(False))
     failing = (F.col("source_name") == "src1") & F.col("property_id").isNull()
@@ -142,6 +174,10 @@ WIDE_QUERIES: dict[str, Query] = {
     "wide_validate": q_wide_validate,
     "wide_enrich": q_wide_enrich,
     "ordered_values": q_ordered_values,
+    "ordered_ids": q_ordered_ids,
+    "wide_categories": q_wide_categories,
+    "merged_scores": q_merged_scores,
+    "merged_categories": q_merged_categories,
     "counts_by_date_pivot": q_counts_by_date_pivot,
     "source_folders": q_source_folders,
     "etl_after_failure": q_etl_after_failure,
@@ -210,6 +246,22 @@ def _wide_nulls() -> str:
 FROM ({parts}) t WHERE empty_count > 0"""
 
 
+_WIDE_CATEGORIES = ("transaction_type listing_status property_type tenure condition epc_rating heating_type garden parking "
+                    "is_chain_free").split()
+
+
+def _wide_categories(where: str = "true") -> str:
+    parts = "\nUNION ALL\n".join(
+        f"SELECT source_name, '{c}' AS column_name, {_q(c)} AS value FROM w" for c in _WIDE_CATEGORIES)
+    return f"""WITH {W} SELECT source_name, column_name, value, count(*) AS n_rows
+FROM ({parts}) t WHERE value <> '' AND {where} GROUP BY source_name, column_name, value"""
+
+
+def _merged_categories() -> str:
+    """Sources w4 and w5 have no garden and parking by their headers."""
+    return _wide_categories("NOT (source_name IN ('w4', 'w5') AND column_name IN ('garden', 'parking'))")
+
+
 def _wide_numbers() -> str:
     parts = "\nUNION ALL\n".join(
         f"SELECT source_name, '{c}' AS column_name, try_cast({c} AS DOUBLE) AS x FROM w" for c in _WIDE_NUMBERS)
@@ -278,9 +330,19 @@ SELECT {', '.join(_q(c) for c in _PLAIN)}, source_name,
   '{RUN_TS}' AS ingestion_timestamp FROM c""",
     "ordered_values": f"""WITH {FEED_CTE}
 SELECT source_name, column_name, value,
-  CAST(row_number() OVER (PARTITION BY source_name, column_name ORDER BY value) AS INTEGER) AS rank
+  row_number() OVER (PARTITION BY source_name, column_name ORDER BY value) AS rank
 FROM (SELECT DISTINCT source_name, column_name, value FROM feed UNPIVOT (value FOR column_name IN
   (transaction_type, listing_status, property_type, tenure)) WHERE value <> '')""",
+    "ordered_ids": f"""WITH {FEED_CTE}
+SELECT source_name, property_id, row_number() OVER (PARTITION BY source_name ORDER BY property_id NULLS FIRST) AS rank
+FROM (SELECT DISTINCT source_name, property_id FROM feed)""",
+    "wide_categories": _wide_categories(),
+    "merged_categories": _merged_categories(),
+    "merged_scores": f"""{_SCORES}
+SELECT source_name, rows, null_ids, duplicate_ids, missing_columns, negative_prices, negative_sqft, score,
+  CASE WHEN source_name = 'w9' THEN 'ERROR' ELSE {_GRADE.format('score')} END AS grade,
+  CASE WHEN source_name = 'w9' THEN '✗' WHEN score >= 75 THEN '✓' WHEN score >= 60 THEN '⚠' ELSE '✗' END AS icon,
+  issues, status FROM scored""",
     "counts_by_date_pivot": f"""{PROCESSED_CTES.replace(FEED_CTE, _MONTHLY)}
 SELECT source_name, {', '.join(f"count(*) FILTER (WHERE feed_date = '{m}') AS {_q(m)}" for m in _MONTHS)},
   count(*) FILTER (WHERE feed_date IS NULL) AS "null" FROM processed GROUP BY source_name""",

@@ -208,7 +208,8 @@ def same_folder(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> F.Column:
 
 
 def rewrite_touched(processed: DataFrame, path: str, partition_by: Sequence[str],
-                    keep: F.Column | None = None, keys: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                    keep: F.Column | None = None, keys: DataFrame | None = None,
+                    once: bool = True) -> tuple[DataFrame, DataFrame]:
     """Bring the stored table under ``path`` up to date with ``processed`` around some ids.
 
     The ids are those of ``keys``, or those that ``processed`` or the table
@@ -217,9 +218,12 @@ def rewrite_touched(processed: DataFrame, path: str, partition_by: Sequence[str]
     ``keep``, is rewritten whole from ``processed``; a folder left without rows
     is removed. So an id whose surviving row moved to another date is stored
     once, as after a full load. Returns the folders written and those removed.
+    ``processed`` is needed twice and is stored first, so that it is computed
+    once; ``once=False`` if it is a plain read of stored rows.
     """
     spark, cols, ids = processed.sparkSession, list(partition_by), [C.SOURCE_COL, C.KEY_COL]
     narrow = list(dict.fromkeys([*ids, *cols]))
+    processed = stored_copy(processed, "processed") if once else processed
     stored = read_feed_table(spark, path, processed.schema, cols)
     now = stored_copy(processed.select(*narrow), "places")
     if keys is None:
