@@ -2,13 +2,15 @@
 
     python -m feedlake profile ROOT [--sources a,b] [--report OUT] [--extended-dates]
     python -m feedlake etl ROOT OUT [--sources a,b] [--dates d1,d2] [--table NAME] [--min-score S]
+    python -m feedlake load ROOT STORE [--sources a,b] [--table NAME] [--batch N]
     python -m feedlake q1 COMBINED_PATH
 
 ``ROOT`` holds ``{source}/raw-data/*.csv``. ``profile`` shows the scores and
 the overall grade and, with ``--report``, stores every report frame as
 Parquet under that folder. ``etl`` validates, cleans, deduplicates, enriches
 and stores the passing sources, builds the combined table and shows the run
-summary and Q1. Spark settings come from ``spark-submit`` / the environment.
+summary and Q1. ``load`` adds the feeds under ROOT, those of a new day, to a
+store whose cost per day follows that day's rows. Spark settings come from ``spark-submit`` / the environment.
 """
 
 from __future__ import annotations
@@ -31,6 +33,19 @@ def _print(df) -> None:
         print("\t".join("" if v is None else str(v) for v in row))
 
 
+def _load(spark, args) -> int:
+    from feedlake.plans.store_run import run_store
+    from feedlake.sources import read_feed_root
+    from feedlake.streaming.store import FeedStore
+
+    feeds = read_feed_root(spark, args.root, _sources(args.sources))
+    result = run_store(feeds, FeedStore(spark, args.store), args.batch, table=args.table, input_version=args.root)
+    _print(result.summary.orderBy(C.SOURCE_COL))
+    _print(result.counts)
+    _print(result.totals)
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="feedlake")
     sub = parser.add_subparsers(dest="command", required=True)
@@ -48,6 +63,12 @@ def main(argv: list[str] | None = None) -> int:
     e.add_argument("--table", help="register the combined output under this name")
     e.add_argument("--strict-header", action="store_true")
     e.add_argument("--min-score", type=float, help="leave out sources scoring below this")
+    d = sub.add_parser("load", help="add new feeds to a store")
+    d.add_argument("root")
+    d.add_argument("store")
+    d.add_argument("--sources")
+    d.add_argument("--table", help="point this name to the new version")
+    d.add_argument("--batch", type=int, help="number of the batch, to repeat one that stopped")
     q = sub.add_parser("q1", help="rows per source and day of a combined table")
     q.add_argument("combined")
     args = parser.parse_args(argv)
@@ -60,6 +81,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "q1":
         _print(q1_counts(spark, args.combined))
         return 0
+    if args.command == "load":
+        return _load(spark, args)
     feeds = read_feed_root(spark, args.root, _sources(args.sources), strict_header=args.strict_header)
     if feeds.df is None:
         print(f"no readable source: {feeds.errors}", file=sys.stderr)

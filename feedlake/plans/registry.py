@@ -281,8 +281,8 @@ def _norm_date(x: str) -> str:
 
 def _date_bucket(x: str) -> str:
     t = _strip(x)
-    labels = [("%Y-%m-%d", C.LABEL_ISO), ("%d/%m/%Y", C.LABEL_DMY_SLASH),
-              ("%Y/%m/%d", C.LABEL_YMD_SLASH), ("%d %b %Y", C.LABEL_DMON)]
+    labels = [("%Y-%m-%d", "YYYY-MM-DD"), ("%d/%m/%Y", "DD/MM/YYYY"),
+              ("%Y/%m/%d", "YYYY/MM/DD"), ("%d %b %Y", "DD Mon YYYY")]
     whens = " ".join(f"WHEN try_strptime({t}, '{f}') IS NOT NULL THEN '{lab}'" for f, lab in labels)
     return f"CASE WHEN {x} IS NULL OR {t} = '' THEN 'empty' {whens} ELSE 'UNKNOWN' END"
 
@@ -333,7 +333,7 @@ CLEAN_SELECT = f"""SELECT property_id, source_name,
   transaction_type, listing_status, property_type, tenure,
   CASE WHEN {_int_parse('bedrooms')} >= 0 THEN {_int_parse('bedrooms')} END AS bedrooms,
   CASE WHEN {_int_parse('bathrooms')} >= 0 THEN {_int_parse('bathrooms')} END AS bathrooms,
-  CASE WHEN try_cast(sqft AS DOUBLE) >= {C.SQFT_PLACEHOLDER_THRESHOLD} THEN NULL
+  CASE WHEN try_cast(sqft AS DOUBLE) >= 99998 THEN NULL
        ELSE abs(try_cast(sqft AS DOUBLE)) END AS sqft,
   abs(try_cast(price AS DOUBLE)) AS price"""
 
@@ -363,7 +363,9 @@ _NUMERIC_PRESENT = ("bedrooms", "bathrooms", "sqft", "price")
 _FEED_DATA_COLUMNS = ("property_id", "feed_date", "sold_let_date", "transaction_type",
                       "listing_status", "property_type", "tenure", "bedrooms", "bathrooms",
                       "sqft", "price")
-_MISSING = [c for c in C.EXPECTED_COLUMNS if c not in _FEED_DATA_COLUMNS]
+_MISSING = ("source_agency", "address", "area", "borough", "postcode", "price_per_sqft", "condition", "epc_rating",
+            "heating_type", "garden", "parking", "floor_level", "days_on_market", "agent_id", "is_chain_free",
+            "longitude", "latitude")
 
 
 def _numeric_profile_sql() -> str:
@@ -392,12 +394,12 @@ def _null_profile_sql() -> str:
     pct = _py_round("(empty_count / total * 100)", 1)
     return f"""WITH {FEED_CTE}
 SELECT source_name, column_name, empty_count, {pct} AS pct,
-  CASE WHEN {pct} > {C.NULL_PCT_WARN_ABOVE} THEN '{C.ICON_WARN}' ELSE '{C.ICON_INFO}' END AS flag
+  CASE WHEN {pct} > 10 THEN '⚠' ELSE 'ℹ' END AS flag
 FROM ({body}) t WHERE empty_count > 0"""
 
 
 def _category_profile_sql() -> str:
-    cats = [c for c in C.CATEGORICAL_COLUMNS if c in _FEED_DATA_COLUMNS]
+    cats = ["transaction_type", "listing_status", "property_type", "tenure"]
     body = "\nUNION ALL\n".join(
         f"SELECT source_name, '{c}' AS column_name, {c} AS value FROM feed" for c in cats)
     return f"""WITH {FEED_CTE}
@@ -409,7 +411,7 @@ GROUP BY source_name, column_name, value"""
 def _date_format_profile_sql() -> str:
     body = "\nUNION ALL\n".join(
         f"SELECT source_name, '{c}' AS column_name, {c} AS value FROM feed"
-        for c in C.DATE_COLUMNS)
+        for c in ("feed_date", "sold_let_date"))
     return f"""WITH {FEED_CTE}
 SELECT source_name, column_name, {_date_bucket('value')} AS date_format,
   count(*) AS n_rows, min(trim(value)) AS sample_value
@@ -451,9 +453,9 @@ SELECT source_name, CAST(rows AS BIGINT) AS rows, CAST(null_ids AS BIGINT) AS nu
   CAST(duplicate_ids AS BIGINT) AS duplicate_ids, CAST(missing_columns AS INTEGER) AS missing_columns,
   CAST(negative_prices AS BIGINT) AS negative_prices, CAST(negative_sqft AS BIGINT) AS negative_sqft,
   CAST(score AS INTEGER) AS score, {g} AS grade,
-  CASE WHEN {g} IN ('EXCELLENT', 'GOOD') THEN '{C.ICON_OK}' WHEN {g} = 'FAIR' THEN '{C.ICON_WARN}'
-       ELSE '{C.ICON_BAD}' END AS icon,
-  issues, '{C.STATUS_PROFILED}' AS status
+  CASE WHEN {g} IN ('EXCELLENT', 'GOOD') THEN '✓' WHEN {g} = 'FAIR' THEN '⚠'
+       ELSE '✗' END AS icon,
+  issues, 'PROFILED' AS status
 FROM scored"""
 
 
@@ -462,9 +464,9 @@ def _quality_overall_sql() -> str:
     return f"""{_SCORE_BASE}
 SELECT CAST(sum(rows) AS BIGINT) AS total_rows, CAST(count(*) AS BIGINT) AS sources,
   {avg} AS avg_score, {_GRADE.format(s=avg)} AS grade,
-  CASE WHEN {avg} >= {C.ADVICE_SAFE_AT} THEN '{C.ADVICE_SAFE}'
-       WHEN {avg} >= {C.ADVICE_REVIEW_AT} THEN '{C.ADVICE_REVIEW}'
-       ELSE '{C.ADVICE_STOP}' END AS advice
+  CASE WHEN {avg} >= 75 THEN 'SAFE_TO_RUN_ETL'
+       WHEN {avg} >= 60 THEN 'REVIEW_BEFORE_ETL'
+       ELSE 'DO_NOT_RUN_ETL' END AS advice
 FROM scored"""
 
 
@@ -538,7 +540,7 @@ FROM feed GROUP BY ALL"""
 def _date_samples_sql() -> str:
     body = "\nUNION ALL\n".join(
         f"SELECT source_name, '{c}' AS column_name, {c} AS value FROM feed"
-        for c in C.DATE_COLUMNS)
+        for c in ("feed_date", "sold_let_date"))
     return f"""WITH {FEED_CTE},
 texts AS (
   SELECT source_name, column_name, trim(value) AS sample_value,

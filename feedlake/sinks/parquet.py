@@ -111,14 +111,16 @@ def _sql_text(value) -> str:
 
 
 def _alter_partitions(spark: SparkSession, name: str, folders: DataFrame, cols: Sequence[str],
-                      change: str, between: str) -> int:
+                      change: str, between: str, location: str | None = None) -> int:
     if not _IDENT.match(name):
         raise ValueError(f"not a plain table name: {name!r}")
     def statements() -> Iterator[str]:
         # The names are streamed to the driver, a statement's worth at a time.
-        rows = folders.select(*cols).distinct().toLocalIterator()
+        names = [*cols, *([location] if location else [])]
+        rows = folders.select(*names).distinct().toLocalIterator()
         while some := list(itertools.islice(rows, PARTITIONS_PER_STATEMENT)):
-            specs = ["PARTITION (" + ", ".join(f"`{c}` = {_sql_text(r[c])}" for c in cols) + ")" for r in some]
+            specs = ["PARTITION (" + ", ".join(f"`{c}` = {_sql_text(r[c])}" for c in cols) + ")"
+                     + (f" LOCATION {_sql_text(r[location])}" if location else "") for r in some]
             counts.append(len(some))
             yield f"ALTER TABLE {name} {change} {between.join(specs)}"
 
@@ -131,14 +133,15 @@ def _alter_partitions(spark: SparkSession, name: str, folders: DataFrame, cols:
 
 
 def add_table_partitions(spark: SparkSession, name: str, written: DataFrame,
-                         partition_by: Sequence[str] = ("feed_date", C.SOURCE_COL)) -> int:
+                         partition_by: Sequence[str] = ("feed_date", C.SOURCE_COL), location: str | None = None) -> int:
     """K3 for an incremental run: register only the partitions just written.
 
     ``written`` is any frame with the partition columns; each of its distinct
     values, null included, is one partition. A full ``MSCK REPAIR TABLE`` would
-    list every folder of the table on each run. Returns the number named.
+    list every folder of the table on each run. ``location``: the column of ``written`` with a
+    partition's folder, where that does not follow from the table's. Returns the number named.
     """
-    return _alter_partitions(spark, name, written, list(partition_by), "ADD IF NOT EXISTS", " ")
+    return _alter_partitions(spark, name, written, list(partition_by), "ADD IF NOT EXISTS", " ", location)
 
 
 def drop_table_partitions(spark: SparkSession, name: str, gone: DataFrame,

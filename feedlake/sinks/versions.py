@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 from feedlake import config as C
 from feedlake.session import stored_copy
 from feedlake.sinks.parquet import (
+    _IDENT,
+    add_table_partitions,
     path_exists,
     remove_folders,
     same_folder,
@@ -125,6 +127,44 @@ def replace_folders(spark: SparkSession, root: str, version: int, rows: DataFram
     publish(root, version, kept.unionByName(fresh))
 
 
+def _table_of(name: str, version: int) -> str:
+    return f"{name}__v{version}"
+
+
+def register_version(spark: SparkSession, name: str, root: str, schema: T.StructType,
+                     layout: Sequence[str] = LAYOUT) -> int | None:
+    """K3: make ``name`` the current version for SQL, in one switch. Returns the version.
+
+    Each version is an external table of its own, whose partitions lie where the
+    version's list says, named in batches. ``name`` is a view on one of them, and
+    replacing the view is the switch; a stop before it leaves the version before.
+    Tables of versions before the one that the view had are then dropped.
+    """
+    if not _IDENT.match(name):
+        raise ValueError(f"not a plain table name: {name!r}")
+    version = current_version(spark, root)
+    if version is None:
+        return None
+    table = _table_of(name, version)
+    full = string_partitions(schema, layout)
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields)
+    location = f"{_data(root)}".replace("'", "\\'")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")  # of a registration that stopped
+    spark.sql(f"CREATE TABLE {table} ({cols}) USING parquet PARTITIONED BY ({', '.join(f'`{c}`' for c in layout)}) "
+              f"LOCATION '{location}'")
+    base = root.rstrip("/") + "/"
+    add_table_partitions(spark, table, folders(spark, root, version, layout)
+                         .withColumn("location", F.concat(F.lit(base), "folder")), layout, "location")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(f'`{c}`' for c in schema.names)} FROM {table}")
+    head, _, own = name.rpartition(".")
+    listed = spark.sql(f"SHOW TABLES {f'IN {head} ' if head else ''}LIKE '{own}__v*'")
+    for r in listed.toLocalIterator():
+        number = r["tableName"].removeprefix(f"{own}__v".lower())
+        if number.isdigit() and int(number) < version - 1:
+            spark.sql(f"DROP TABLE IF EXISTS {_table_of(name, int(number))}")
+    return version
+
+
 def vacuum(spark: SparkSession, root: str, keep_versions: int = 1, layout: Sequence[str] = LAYOUT) -> int:
     """Remove data folders that none of the last ``keep_versions`` versions names, by a job on the
     executors. Data of a run after the current version is left alone: it may be in the making."""

@@ -108,6 +108,16 @@ class FeedStore:
         (self.spark.createDataFrame(row, _LEDGER).coalesce(1).write.mode("overwrite")
          .parquet(self._path("ledger", f"batch={batch}", f"stage={stage}")))
 
+    def status(self) -> DataFrame:
+        """``batch`` and the validation as of it, one row per source: what each batch published knew."""
+        published = current_version(self.spark, self.root) or 0
+        known = verdicts(first_measures(self._empty()).withColumn("duplicate_ids", F.lit(0).cast("long")))
+        paths = self._batches("validation", published)
+        if not paths:
+            return known.withColumn("batch", F.lit(None).cast("long"))
+        return (self.spark.read.schema(known.schema.add("batch", "long"))
+                .option("basePath", self._path("state", "validation")).parquet(*paths))
+
     def _done(self, batch: int, input_version: str) -> set[str]:
         """Stages of the batch that are done for this input."""
         rows = self.ledger().where(F.col("batch") == batch).collect()  # at most one per stage
@@ -202,6 +212,7 @@ class FeedStore:
 
     def _publish(self, batch: int, ingestion_timestamp: str | None) -> None:
         validation = stored_copy(self.validation(batch), "validation")
+        validation.write.mode("overwrite").parquet(self._path("state", "validation", f"batch={batch}"))
         passed = validation.where("passed").select(C.SOURCE_COL)
         changed = self._changed(batch)
         changed = changed.join(passed, C.SOURCE_COL, "left_semi").select(*changed.columns)

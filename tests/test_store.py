@@ -201,3 +201,62 @@ def test_columns_of_the_store_are_those_it_was_opened_with(spark, tmp_dir):
     store.apply(_feed_rows(spark, [("a", "a1", "2025-01-06")]).withColumn("unit_no", F.lit("7")))
     store.apply(_feed_rows(spark, [("a", "a2", "2025-01-06")]))
     assert {(r.property_id, r.unit_no) for r in store.read().collect()} == {("a1", "7"), ("a2", None)}
+
+
+def test_a_daily_run_from_files_to_sql(spark, tmp_dir, capsys):
+    from feedlake.__main__ import main
+    from feedlake.plans.store_run import run_store
+    from feedlake.sources import read_feed_root
+
+    day1, day2, root = (os.path.join(tmp_dir, x) for x in ("d1", "d2", "store"))
+    _write(day1, "alpha", "f.csv", [HEADER, _line("A1", "A", "06/01/2025"), _line("A2", "A", "07/01/2025"), "A3,A"])
+    _write(day1, "beta", "f.csv", [HEADER, _line("B1", "B", "06/01/2025")])
+    _write(day2, "alpha", "f.csv", [HEADER, _line("A2", "A", "05/01/2025")])
+    _write(day2, "beta", "f.csv", [HEADER, _line("", "B", "07/01/2025")])
+    store = FeedStore(spark, root)
+    first = run_store(read_feed_root(spark, day1, ["alpha", "beta", "gone"]), store, ingestion_timestamp="t", table="daily_run")
+    assert {(r.source_name, r.rows, r.malformed_rows) for r in first.summary.collect()} == {
+        ("alpha", 3, 1), ("beta", 1, 0), ("gone", 0, 0)}
+    assert [r.line for r in first.quarantine.collect()] == ["A3,A"]
+    assert {(r.source_name, r.status) for r in first.summary.collect() if r.source_name == "gone"} == {
+        ("gone", "FAILED: no files under " + os.path.join(day1, "gone", "raw-data", ""))}
+    assert spark.table("daily_run").count() == 4
+    assert main(["load", day2, root, "--sources", "alpha,beta", "--table", "daily_run", "--batch", "2"]) == 0
+    assert "null property IDs" in capsys.readouterr().out
+    got = {(r.property_id, r.feed_date) for r in spark.sql("SELECT * FROM daily_run").collect()}
+    assert got == {("A1", "2025-01-06"), ("A2", "2025-01-05"), ("A3", None)}
+    assert main(["load", day2, root, "--sources", "alpha,beta", "--table", "daily_run", "--batch", "2"]) == 0  # repeated
+    assert spark.table("daily_run").count() == 3
+    assert {(r.batch, r.source_name, r.passed) for r in store.status().collect()} == {
+        (1, "alpha", True), (1, "beta", True), (2, "alpha", True), (2, "beta", False)}
+
+
+def test_the_sql_table_switches_once(spark, tmp_dir, monkeypatch):
+    from feedlake.sinks import versions as V
+
+    root = os.path.join(tmp_dir, "t")
+    schema = "v string, feed_date string, source_name string"
+    one = spark.createDataFrame([("x", "2025-01-06", "it's"), ("y", None, "s")], schema)
+    assert V.register_version(spark, "switched", root, one.schema) is None
+    publish(root, 1, write_run(one, root, 1))
+    assert V.register_version(spark, "switched", root, one.schema) == 1
+    assert table(spark.table("switched")) == table(one)
+    two = spark.createDataFrame([("z", "2025-01-06", "it's")], schema)
+    replace_folders(spark, root, 2, two, two.select("feed_date", "source_name"))
+    real = V.add_table_partitions
+
+    def stop(*args):
+        real(*args)
+        raise RuntimeError("stopped before the switch")
+    monkeypatch.setattr(V, "add_table_partitions", stop)
+    with pytest.raises(RuntimeError):
+        V.register_version(spark, "switched", root, one.schema)
+    assert table(spark.table("switched")) == table(one)                   # the old version, whole
+    monkeypatch.setattr(V, "add_table_partitions", real)
+    assert V.register_version(spark, "switched", root, one.schema) == 2
+    assert {r.v for r in spark.table("switched").collect()} == {"y", "z"}
+    replace_folders(spark, root, 3, two.where("false"), two.select("feed_date", "source_name"))
+    assert V.register_version(spark, "switched", root, one.schema) == 3
+    assert {r.v for r in spark.table("switched").collect()} == {"y"}
+    names = {r.tableName for r in spark.sql("SHOW TABLES LIKE 'switched*'").collect()}
+    assert names == {"switched", "switched__v2", "switched__v3"}
