@@ -12,13 +12,16 @@ importance is, with m pages,
 * together: ``CONTENT_WEIGHT`` of content and the rest of presentation.
 
 Navigation, adverts or notices that a site repeats have little importance, and
-branches below ``threshold`` are cut from each of the host's pages. Elements
-that HTML itself or a common class name marks as page furniture have none from
-the start; the node with most of a host's text is never cut, and a host with
-fewer than ``MIN_PAGES`` distinct pages gives no evidence.
+branches below ``threshold`` are cut from each of the host's pages. Few pages
+are weak evidence: a node's lack of importance counts less by a part of 1/m.
+Pages that share their longest block of text are one page, so near copies of
+an article are no evidence against it, and the node with most of a host's text
+is never cut. Elements that HTML itself or a common name marks as page furniture
+have no importance from the start.
 
 The main text is that of the article (``article`` or ``main`` elements) if the
-page has one, else of the body. Counting shuffles hashes only; pages stay where
+page has one, else of the body. An article that is only a teaser beside far more
+running text is not the page's. A page that is nothing but a form is not empty. Counting shuffles hashes only; pages stay where
 they are read and are parsed twice.
 
 Defined cases: null or empty html gives an empty text; broken markup is read
@@ -42,13 +45,15 @@ from feedlake.llm.common import arrow_schema, materialise
 
 THRESHOLD = 0.3
 CONTENT_WEIGHT = 0.9
-MIN_PAGES = 10
+TEASER_PART, TEASER_CHARS = 3, 250  # text outside links, around an article so many times shorter, and at least so long
 PATH_DEPTH = 400  # elements below it share the path of the one above them, so that paths stay short
 BROADCAST_BRANCHES = 100_000  # branches to cut, all hosts, that are broadcast
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math title textarea select object audio video canvas".split())
-FURNITURE = frozenset("nav footer aside form button dialog menu head script style noscript template iframe svg math "
+RAW = frozenset("script style noscript template iframe svg title textarea select object audio video canvas".split())
+#: Of these, HTML closes none by a slash in the start tag, and an open one ends with the page.
+UNPARSED = frozenset("script style title textarea".split())
+FURNITURE = frozenset("nav footer aside form button dialog menu head script style noscript template iframe svg "
                       "title textarea select object audio video canvas".split())
 FURNITURE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
@@ -58,9 +63,12 @@ FURNITURE_NAMES = frozenset(
 #: Second parts of names of furniture, as in ``share-buttons``.
 FURNITURE_PARTS = frozenset("area bar block box button buttons container form icon icons inner item items link links list "
                             "outer panel section top bottom left right unit wrap wrapper".split())
-#: Names that an article's own parts have too: inside it the style tree decides.
-DOUBTFUL_NAMES = frozenset("comment consent notice notices overlay promo promotion recommended related replies respond "
-                           "share sharing skip social subscription".split())
+#: First parts of names of furniture, as in ``site-footer``; a header only with those that name the site.
+FURNITURE_FIRST = frozenset("site main page post global top bottom left right primary secondary blog article entry "
+                            "user reader".split())
+SITE_HEADERS = frozenset(("site-header", "global-header", "top-header"))
+#: Names that are single words of an article's own ids and classes too: inside it the style tree decides.
+DOUBTFUL_NAMES = frozenset("consent overlay respond share sharing skip social subscription".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 MAIN = frozenset(("article", "main"))
@@ -78,7 +86,9 @@ NOT_IN_P = BLOCK - {"br", "option", "optgroup", "body", "html", "head", "title",
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|</([a-zA-Z][^\s/>]*+)[^>]*+>"
-    r"|<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
+    r"|<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    # A quote without its partner: the tag ends where it seems to.
+    r"|<([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 #: A whole attribute, so that values are never searched for names.
 _ATTRIBUTE = re.compile(r"""([^\s/>="']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|"[^"]*"|'[^']*'""")
 _NAME = re.compile(r"[a-z]+")
@@ -100,10 +110,14 @@ class Node:
 def _furniture(key: str, value: str, tag: str, in_main: bool) -> bool:
     """Whether a whole class or id names page furniture. Ids of headings and sections are
     slugs of their titles; headings in an article belong to it."""
-    if tag in HEADINGS and (in_main or key == "id") or tag == "section" and key == "id" and in_main:
+    if tag in HEADINGS and (in_main or key == "id"):
         return False
+    if tag == "section" and key == "id" and in_main:
+        return value in ("comments", "comment-list")
     for token in value.split():
         parts = _NAME.findall(token)
+        if len(parts) > 1 and parts[0] in FURNITURE_FIRST and (parts[1] in FURNITURE_NAMES or token in SITE_HEADERS):
+            parts = parts[1:] if token not in SITE_HEADERS else ["banner"]
         if parts and parts[0] in FURNITURE_NAMES and all(x in FURNITURE_NAMES or x in FURNITURE_PARTS for x in parts):
             if not (in_main and len(parts) == 1 and parts[0] in DOUBTFUL_NAMES):
                 return True
@@ -160,7 +174,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
     while (m := _TOKEN.search(page, at)) is not None:
         add(m.start())
         at = m.end()
-        end, tag = m.group(1), m.group(2)
+        end, tag, attributes = m.group(1), m.group(2) or m.group(4), m.group(3) or m.group(5) or ""
         if end is not None:
             end = end.lower()
             if end in BLOCK:
@@ -176,11 +190,12 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
                     pop_to(*ENDS[tag])
             if tag in VOID:
                 continue
-            name, mute = _named(tag, m.group(3), stack[-1].main)
+            name, mute = _named(tag, attributes, stack[-1].main)
             stack[-1].children.append(name)
-            if tag in RAW and not m.group(3).rstrip().endswith("/"):
+            if tag in RAW and (tag in UNPARSED or not attributes.rstrip().endswith("/")):
                 close = _RAW_END[tag].search(page, at)
-                at = close.end() if close else len(page)
+                # Only these swallow the rest of the page; others that are never closed hold nothing.
+                at = close.end() if close else len(page) if tag in UNPARSED else at
                 continue
             node = Node(tag, name, stack[-1], mute, len(stack))
             nodes.append(node)
@@ -194,11 +209,31 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
 def main_text(page: str, cut: frozenset = frozenset()) -> str:
     """Text of the page's article; ``cut``: paths of branches to leave out."""
     nodes, runs = parse(page)
-    has_main = any(n.main and not n.mute for n in nodes)
+    text = _text(nodes, runs, cut, frozenset())
+    if not text and any(n.tag == "form" for n in nodes):
+        text = _text(nodes, runs, cut, frozenset(("form",)))  # the page's whole body is in a form
+    return text
+
+
+def _text(nodes: list[Node], runs: list[tuple[Node, str | None]], cut: frozenset, spoken: frozenset) -> str:
+    """The main text; elements of the tags ``spoken`` are no furniture by their tag."""
     dropped: set[int] = set()
+    linked: set[int] = set()
     for node in nodes:  # parents come first
-        if node.mute or node.path in cut or id(node.parent) in dropped:
+        own = node.mute and not (node.tag in spoken or spoken and node.parent is not None and node.parent.mute
+                                 and id(node.parent) not in dropped and node.tag not in FURNITURE)
+        if own or node.path in cut or id(node.parent) in dropped:
             dropped.add(id(node))
+        if node.tag == "a" or id(node.parent) in linked:
+            linked.add(id(node))
+    inside = around = 0
+    for node, text in runs:
+        if text is not None and id(node) not in dropped:
+            n = len(" ".join(text.split()))
+            inside += n * node.main
+            around += n * (not node.main and id(node) not in linked)
+    has_main = any(n.main and id(n) not in dropped for n in nodes)
+    has_main = has_main and not (around >= TEASER_CHARS and around > TEASER_PART * inside)
 
     blocks, block = [], []
     for node, text in runs:
@@ -227,9 +262,11 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for low in range(0, batch.num_rows, 500):
             part = batch.slice(low, 500)
             rows = []
-            for host, page, text in zip(part.column("host").to_pylist(), part.column("page").to_pylist(),
-                                        part.column("html"), strict=True):
+            for host, text in zip(part.column("host").to_pylist(), part.column("html"), strict=True):
                 nodes, runs = parse(text.as_py() or "")
+                longest = max((" ".join(run.split()) for node, run in runs if run is not None and not node.mute),
+                              key=lambda x: (len(x), x), default="")
+                page = path_hash(longest)
                 seen: dict[tuple[str, int, int], int] = {}
                 for node, run in runs:
                     if run is None or node.mute or run.isspace():
@@ -255,11 +292,11 @@ def host_of(url: str = "url") -> Column:
 
 def style_tree(pages: DataFrame) -> DataFrame:
     """``host, path, pages, importance, size`` of every node that holds text. ``pages``: ``url, html``."""
-    features = (pages.select(host_of().alias("host"), F.xxhash64("html").alias("page"), "html")
-                     .mapInArrow(_features, _FEATURES).distinct())
+    features = pages.select(host_of().alias("host"), "html").mapInArrow(_features, _FEATURES).distinct()
     counted = features.groupBy("host", "path", "kind", "value").agg(
         F.count(F.lit(1)).alias("k"), F.sum("size").alias("size"))
     first = F.col("kind") == 0
+    # Near copies are one page that may present a node in several ways.
     sums = counted.groupBy("host", "path").agg(
         F.sum(F.when(first, F.col("k"))).alias("pages"),
         # Entropy from sums: -sum k/m ln(k/m) = ln m - sum(k ln k) / m.
@@ -269,18 +306,18 @@ def style_tree(pages: DataFrame) -> DataFrame:
     log_m = F.log(F.col("pages"))
     presentation = (log_m - F.col("k_ln_k") / F.col("pages")) / log_m
     content = 1 - F.col("ln_k") / log_m
-    importance = F.when(F.col("pages") > 1, CONTENT_WEIGHT * content + (1 - CONTENT_WEIGHT) * presentation)
+    combined = CONTENT_WEIGHT * content + (1 - CONTENT_WEIGHT) * presentation
+    importance = F.when(F.col("pages") > 1, 1 - (1 - combined) * (1 - 1 / F.col("pages")))
     return sums.select("host", "path", "pages", "size", F.coalesce(importance, F.lit(1.0)).alias("importance"))
 
 
-def unimportant_branches(pages: DataFrame, threshold: float, min_pages: int) -> DataFrame:
+def unimportant_branches(pages: DataFrame, threshold: float) -> DataFrame:
     """``host, paths``: the branches to cut."""
     tree = style_tree(pages)
     # The node that holds most of a host's text stays.
     return (tree.groupBy("host")
                 .agg(F.max_by("path", F.struct("size", "path")).alias("largest"),
-                     F.collect_set(F.when((F.col("importance") < threshold) & (F.col("pages") >= min_pages),
-                                          F.col("path"))).alias("paths"))
+                     F.collect_set(F.when(F.col("importance") < threshold, F.col("path"))).alias("paths"))
                 .select("host", F.array_remove("paths", F.col("largest")).alias("paths"))
                 .where(F.size("paths") > 0))
 
@@ -300,9 +337,9 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(np.fromiter(map(len, out), np.int64, len(out)))], schema=schema)
 
 
-def extract_text(pages: DataFrame, threshold: float = THRESHOLD, min_pages: int = MIN_PAGES) -> DataFrame:
+def extract_text(pages: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``pages`` (``page_id``, ``url``, ``html``)."""
-    cut = materialise(unimportant_branches(pages, threshold, min_pages), "style-cuts")
+    cut = materialise(unimportant_branches(pages, threshold), "style-cuts")
     if (cut.agg(F.sum(F.size("paths"))).first()[0] or 0) <= BROADCAST_BRANCHES:
         cut = F.broadcast(cut)
     return (pages.select("page_id", "url", "html", host_of().alias("host")).join(cut, "host", "left")

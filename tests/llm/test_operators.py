@@ -579,7 +579,7 @@ def test_main_text(page, text):
 @pytest.mark.parametrize(("page", "text"), [
     ("<article><h2 id='related-work'>R</h2><section id='social-effects'>s</section><section id=sharing>t</section>",
      "R s t"),
-    ("<article><p class='notice-period'>p</p><div class=share-price>q</div><p class='notice'>r</p>", "p q r"),
+    ("<article><p class='notice-period'>p</p><div class=share-price>q</div><p class='notice'>r</p>", "p q"),
     ("<article><a title='the hidden side'>l</a> <b title=\"x class='ad' y\" data-x='role=navigation'>m</b>", "l m"),
     ("<article>a<div class='x ad'>b</div><div class=share-buttons>c</div><div id=ad_box>d</div><i HIDDEN>e</i>f", "af"),
     ("<article>a<div class = 'newsletter' title='x'>b</div><p title=''hidden>c</p>", "a"),
@@ -588,6 +588,71 @@ def test_names_of_furniture_are_whole(page, text):
     assert main_text(page).replace("a f", "af") == text
 
 
+LONG = "running text of the page " * 20
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<main>a<section id='comments'>b</section></main>", "a"), ("<article>a<div class='comment'>b</div>c</article>", "a c"),
+    ("<article>a<ol class='comment-list'><li>b</ol></article>", "a"),
+    ("<article>a<div class=notice>b</div><div class=related>c</div><p class='promo box'>d</p>e</article>", "a e"),
+    (f"<article>teaser</article><div class=content>{LONG}</div>", f"teaser {LONG.strip()}"),
+    (f"<div><a href=x>{LONG}</a></div><article>short</article>", "short"),
+    ("<article>a<video src=x><p>c</p></article>", "a c"),
+    ("<article>a<svg><path><p>b</article>", "a b"), ("<article>a<object><p>b</article>", "a b"),
+    ("<article>a<audio><p>b<select><p>c</article>", "a b c"), ("<article>so <math>x+1</math> holds</article>", "so x+1 holds"),
+    ("<form action=x><p>a</p><div>b<nav>n</nav></div></form>", "a b"), ("<p>a</p><form><p>b</p></form>", "a"),
+    ('<article><script src="a.js"/>alert(1)</script>b', "b"), ("<article><a title=\"x>b</a> c", "b c"),
+    ("<div class=site-header>a</div><div id=main-nav>b</div><p>c</p><div class=site-footer>d</div>"
+     "<div class='x page-sidebar'>e</div><div class=post-comments>f</div><div class=main-content>g</div>", "c g"),
+    ("<div class=post-title>a</div><div class=main>b</div><div class=page-header>c</div>", "a b c"),
+])
+def test_furniture_of_pages(page, text):
+    assert main_text(page) == text
+
+
+def test_style_tree_against_a_plain_one(spark):
+    """Importance by the definition, from all pages of a host at once."""
+    import math
+    r = random.Random(3)
+    made = []
+    for k in range(60):
+        host = f"h{k % 4}.example"
+        own = " ".join(f"w{r.randint(0, 999)}" for _ in range(30))
+        made.append((k, f"http://{host}/{k}", f"<div class=top>Site {r.randint(0, k % 4)}</div><div class=body><p>{own}</p>"
+                     + "<p>x</p>" * r.randint(0, 2) + "</div>" + "<i>end</i>" * r.randint(0, 1), "x", "y"))
+    pages = spark.createDataFrame(made + made[:20], PAGES)
+    seen = {}
+    for _, url, html, *_ in made:
+        host = url.split("/")[2]
+        nodes, runs = parse(html)
+        longest = max((" ".join(t.split()) for n, t in runs if t), key=lambda x: (len(x), x))
+        for n, t in runs:
+            if t and t.strip():
+                seen.setdefault((host, n.path), ([], set(), {}))[2].setdefault(" ".join(t.split()), set()).add(longest)
+        for path in {n.path for n, t in runs if t and t.strip()}:
+            seen[(host, path)][0].append("|".join(",".join(n.children) for n in nodes if n.path == path))
+    want = {}
+    for key, (ways, _, contents) in seen.items():
+        m = len(ways)
+        if m < 2:
+            want[key] = 1.0
+            continue
+        shown = -sum(c / m * math.log(c / m, m) for c in Counter(ways).values())
+        held = 1 - sum(math.log(len(p), m) for p in contents.values()) / len(contents)
+        want[key] = 1 - (1 - (0.9 * held + 0.1 * shown)) * (1 - 1 / m)
+    got = {(x["host"], x["path"]): x["importance"] for x in style_tree(pages).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    cut = extract_text(pages).collect()
+    assert all(not x["text"].startswith("Site") for x in cut if x["url"].startswith("http://h0"))
+
+
+def test_near_copies_of_an_article_are_no_evidence_against_it(spark):
+    article = "<article><h1>Title</h1><p>" + "one two three " * 30 + "</p><p>second part</p></article>"
+    rows = [(k, "http://c.example/p", f"<body><script>t({k})</script>{article}<p>{k}</p></body>", "x", "y") for k in range(40)]
+    out = extract_text(spark.createDataFrame(rows, PAGES)).collect()
+    assert {x["text"] for x in out} == {"Title " + ("one two three " * 30).strip() + " second part"}
+
+
 def test_very_deep_pages():
     deep = 1000
     assert main_text("<body><div><article>a" + "<div>" * deep + "b" + "</div>" * deep + "<p>c</p></article></div>out") == "a b c"
