@@ -53,6 +53,9 @@ HEADLINE = [
     "wide_numeric_profile",
     "wide_enrich",
     "etl_after_failure",
+    "ordered_ids",
+    "wide_categories",
+    "merged_scores",
 ]
 
 
