@@ -104,9 +104,10 @@ class FeedStore:
         return self.spark.read.schema(schema).parquet(path)
 
     def _note(self, batch: int, stage: str, status: str, input_version: str, details: str = "") -> None:
-        row = [(status, input_version, details[:2000], datetime.now(timezone.utc).isoformat())]
-        (self.spark.createDataFrame(row, _LEDGER).coalesce(1).write.mode("overwrite")
-         .parquet(self._path("ledger", f"batch={batch}", f"stage={stage}")))
+        values = (status, input_version, details[:2000], datetime.now(timezone.utc).isoformat())
+        names = [c.split()[0] for c in _LEDGER.split(",")]
+        (self.spark.range(1, numPartitions=1).select(*[F.lit(v).alias(c) for c, v in zip(names, values, strict=True)])
+         .write.mode("overwrite").parquet(self._path("ledger", f"batch={batch}", f"stage={stage}")))
 
     def status(self) -> DataFrame:
         """``batch`` and the validation as of it, one row per source: what each batch published knew."""

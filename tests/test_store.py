@@ -21,6 +21,15 @@ from feedlake.streaming.store import FeedStore, start_store_stream
 from .test_pipeline import HEADER, _feed_rows, _line, _write
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Small tables: a file more is what a test here waits for."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def table(df):
     return Counter(tuple(r) for r in df.select(*sorted(df.columns)).collect())
 
