@@ -9,10 +9,14 @@ keeps less than ``min_kept`` of its words is depleted and rejected, and so is
 one that fails the base rules.
 
 Near copies are one document as well. Documents that such a count would deplete
-share nearly all their words with others; those with the same smallest shared
-line are a group, and lines are counted again with each group as one document.
-So a line is boilerplate if documents of different content hold it, and a page's
-near copies do not remove it.
+share nearly all their words with others. They are either near copies of one
+page or pages of one template, and the places of their own words tell which. A
+near copy's own words stand in place of lines that most of its group hold and it
+lacks; a template page holds the template whole and adds its own words to it. If
+at least half of a group's texts look like near copies, the group counts as one
+document when the lines are counted again, else each of its texts counts. So a
+line is boilerplate if documents of different content hold it, pages of one
+template are rejected, and a page's near copies do not remove it.
 
 Only DataFrame functions run here. A document's words stay in its row; what is
 shuffled is one hash per distinct line, summed before the shuffle, so a line or
@@ -37,6 +41,8 @@ MIN_WORDS = 50
 MAX_REPEATED = 50    # percent of words in repeated windows
 WINDOW = 3
 SYMBOLS = r"[#*$%&|<>]"
+_WORDS_BITS = 20
+_WORDS_MASK = (1 << _WORDS_BITS) - 1
 
 
 def split_words(text: Column) -> Column:
@@ -91,6 +97,34 @@ def _held(entries: DataFrame, lines: DataFrame) -> DataFrame:
     return entries.join(lines, F.col("host").eqNullSafe(F.col("f")) & (F.col("h") == F.col("g")), "left_semi")
 
 
+def _words_of(keys: Column) -> Column:
+    """Words of all lines of an array of line keys."""
+    return F.aggregate(keys, F.lit(0).cast("long"), lambda n, x: n + x.bitwiseAND(F.lit(_WORDS_MASK)))
+
+
+def near_copies(texts: DataFrame) -> DataFrame:
+    """``host, r1, page`` of the texts that are near copies of one page. ``texts``: distinct
+    ``host, r1`` with ``own`` (words outside shared lines) and ``keys`` (shared lines).
+
+    Texts with the same smallest shared line are a group. Its core are the lines that at least half
+    of it hold, so twice the lines of its texts at most. Texts that lack just that smallest line
+    form groups of their own: a group goes to the largest one that has its line in the core.
+    """
+    texts = texts.withColumn("least", F.array_min("keys"))
+    members = texts.groupBy("least").agg(F.count(F.lit(1)).alias("members"))
+    core = materialise(
+        texts.select("least", F.explode("keys").alias("key")).groupBy("least", "key").agg(F.count(F.lit(1)).alias("n"))
+             .join(members, "least").where("2 * n >= members").select("least", "key", "members"), "quality-cores")
+    page = core.groupBy(F.col("key").alias("least")).agg(F.max(F.struct("members", "least")).alias("x"))
+    cores = core.groupBy(F.col("least").alias("page")).agg(F.collect_list("key").alias("core"))
+    missing = _words_of(F.array_except("core", "keys"))
+    judged = materialise(
+        texts.join(page.select("least", F.col("x.least").alias("page")), "least").join(cores, "page")
+             .select("host", "r1", "page", (F.col("own") <= 2 * missing).alias("near")), "quality-near")
+    pages = judged.groupBy("page").agg(F.avg(F.col("near").cast("int")).alias("share")).where("share >= 0.5")
+    return judged.join(pages, "page", "left_semi").select("host", "r1", "page")
+
+
 def frequent_lines(rows: DataFrame, max_documents: int, max_share: float, min_kept: float) -> tuple[DataFrame, DataFrame]:
     """``f, g``: host and hash of the lines that are boilerplate, and the occurrences (``row, host,
     h, words``) of all that may be. ``rows``: ``row, host, r1, n_words, lines``."""
@@ -102,11 +136,20 @@ def frequent_lines(rows: DataFrame, max_documents: int, max_share: float, min_ke
                    .select("row", "host", "r1", "n_words", "line.h", "line.words"))
     held = materialise(
         _held(entries, first).groupBy("row", "host", "r1", "n_words")
-        .agg(F.sum("words").alias("shared"), F.min("h").alias("least"),
-             F.collect_list(F.struct("h", "words")).alias("lines")), "quality-shared")
-    depleted = F.col("n_words") - F.col("shared") < min_kept * F.col("n_words")
-    again = held.select("host", depleted.alias("group"), F.when(depleted, F.col("least")).otherwise(F.col("r1")).alias("document"),
-                        F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h")).distinct()
+        .agg(F.sum("words").alias("shared"), F.collect_list(F.struct("h", "words")).alias("lines")), "quality-shared")
+    # A line's key holds its number of words in the last bits.
+    keys = F.transform("lines", lambda x: F.shiftleft(F.xxhash64("host", x["h"]), _WORDS_BITS)
+                       .bitwiseOR(F.least(x["words"], F.lit(_WORDS_MASK)).cast("long")))
+    own = F.col("n_words") - F.col("shared")
+    texts = materialise(
+        held.dropDuplicates(["host", "r1"]).select(
+            "host", "r1", own.alias("own"), (own < min_kept * F.col("n_words")).alias("depleted"),
+            F.array_distinct(keys).alias("keys"), F.array_distinct(F.transform("lines", lambda x: x["h"])).alias("hs")),
+        "quality-texts")
+    copies = near_copies(texts.where("depleted")).select(F.col("host").alias("f"), F.col("r1").alias("g"), "page")
+    again = (texts.join(copies, F.col("host").eqNullSafe(F.col("f")) & (F.col("r1") == F.col("g")), "left")
+                  .select("host", F.col("page").isNotNull().alias("copy"), F.coalesce("page", "r1").alias("document"),
+                          F.explode("hs").alias("h")).distinct())
     lines = materialise(_common(again, sizes, max_documents, max_share), "quality-boilerplate")
     return lines, held.select("row", "host", F.explode("lines").alias("line")).select("row", "host", "line.h", "line.words")
 
@@ -138,9 +181,12 @@ def without_frequent_lines(docs: DataFrame, host: str = "source", max_documents:
     rows = materialise(
         rows.withColumn("n_words", F.aggregate("lines", F.lit(0), lambda n, x: n + x["words"]).cast("long"))
             .withColumn("row", F.monotonically_increasing_id()), "quality-rows")
+    own = "frequent lines"
+    while own.lower() in (c.lower() for c in docs.columns):
+        own += "_"
     lists = (frequent_lines(rows, max_documents, max_share, min_kept)[0].groupBy("f")
-             .agg(F.collect_set("g").alias("frequent")))
-    kept = F.filter(F.split("text", "\n"),
-                    lambda x: ~F.coalesce(F.array_contains("frequent", F.xxhash64(normalised(x))), F.lit(False)))
-    return (docs.join(lists, docs[host].eqNullSafe(lists["f"]), "left")
-                .withColumn("text", F.array_join(kept, "\n")).drop("f", "frequent"))
+             .agg(F.collect_set("g").alias("g")).select(F.struct("f", "g").alias(own)))
+    kept = F.filter(F.split("text", "\n"), lambda x: ~F.coalesce(
+        F.array_contains(F.col(f"`{own}`.g"), F.xxhash64(normalised(x))), F.lit(False)))
+    return (docs.join(lists, F.col(f"`{host}`").eqNullSafe(F.col(f"`{own}`.f")), "left")
+                .withColumn("text", F.array_join(kept, "\n")).drop(own))

@@ -479,6 +479,38 @@ def test_quality_rules_keep_near_copies(spark):
     assert all(x["kept"] and x["removed_words"] == 0 for x in out if x["doc_id"] >= 1000)
 
 
+def test_quality_rules_reject_pages_of_one_template(spark):
+    r = random.Random(9)
+
+    def line(k):
+        return " ".join(f"t{r.randint(0, 10**6)}" for _ in range(k))
+    template, page = [line(9) for _ in range(10)], [line(12) for _ in range(20)]
+    pages = [(k, "\n".join([*template[:5], line(8), *template[5:]]), "shop") for k in range(1000)]
+    copies = []
+    for k in range(400):  # lines changed, a word changed, lines left out; some add a line
+        copy, at = list(page), r.randrange(20)
+        copy[at:at + 1] = r.choice([[line(12)], [copy[at].replace("t", "u", 1)], [], [copy[at], line(5)]])
+        copies.append((2000 + k, "\n".join(copy), "shop"))
+    clean = [(5000 + k, "\n".join(line(12) for _ in range(8)), "shop") for k in range(150)]
+    out = {x["doc_id"]: x["kept"] for x in quality_rules(table(spark, pages + copies + clean)).collect()}
+    assert not any(out[k] for k in range(1000))
+    assert all(out[k] for k in range(2000, 2400)) and all(out[5000 + k] for k in range(150))
+    # A table twice as large, of other rows of the same kinds: the same verdicts.
+    more = [(10000 + k, "\n".join([*template[:5], line(8), *template[5:]]), "shop") for k in range(1000)]
+    more += [(20000 + k, "\n".join(line(12) for _ in range(8)), "shop") for k in range(550)]
+    twice = {x["doc_id"]: x["kept"] for x in quality_rules(table(spark, pages + copies + clean + more)).collect()}
+    assert {k: v for k, v in twice.items() if k < 10000} == out
+    assert not any(twice[10000 + k] for k in range(1000)) and all(twice[20000 + k] for k in range(550))
+
+
+def test_without_frequent_lines_keeps_a_callers_columns(spark):
+    rows = [(k, f"the same line\nown line {k}", "a") for k in range(12)] + [(20, "the same line", None)]
+    docs = table(spark, rows).withColumnsRenamed({"size": "f", "h": "frequent", "n": "frequent lines"})
+    out = without_frequent_lines(docs, max_documents=10)
+    assert out.columns == docs.columns
+    assert {x["doc_id"]: x["text"] for x in out.collect()} == {k: f"own line {k}" for k in range(12)} | {20: "the same line"}
+
+
 # --- 8: packing ----------------------------------------------------------------------------------
 
 def optimum(items, capacity):
