@@ -1,12 +1,16 @@
 """Operator 10, token counts: edit-aware counting.
 
-A document's text is cut into pre-token parts at single spaces, where the
-tokenizer never joins what is on both sides (see ``tokens``). The parts are the
-leaves' contents of a segment tree whose nodes hold characters and tokens of
-their subtree. An edit (delete some characters at a place, insert a text)
-descends the tree to the leaves it touches, takes one more leaf on each side as
-boundary context, cuts and encodes that region again and updates the sums on
-the paths to the root. The rest of the document is not encoded again.
+A document's text is cut into parts at pre-token boundaries that the characters
+beside them alone make sure of (see ``tokens``; long pre-tokens are cut where no
+merge can reach across). The parts are the leaves' contents of a segment tree
+whose nodes hold characters and tokens of their subtree. An edit (delete some
+characters at a place, insert a text) descends the tree to the leaves it touches,
+takes one more leaf on each side as boundary context, cuts and encodes that
+region again and updates the sums on the paths to the root. The rest of the
+document is not encoded again.
+
+Trees are kept in a table (``count_trees``); edits are applied to kept trees
+(``apply_edits``) without the texts. ``edited_token_counts`` does both.
 
 Defined cases: a null text is empty; a null list of edits has none; a place or
 length beyond the text is moved to its end; a null inserted text is empty; edits
@@ -18,40 +22,41 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from feedlake.llm.common import arrow_schema, text_or_empty
+from feedlake.llm.common import materialise, text_or_empty
 from feedlake.llm.tokens import Encoder, encoder
 
-LEAF_PARTS = 16
+LEAF_PARTS = 16    # most parts of a leaf
+LEAF_CHARS = 256   # a leaf with as many characters takes no more parts
 
 
 class CountTree:
     """Segment tree over a text's parts.
 
-    Leaf texts join to the whole text: each but the first begins with the space
-    at which it was cut off. ``chars`` and ``tokens`` are heaps: node k has the
-    children 2k and 2k + 1, the leaves start at ``width``.
+    Leaf texts join to the whole text; between two of them is a cut. ``chars`` and
+    ``tokens`` are heaps: node k has the children 2k and 2k + 1, the leaves start
+    at ``width``.
     """
 
     def __init__(self, text: str, enc: Encoder, leaves: list[tuple[str, int]] | None = None):
         self.enc = enc
         self.encoded = 0  # characters encoded so far
-        self._build(leaves if leaves is not None else self._leaves(text, False))
+        self._build(leaves if leaves is not None else self._leaves(text))
 
-    def _leaves(self, text: str, after_cut: bool) -> list[tuple[str, int]]:
-        """Leaf texts and tokens of a text; ``after_cut``: it begins with the space of a cut."""
+    def _leaves(self, text: str) -> list[tuple[str, int]]:
+        """Leaf texts and tokens of a text, or of a part of one between two cuts."""
         self.encoded += len(text)
-        parts, counts = self.enc.part_counts(text[1:] if after_cut else text)
-        if after_cut:
-            counts[0] = len(self.enc.encode(" " + parts[0]))
-        out = []
-        for k in range(0, len(parts), LEAF_PARTS):
-            joined = " ".join(parts[k:k + LEAF_PARTS])
-            out.append((" " + joined if k or after_cut else joined, sum(counts[k:k + LEAF_PARTS])))
+        out, low, chars = [], 0, 0
+        parts, counts = self.enc.part_counts(text)
+        for k, part in enumerate(parts, 1):
+            chars += len(part)
+            if k - low == LEAF_PARTS or chars >= LEAF_CHARS or k == len(parts):
+                out.append(("".join(parts[low:k]), sum(counts[low:k])))
+                low, chars = k, 0
         return out
 
     def _build(self, leaves: list[tuple[str, int]]) -> None:
@@ -110,8 +115,7 @@ class CountTree:
         region = "".join(self.texts[low:high + 1])
         region = region[:before] + inserted + region[before + end - at:]
         # The context leaves are whole, so the region's ends are still cuts.
-        starts_at_cut = low > 0 and any(self.texts[k] for k in range(low))
-        fresh = self._leaves(region, starts_at_cut) if region else []
+        fresh = self._leaves(region) if region else []
         room = high - low + 1
         if len(fresh) > 2 * room + 2:
             self._build([*self._part(0, low), *fresh, *self._part(high + 1, len(self.texts))])
@@ -135,86 +139,74 @@ class CountTree:
         return [(self.texts[k], self.tokens[self.width + k]) for k in range(low, high) if self.texts[k]]
 
 
-_COUNTS = ("doc_id long, n_tokens long, n_edits int, n_tokens_after long, n_chars_after long, "
-           "n_chars_encoded long, text_after string")
+_LEAVES = pa.list_(pa.struct([("text", pa.string()), ("tokens", pa.int64())]))
+_SLICE = 500  # documents whose trees are held at once
 
 
-def _count(path: str, with_text: bool):
-    schema = arrow_schema(_COUNTS)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
-        for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                part = batch.slice(low, 500)
-                rows = []
-                for doc_id, text, edits in zip(part.column("doc_id").to_pylist(), part.column("text"),
-                                               part.column("edits"), strict=True):
-                    tree = CountTree(text.as_py(), enc)
-                    n, tree.encoded = tree.total(), 0
-                    edits = edits.as_py() or ()
-                    for e in edits:
-                        tree.edit(e["at"] or 0, e["deleted"] or 0, e["inserted"] or "")
-                    rows.append((doc_id, n, len(edits), tree.total(), tree.length(), tree.encoded,
-                                 tree.text() if with_text else None))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
-    return run
-
-
-def edited_token_counts(docs: DataFrame, tokenizer: str, with_text: bool = False) -> DataFrame:
-    """Tokens of every row of ``docs`` (``doc_id``, ``text``, ``edits``: array of ``at, deleted,
-    inserted``) before and after its edits, and the characters that the edits made it encode again."""
-    out = (docs.select("doc_id", text_or_empty().alias("text"), "edits")
-               .mapInArrow(_count(tokenizer, with_text), _COUNTS))
-    return out if with_text else out.drop("text_after")
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(low, _SLICE) for batch in batches for low in range(0, batch.num_rows, _SLICE))
 
 
 def _tree(path: str):
-    schema = pa.schema([("doc_id", pa.int64()), ("leaves", pa.list_(pa.struct(
-        [("text", pa.string()), ("tokens", pa.int64())])))])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                part = batch.slice(low, 500)
-                trees = [[{"text": t, "tokens": n} for t, n in CountTree(x.as_py(), enc).leaves()]
-                         for x in part.column("text")]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(trees, schema.types[1])],
-                                                 schema=schema)
+        for part in _slices(batches):
+            trees = pa.array([[{"text": t, "tokens": n} for t, n in CountTree(x.as_py(), enc).leaves()]
+                              for x in part.column("text")], _LEAVES)
+            at = part.schema.get_field_index("text")
+            yield part.set_column(at, "leaves", trees)
     return run
 
 
-def count_trees(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """``doc_id, leaves``: each document's tree, to be kept in a table between edits."""
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
-        _tree(tokenizer), "doc_id long, leaves array<struct<text: string, tokens: bigint>>")
+def count_trees(docs: DataFrame, tokenizer: str, *keep: str) -> DataFrame:
+    """``doc_id, leaves``: each document's tree, to be kept in a table between edits; with the
+    columns ``keep`` of ``docs`` between the two."""
+    rows = docs.select("doc_id", *keep, text_or_empty().alias("text"))
+    leaf = T.StructType().add("text", "string").add("tokens", "long")
+    return rows.mapInArrow(_tree(tokenizer), T.StructType([*rows.schema.fields[:-1]]).add("leaves", T.ArrayType(leaf)))
+
 
+_APPLIED = ("doc_id long, leaves array<struct<text: string, tokens: bigint>>, n_tokens_before long, n_edits int, "
+            "n_tokens long, n_chars long, n_chars_encoded long")
 
-def _apply(path: str):
-    kept = pa.list_(pa.struct([("text", pa.string()), ("tokens", pa.int64())]))
-    schema = pa.schema([("doc_id", pa.int64()), ("leaves", kept), ("n_tokens", pa.int64())])
+
+def _apply(path: str, with_leaves: bool):
+    kinds = [("doc_id", pa.int64()), ("leaves", _LEAVES), ("n_tokens_before", pa.int64()), ("n_edits", pa.int32()),
+             ("n_tokens", pa.int64()), ("n_chars", pa.int64()), ("n_chars_encoded", pa.int64())]
+    schema = pa.schema(kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for batch in batches:
-            leaves, totals = [], []
-            for old, edits in zip(batch.column("leaves"), batch.column("edits"), strict=True):
+        for part in _slices(batches):
+            rows = []
+            for doc_id, old, edits in zip(part.column("doc_id").to_pylist(), part.column("leaves"),
+                                          part.column("edits"), strict=True):
                 tree = CountTree("", enc, [(x["text"], x["tokens"]) for x in old.as_py() or ()])
-                for e in edits.as_py() or ():
+                before, edits = tree.total(), edits.as_py() or ()
+                for e in edits:
                     tree.edit(e["at"] or 0, e["deleted"] or 0, e["inserted"] or "")
-                leaves.append([{"text": t, "tokens": n} for t, n in tree.leaves()])
-                totals.append(tree.total())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(leaves, kept), pa.array(np.array(totals, np.int64))], schema=schema)
+                leaves = [{"text": t, "tokens": n} for t, n in tree.leaves()] if with_leaves else None
+                rows.append((doc_id, leaves, before, len(edits), tree.total(), tree.length(), tree.encoded))
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
     return run
 
 
-def apply_edits(trees: DataFrame, tokenizer: str) -> DataFrame:
-    """``doc_id, leaves, n_tokens`` of kept trees (``doc_id, leaves``) after each row's ``edits``."""
-    return trees.select("doc_id", "leaves", "edits").mapInArrow(
-        _apply(tokenizer), "doc_id long, leaves array<struct<text: string, tokens: bigint>>, n_tokens long")
+def apply_edits(trees: DataFrame, tokenizer: str, with_leaves: bool = True) -> DataFrame:
+    """``doc_id, leaves, n_tokens_before, n_edits, n_tokens, n_chars, n_chars_encoded`` of kept trees
+    (``doc_id, leaves``) after each row's ``edits`` (array of ``at, deleted, inserted``)."""
+    return trees.select("doc_id", "leaves", "edits").mapInArrow(_apply(tokenizer, with_leaves), _APPLIED)
+
+
+def edited_token_counts(docs: DataFrame, tokenizer: str, with_text: bool = False) -> DataFrame:
+    """Tokens of every row of ``docs`` (``doc_id``, ``text``, ``edits``) before and after its edits,
+    and the characters that the edits made it encode again. The trees are stored in between."""
+    trees = materialise(count_trees(docs, tokenizer, "edits"), "count-trees")
+    text = F.array_join(F.transform("leaves", lambda x: x["text"]), "")
+    return apply_edits(trees, tokenizer, with_text).select(
+        "doc_id", F.col("n_tokens_before").alias("n_tokens"), "n_edits", F.col("n_tokens").alias("n_tokens_after"),
+        F.col("n_chars").alias("n_chars_after"), "n_chars_encoded", *([text.alias("text_after")] if with_text else []))
 
 
 def sample_edits(n_edits: int = 4, most: int = 40) -> Column:

@@ -740,12 +740,17 @@ def test_edits_count_like_the_whole_text():
         assert CountTree("", enc, tree.leaves()).total() == count(s)
 
 
-def test_edit_encodes_a_small_region():
+@pytest.mark.parametrize("unit", ["some words here ", "a word\nto\na line\n", "two  spaces  each  ", "天地玄黄宇宙洪荒日月盈昃辰宿列张",
+                                  "春眠不覚暁、処処聞啼鳥。", "ひらがなとカタカナ", "x=1;y(2)+z[3]", "https://a.example/b?c=d&e/"])
+def test_edit_encodes_a_small_region(unit):
     enc = Encoder(TOKENIZER)
-    tree = CountTree("some words here " * 5000, enc)
+    text = unit * (100_000 // len(unit))
+    tree = CountTree(text, enc)
+    assert tree.total() == len(enc.tokenizer.encode(text, add_special_tokens=False).ids)
     tree.encoded = 0
     tree.edit(40_000, 5, "changed")
-    assert 0 < tree.encoded < 1000
+    assert 0 < tree.encoded < 2000
+    assert tree.total() == len(enc.tokenizer.encode(tree.text(), add_special_tokens=False).ids)
 
 
 def test_edited_counts_of_documents(spark):
