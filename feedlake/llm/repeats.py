@@ -288,8 +288,10 @@ class Pile:
     many: np.ndarray    # occurs more than once
 
 
-#: Of each window of the pile: does it repeat, and a number that equal windows share.
-Verdict = tuple[np.ndarray, np.ndarray]
+#: Of each window of the pile: does it repeat, and a number that equal windows share. Where the order of
+#: texts counts: does a text with a smaller number have it, and the spans (context, first symbol, symbols)
+#: that repeat in each distinct context as its text with the smallest number holds it.
+Verdict = tuple[np.ndarray, np.ndarray] | tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]
 _MARKS = "target long, r1 long, r2 long, start int, length int, packed binary"
 _LEFT = np.dtype([("a", "<u8"), ("b", "<u8"), ("rep", "<i8"), ("r1", "<i8"), ("r2", "<i8"), ("start", "<i4"),
                   ("done", "?")])
@@ -317,32 +319,34 @@ def _decide(kind: Kind, by_order: bool, compare: Callable[[Pile], Verdict], n_bu
         least = np.full(len(ids), np.iinfo(np.int64).max)
         np.minimum.at(least, which, col["rep"])
         pile = Pile(list(ids), col["n"][first], least, np.bincount(which) > 1)
-        repeats, same = compare(pile)
+        repeats, same, *spans = compare(pile)
         bounds = np.concatenate([[0], np.cumsum(pile.n)])
         # Back to all contexts: windows of context i at bounds[which[i]].
         n = col["n"].astype(np.int64)
         row = np.repeat(np.arange(len(n)), n)
         step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
         window = bounds[which[row]] + step
-        joined = np.concatenate([[False], row[1:] == row[:-1]])
         if by_order:
-            # The reference's window for each distinct one: that of the smallest order number.
-            order = np.repeat(pile.least, pile.n)
-            by = np.lexsort((np.arange(len(same)), order, same))
-            heads = by[np.concatenate([[True], same[by][1:] != same[by][:-1]])]
-            reference = heads[same[window]]
-            marked = order[reference] < col["rep"][row]
-            # A factor goes on while the reference continues like the text; at its
-            # end the next windows, across the boundary, start factors of their own.
-            joined[1:] &= reference[1:] == reference[:-1] + 1
+            # A context that a text with a smaller number holds as well goes whole.
+            again = pile.least[which] < col["rep"]
+            marked = again[row] | repeats[window]
+            context, first, size = spans[0]
+            by = np.argsort(context, kind="stable")
+            at = np.searchsorted(context[by], np.arange(len(ids) + 1))
+            whole, parsed = np.flatnonzero(again), np.flatnonzero(~again)
+            many = np.diff(at)[which[parsed]]
+            pick = np.repeat(at[which[parsed]] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+            of = np.concatenate([whole, np.repeat(parsed, many)])
+            start = np.concatenate([np.zeros(len(whole), np.int64), first[by][pick]])
+            size = np.concatenate([n[whole] + kind.length - 1, size[by][pick]])
         else:
             marked = repeats[window] | pile.many[which[row]]
-        a, b = _runs(marked, joined)
-        if len(a):
+            a, b = _runs(marked, np.concatenate([[False], row[1:] == row[:-1]]))
+            of, start, size = row[a], step[a], b - a + kind.length
+        if len(of):
             yield pa.RecordBatch.from_arrays(
-                [col["r1"][row[a]], col["r1"][row[a]], col["r2"][row[a]],
-                 pa.array((col["lo"][row[a]] + step[a]).astype(np.int32)),
-                 pa.array((b - a + kind.length).astype(np.int32)), pa.nulls(len(a), pa.binary())], schema=schema)
+                [col["r1"][of], col["r1"][of], col["r2"][of], pa.array((col["lo"][of] + start).astype(np.int32)),
+                 pa.array(size.astype(np.int32)), pa.nulls(len(of), pa.binary())], schema=schema)
         split = col["chunks"][row] > 1
         if split.any():
             # An entry for each distinct window, of its first text by order, and

@@ -2,13 +2,15 @@
 
 A word goes if a window of 13 words that covers it also starts in a document
 with a smaller id. ``repeats`` brings the stretches whose windows can be equal
-to one block. A block's reference is all its stretches, indexed by a suffix
-order to the depth of the window (prefix doubling on word numbers), with the
-smallest document of each distinct window. Every stretch is parsed greedily
-against the stretches of smaller documents: a factor starts at a window that
-the reference has and goes on as long as the reference continues the same way.
-Windows across a factor's boundary are looked up in the index too, so no window
-that starts inside one factor and ends in the next is missed.
+to one block. A block's reference is all its stretches, indexed by their
+suffixes' order (prefix doubling on word numbers). The longest match of a place
+with a smaller document's stretch is that with one of two neighbours in this
+order: the nearest above and the nearest below that belong to a smaller document.
+Every stretch is parsed greedily from left to right: a factor is the longest
+match at its place, and factors of at least a window's length are the spans that
+go. Behind a factor the parse goes on at the first window across its boundary
+that the index has, so no window that starts inside one factor and ends in the
+next is missed.
 
 Defined cases: a null text has no words; texts below 13 words keep all; of
 equal texts, those of the smallest id are judged against the other texts and
@@ -53,26 +55,85 @@ def _ranks(pairs: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     return np.unique(both, return_inverse=True)[1]
 
 
-def parsed_windows(pile: Pile, length: int = LENGTH) -> Verdict:
-    """The index's number of each window; equal windows have equal numbers. The parse by the
-    order of documents follows in ``repeats``, which also holds the stretches that share a text."""
-    numbers: dict = {}
-    words = [[numbers.setdefault(w, len(numbers)) for w in x.split(b" ")] for x in pile.data]
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    text = np.fromiter((w for x in words for w in x), np.int64, int(sizes.sum()))
-    # Reference index: order of all suffixes to the depth of a window. Ranks
-    # beyond a stretch's end are never asked for.
-    rank, depth = text, 1
-    while 2 * depth <= length:
-        rank, depth = _ranks((rank, np.concatenate([rank[depth:], np.zeros(depth, np.int64)]))), 2 * depth
-    if depth < length:
-        rest = length - depth
-        rank = _ranks((rank, np.concatenate([rank[rest:], np.zeros(rest, np.int64)])))
-    begin = np.cumsum(sizes) - sizes
-    number = np.cumsum(pile.n) - pile.n
+def _nearest_smaller(order: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each element the next strictly smaller one before and behind it, -1 if there is none."""
+    before, behind, open_ = [-1] * len(order), [-1] * len(order), []
+    for i, x in enumerate(order):
+        while open_ and order[open_[-1]] > x:
+            behind[open_.pop()] = i
+        if open_:
+            last = open_[-1]
+            before[i] = last if order[last] < x else before[last]
+        open_.append(i)
+    return np.array(before, np.int64), np.array(behind, np.int64)
+
+
+class ReferenceIndex:
+    """Suffixes of a block's stretches in order. ``levels[k]`` ranks the places by their next 2**k words."""
+
+    def __init__(self, stretches: list[bytes], length: int):
+        numbers: dict = {}
+        words = [[numbers.setdefault(w, len(numbers) + 1) for w in x.split(b" ")] + [0] for x in stretches]
+        self.sizes = np.fromiter((len(x) - 1 for x in words), np.int64, len(words))
+        self.begin = np.cumsum(self.sizes + 1) - self.sizes - 1
+        rank = np.fromiter((w for x in words for w in x), np.int64, int((self.sizes + 1).sum()))
+        self.levels, depth, longest = [rank], 1, max(length, int(self.sizes.max(initial=0)))
+        while depth < longest and (depth < length or rank.max() + 1 < len(rank)):
+            rank = _ranks((rank, np.concatenate([rank[depth:], np.zeros(min(depth, len(rank)), np.int64)])))
+            self.levels.append(rank)
+            depth *= 2
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Number of equal words from each pair of places on, a stretch's end being one."""
+        out, last = np.zeros(len(a), np.int64), len(self.levels[0]) - 1
+        for k in range(len(self.levels) - 1, -1, -1):
+            i, j = a + out, b + out
+            same = self.levels[k][np.minimum(i, last)] == self.levels[k][np.minimum(j, last)]
+            out += (same & (i <= last) & (j <= last)).astype(np.int64) << k
+        return out
+
+    def longest_matches(self, place: np.ndarray, order: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """Words that each place has in common with the best place of a smaller order number; at
+        most ``left``, those up to its stretch's end."""
+        ranked = np.argsort(self.levels[-1][place], kind="stable")
+        best = np.zeros(len(place), np.int64)
+        for beside in _nearest_smaller(order[ranked].tolist()):
+            at = np.flatnonzero(beside >= 0)
+            here = ranked[at]
+            best[here] = np.maximum(best[here], self.common(place[here], place[ranked[beside[at]]]))
+        return np.minimum(best, left)
+
+
+def factors(matches: np.ndarray, n: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretch, first word and words of the greedy parse's factors of at least ``length`` words.
+    ``matches``: longest match at each window; ``n``: windows of each stretch."""
+    ends = np.cumsum(n)
+    hits = np.flatnonzero(matches >= length)
+    stretch, at = np.arange(len(n)), np.searchsorted(hits, ends - n)
+    out = []
+    while len(stretch):
+        on = at < len(hits)
+        on[on] = hits[at[on]] < ends[stretch[on]]
+        stretch, at = stretch[on], at[on]
+        window = hits[at]
+        out.append((stretch, window - (ends - n)[stretch], matches[window]))
+        # The first window that ends behind the factor and is in the index.
+        at = np.searchsorted(hits, window + matches[window] - length + 1)
+    empty = np.zeros(0, np.int64)
+    return tuple(np.concatenate([empty, *x]) for x in zip(*out, strict=True)) if out else (empty, empty, empty)
+
+
+def relative_parse(pile: Pile, length: int = LENGTH) -> Verdict:
+    """Windows that a smaller document has, each window's number (equal windows have equal ones),
+    and the factors of each distinct stretch as its first document holds it."""
+    index = ReferenceIndex(pile.data, length)
     total = int(pile.n.sum())
-    place = np.repeat(begin, pile.n) + np.arange(total) - np.repeat(number, pile.n)
-    return np.zeros(total, bool), np.unique(rank[place], return_inverse=True)[1]
+    stretch = np.repeat(np.arange(len(pile.n)), pile.n)
+    place = index.begin[stretch] + np.arange(total) - (np.cumsum(pile.n) - pile.n)[stretch]
+    matches = index.longest_matches(place, pile.least[stretch], (index.begin + index.sizes)[stretch] - place)
+    k = length.bit_length() - 1
+    numbers = _ranks((index.levels[k][place], index.levels[k][place + length - (1 << k)]))
+    return matches >= length, numbers, factors(matches, pile.n, length)
 
 
 _KEPT = "r1 long, r2 long, n_words long, n_removed long, whole_sha256 string, kept_sha256 string, kept string"
@@ -112,7 +173,7 @@ def substring_dedup(docs: DataFrame, length: int = LENGTH, with_text: bool = Fal
     distinct, spans = repeated_spans(
         texts.select("r1", "r2", "text"), word_kind(length),
         classes.select("r1", "r2", F.coalesce("rep", F.lit(-(1 << 63))).alias("rep")), True,
-        lambda pile: parsed_windows(pile, length))
+        lambda pile: relative_parse(pile, length))
     judged = (distinct.join(spans.hint("shuffle_hash"), ["r1", "r2"], "left").select("r1", "r2", "text", "spans")
                       .mapInArrow(_kept(length, with_text), _KEPT))
     copy = (F.col("doc_id") > F.col("rep")) & (F.col("n_words") >= length)

@@ -22,7 +22,7 @@ from feedlake.llm.mixing import mix, mixture
 from feedlake.llm.packing import _Plan, pack, packing_plan
 from feedlake.llm.quality import quality_rules, without_frequent_lines
 from feedlake.llm.sharding import even_cuts, greedy_cuts, shard_documents, smallest_capacity
-from feedlake.llm.substring_dedup import substring_dedup
+from feedlake.llm.substring_dedup import factors, relative_parse, substring_dedup
 from feedlake.llm.suffix_dedup import byte_kind, suffix_dedup, two_stage_sort
 from feedlake.llm.token_counts import CountTree, apply_edits, count_trees, edited_token_counts, sample_edits
 from feedlake.llm.tokens import Encoder
@@ -330,6 +330,56 @@ def test_repeats_of_long_runs(spark, monkeypatch):
     assert {x["doc_id"]: x["n_removed"] for x in out} == {1: 3_000_000, 2: 300}
 
 
+def test_relative_parse_against_a_plain_one():
+    r = random.Random(12)
+    for _ in range(60):
+        length, n_texts = r.choice([3, 5, 13]), r.randint(1, 12)
+        texts = list({" ".join(r.choice("ab" if r.random() < .3 else "abcdef") for _ in range(r.randint(length, 60)))
+                      for _ in range(n_texts)})
+        if r.random() < .7:  # a copy of a part, in another text
+            words = texts[0].split()
+            texts.append(" ".join(["z", *words[:max(length, len(words) // 2)], "z", *words[-length:]]))
+        split = [t.split() for t in texts]
+        order = np.array([r.randint(0, 6) for _ in texts])
+        pile = repeats.Pile([t.encode() for t in texts], np.array([len(w) - length + 1 for w in split]), order,
+                            np.zeros(len(texts), bool))
+        seen, numbers, (context, first, size) = relative_parse(pile, length)
+
+        def match(i, a, split=split, order=order):  # longest match of a place with a smaller text
+            best = 0
+            for j, other in enumerate(split):
+                for b in range(len(other) if order[j] < order[i] else 0):
+                    k = 0
+                    while a + k < len(split[i]) and b + k < len(other) and split[i][a + k] == other[b + k]:
+                        k += 1
+                    best = max(best, k)
+            return best
+        plain, windows, hits = set(), [], []
+        for i, w in enumerate(split):
+            found = [match(i, a) for a in range(len(w) - length + 1)]
+            hits += [x >= length for x in found]
+            windows += [tuple(w[a:a + length]) for a in range(len(found))]
+            a = 0
+            while a < len(found):
+                if found[a] >= length:
+                    plain.add((i, a, found[a]))
+                    a += found[a] - length  # windows across the factor's end come next
+                a += 1
+        assert set(zip(context.tolist(), first.tolist(), size.tolist(), strict=True)) == plain
+        assert seen.tolist() == hits
+        assert len(set(zip(windows, numbers.tolist(), strict=True))) == len(set(windows)) == len(set(numbers.tolist()))
+    assert [x.tolist() for x in factors(np.zeros(0, np.int64), np.zeros(0, np.int64), 13)] == [[], [], []]
+
+
+def test_a_shared_passage_goes_whole(spark):
+    r = random.Random(13)
+    shared = [f"s{k}" for k in range(40)]
+    rows = [(k, " ".join([f"a{r.random()}" for _ in range(9)] + shared + [f"b{r.random()}" for _ in range(9)]), "x")
+            for k in range(4)]
+    out = by_id(substring_dedup(table(spark, rows)), "n_removed")
+    assert [out[k][0][0] for k in range(4)] == [0, 40, 40, 40]
+
+
 def test_removed_text_keeps_whole_characters(spark):
     rows = [(1, "é" * 150 + "ab", "a"), (2, "è" + "é" * 150 + "cd", "a")]
     out = by_id(suffix_dedup(table(spark, rows), with_text=True), "kept_text", "kept")
