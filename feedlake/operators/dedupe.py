@@ -13,11 +13,17 @@ from feedlake.operators.topk import top_k_per_group
 DEFAULT_KEYS: tuple[str, ...] = (C.SOURCE_COL, C.KEY_COL)
 
 
-def duplicate_counts(df: DataFrame, key: str = C.KEY_COL, group_col: str = C.SOURCE_COL) -> DataFrame:
+def id_counts(df: DataFrame, key: str = C.KEY_COL, group_col: str = C.SOURCE_COL) -> DataFrame:
+    """``n``: the rows per (group, id)."""
+    return df.groupBy(group_col, key).agg(F.count(F.lit(1)).alias("n"))
+
+
+def duplicate_counts(df: DataFrame, key: str = C.KEY_COL, group_col: str = C.SOURCE_COL,
+                     ids: DataFrame | None = None) -> DataFrame:
     """A3 per group: ``duplicate_ids``, rows minus distinct keys (null is a key). Ids are counted once per (group, id),
-    so a hot group spreads over all reducers, and then summed."""
-    once = df.groupBy(group_col, key).agg(F.count(F.lit(1)).alias("_n"))
-    return once.groupBy(group_col).agg(F.sum(F.col("_n") - 1).cast("long").alias("duplicate_ids"))
+    so a hot group spreads over all reducers, and then summed. ``ids``: these counts, if they are there."""
+    once = id_counts(df, key, group_col) if ids is None else ids
+    return once.groupBy(group_col).agg(F.sum(F.col("n") - 1).cast("long").alias("duplicate_ids"))
 
 
 def dedupe(df: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
@@ -31,7 +37,8 @@ def dedupe(df: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
 
     The ordered form is ``min(struct(...))`` per key, an aggregate with a
     map-side partial step: a key held by millions of rows is reduced inside
-    each map task before the shuffle, unlike a window over the key.
+    each map task before the shuffle, unlike a window over the key. Such an
+    aggregate sorts by the key, and most rows differ in the last part (the id).
     """
     keys = list(keys)
     if order_by is None:
@@ -40,7 +47,7 @@ def dedupe(df: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
     first = [] if order_by == "all" else [c for c in order_by if c not in keys]
     ordered = first + [c for c in values if c not in first]
     best = F.min(F.struct(*[F.col(c) for c in ordered])).alias("_first")
-    return (df.groupBy(*keys).agg(best)
+    return (df.groupBy(*reversed(keys)).agg(best)
               .select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c)
                         for c in df.columns]))
 

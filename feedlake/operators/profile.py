@@ -54,13 +54,14 @@ def _metric(name: str, column: str) -> str:
 
 
 def source_metrics(df: DataFrame, numeric: Sequence[str] = C.NUMERIC_COLUMNS,
-                   null_columns: Sequence[str] | None = None) -> DataFrame:
+                   null_columns: Sequence[str] | None = None, ids: DataFrame | None = None) -> DataFrame:
     """One row per source with every scalar metric of the profile and the gate.
 
     ``rows``; ``null_ids``, ``duplicate_ids``; per numeric column ``nonnum__c``
     (blank or not a number), ``neg__c``, ``zero__c``, ``min__c``, ``max__c``,
     ``avg__c`` (double meaning); ``negint__price``/``negint__sqft`` (integer
-    meaning, for validation); per column ``empty__c`` (null or empty).
+    meaning, for validation); per column ``empty__c`` (null or empty). ``ids``:
+    the rows per (source, id) (``dedupe.id_counts``), if they are there.
     """
     cols = set(df.columns)
     aggs: list[Column] = [F.count(F.lit(1)).alias("rows")]
@@ -87,7 +88,7 @@ def source_metrics(df: DataFrame, numeric: Sequence[str] = C.NUMERIC_COLUMNS,
         return wide
     # Distinct ids group by (source, id): that shuffle carries the two columns
     # only, not the metrics above. Both sides have one row per source.
-    ids = duplicate_counts(df).withColumnRenamed(C.SOURCE_COL, "_ids_of")
+    ids = duplicate_counts(df, ids=ids).withColumnRenamed(C.SOURCE_COL, "_ids_of")
     return wide.join(ids, F.col(C.SOURCE_COL).eqNullSafe(F.col("_ids_of"))).drop("_ids_of")
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from feedlake import config as C
 from feedlake.functions import parse_double
 from feedlake.operators import source_metrics
+from feedlake.operators.dedupe import id_counts
 from feedlake.operators.profile import _has_column, value_counts
 from feedlake.operators.topk import top_k_per_group
 from feedlake.plans.pipeline import Profile
@@ -89,23 +90,30 @@ class ProfileStore:
         return raw.select(*[F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in self.columns],
                           C.SOURCE_COL)
 
-    def _partials(self, raw: DataFrame) -> dict[str, DataFrame]:
-        rows = self._conform(raw)
+    def _metrics(self, rows: DataFrame, ids: DataFrame) -> DataFrame:
         numbers = [c for c in C.NUMERIC_COLUMNS if c in self.columns]
         sums = rows.groupBy(F.col(C.SOURCE_COL).alias("sums_of")).agg(
             *[F.sum(parse_double(c)).alias(f"sum__{c}") for c in numbers],
             *[F.count(parse_double(c)).alias(f"num__{c}") for c in numbers], F.count(F.lit(1)).alias("num__rows"))
-        metrics = source_metrics(rows)
-        return {
-            "metrics": metrics.join(sums, metrics[C.SOURCE_COL].eqNullSafe(sums["sums_of"])).drop("sums_of"),
-            "values": value_counts(rows, extended=self.extended_dates),
-            "ids": rows.groupBy(C.SOURCE_COL, C.KEY_COL).agg(F.count(F.lit(1)).alias("n")),
-        }
-
-    def add(self, day: str, raw: DataFrame) -> None:
-        """Store the partial results of a day's raw rows."""
-        for table, part in self._partials(raw).items():
-            part.write.mode("overwrite").parquet(self._path(table, day))
+        metrics = source_metrics(rows, ids=ids)
+        return metrics.join(sums, metrics[C.SOURCE_COL].eqNullSafe(sums["sums_of"])).drop("sums_of")
+
+    def _partials(self, rows: DataFrame) -> dict[str, DataFrame]:
+        ids = id_counts(rows)
+        return {"ids": ids, "metrics": self._metrics(rows, ids),
+                "values": value_counts(rows, extended=self.extended_dates)}
+
+    def add(self, day: str, raw: DataFrame, once: bool = True) -> None:
+        """Store the partial results of a day's raw rows. These are read several times and are
+        stored first, so that they are computed once; ``once=False`` if ``raw`` is a plain read
+        of stored rows. The day's ids are grouped once: duplicates are counted from the stored ones."""
+        rows = self._conform(raw)
+        rows = stored_copy(rows, "day", "zstd") if once else rows
+        parts = self._partials(rows)
+        parts["ids"].write.mode("overwrite").parquet(self._path("ids", day))
+        ids = self.spark.read.schema(parts["ids"].schema).parquet(self._path("ids", day))
+        self._metrics(rows, ids).write.mode("overwrite").parquet(self._path("metrics", day))
+        parts["values"].write.mode("overwrite").parquet(self._path("values", day))
 
     def profile(self, days: Sequence[str], columns_by_source: Mapping[str, Sequence[str]] | None = None,
                 errors: Mapping[str, str] | None = None) -> MergedProfile:
@@ -114,7 +122,7 @@ class ProfileStore:
         if missing:
             raise ValueError(f"days that were not added: {', '.join(missing)}")
         empty = self.spark.createDataFrame([], ", ".join(f"`{c}` string" for c in [*self.columns, C.SOURCE_COL]))
-        kinds = self._partials(empty)
+        kinds = self._partials(self._conform(empty))
         parts = {t: self.spark.read.schema(kinds[t].schema).parquet(*[self._path(t, d) for d in days]) if days else kinds[t]
                  for t in TABLES}
         return MergedProfile(empty, columns_by_source, errors, self.extended_dates, parts)

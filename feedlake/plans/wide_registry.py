@@ -100,11 +100,11 @@ def q_wide_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _by_days(spark: SparkSession, sf_dir: str) -> MergedProfile:
     """A profile merged from three days' partial results."""
-    feed = wide_feed(spark, sf_dir)
+    feed = stored_copy(wide_feed(spark, sf_dir), "raw-feed", "zstd")  # raw days are stored, too
     store = ProfileStore(spark, scratch_path(spark, "daily-profile"), [c for c in feed.columns if c != "source_name"])
     day = F.pmod(F.xxhash64("property_id", "price"), F.lit(3))
     for k in range(3):
-        store.add(f"d{k}", feed.where(day == k))
+        store.add(f"d{k}", feed.where(day == k), once=False)
     return store.profile(["d0", "d1", "d2"], wide_columns(feed), UNREADABLE)
 
 

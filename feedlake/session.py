@@ -66,9 +66,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "feedlake", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def stored_copy(df: DataFrame, name: str) -> DataFrame:
+def stored_copy(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: the lineage is cut,
-    several readers share one run, and the optimizer knows the size."""
+    several readers share one run, and the optimizer knows the size. ``compression``: other
+    than the session's, for copies of a whole feed."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

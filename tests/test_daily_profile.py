@@ -96,3 +96,33 @@ def test_no_stage_of_a_run_outgrows_generated_code():
               f"e.queries()['etl_after_failure'](s, {SF_SMALL!r}).write.format('noop').mode('overwrite').save()\n")
     done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=600, check=True)
     assert "64 KB" not in done.stderr and "64 KB" not in done.stdout
+
+
+def test_a_days_rows_are_computed_once_and_their_ids_grouped_once(spark, tmp_dir):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    feed = spark.createDataFrame([("s", "a", "1"), ("s", "a", "2"), (None, None, "3"), ("s", None, None)],
+                                 "source_name string, property_id string, price string")
+    store = ProfileStore(spark, os.path.join(tmp_dir, "p"), ["property_id", "price"])
+    store.add("one", feed.mapInArrow(counted, feed.schema))
+    assert seen.value == 4
+    assert rows(store.profile(["one"]).stats.select("source_name", "rows")) == {("s", 3)[::-1]: 1, (None, 1)[::-1]: 1}
+    day = spark.read.parquet(os.path.join(tmp_dir, "p", "metrics", "day=one"))
+    assert {(r.source_name, r.duplicate_ids) for r in day.collect()} == {("s", 1), (None, 0)}
+    assert any("/ids/day=one" in f for f in store._metrics(feed, store.profile(["one"]).parts["ids"]).inputFiles())
+
+
+def test_customers_meet_orders_before_line_items(spark):
+    from feedlake.sources.wide_fixture import wide_feed
+
+    plan = wide_feed(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(k for k, line in enumerate(plan) if "Join" in line and "c_custkey" in line)
+    depth = plan[at].index("Join")
+    below = [line for line in plan[at + 1:]]
+    below = below[:next((k for k, line in enumerate(below) if len(line) - len(line.lstrip(" :+-")) <= depth), len(below))]
+    assert below and not any("l_orderkey" in line for line in below)
