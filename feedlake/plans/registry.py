@@ -174,7 +174,7 @@ def q_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load all rows but those of 1998, then those of 1998 as a batch of their own, and read
     the whole table: it must equal one full load. Rows of 1998 take over ids of older ones."""
-    feed = _feed(spark, sf_dir)
+    feed = stored_copy(_feed(spark, sf_dir), "raw-feed")  # a raw feed is stored, too
     store = FeedStore(spark, scratch_path(spark, "incremental"), [c for c in feed.columns if c != C.SOURCE_COL])
     late = F.coalesce(F.col("feed_date").contains("1998"), F.lit(False))
     store.apply(feed.where(~late), ingestion_timestamp=RUN_TS)

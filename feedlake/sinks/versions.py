@@ -22,6 +22,7 @@ from feedlake import config as C
 from feedlake.session import stored_copy
 from feedlake.sinks.parquet import (
     _IDENT,
+    FOLDERS_PER_TASK,
     add_table_partitions,
     path_exists,
     remove_folders,
@@ -76,8 +77,15 @@ def read_folders(spark: SparkSession, root: str, chosen: DataFrame, schema: T.St
     full = string_partitions(schema, layout)
     if not paths:
         return spark.createDataFrame([], full).select(*schema.names)
-    return (spark.read.schema(full).option("basePath", f"{base}/data")
-            .parquet(*[_escape_glob(p) for p in paths]).select(*schema.names))
+    # Spark lists many paths by a job of up to 10,000 tasks, one path or two in each.
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), -(-len(paths) // FOLDERS_PER_TASK))))
+    try:
+        read = spark.read.schema(full).option("basePath", f"{base}/data").parquet(*[_escape_glob(p) for p in paths])
+    finally:
+        spark.conf.set(key, before)
+    return read.select(*schema.names)
 
 
 def _escape_glob(path: str) -> str:
@@ -101,10 +109,11 @@ def write_run(rows: DataFrame, root: str, run: int, layout: Sequence[str] = LAYO
 def written_folders(spark: SparkSession, root: str, run: int, schema: T.StructType,
                     layout: Sequence[str] = LAYOUT) -> DataFrame:
     path = f"{_data(root)}/run={run}"
-    file = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
-    folder = F.regexp_extract(file, rf"/(data/run={run}/.*)/[^/]*$", 1)
-    return (spark.read.schema(string_partitions(schema, layout)).parquet(path)
-            .select(*layout, folder.alias("folder")).distinct())
+    folder = F.regexp_extract(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))), rf"/(data/run={run}/.*)/[^/]*$", 1)
+    # The path is worked on once per file, not once per row.
+    files = spark.read.schema(string_partitions(schema, layout)).parquet(path)
+    return files.select(*layout, F.col("_metadata.file_path").alias("file")).distinct().select(
+        *layout, folder.alias("folder")).distinct()
 
 
 def publish(root: str, version: int, live: DataFrame) -> None:

@@ -43,7 +43,7 @@ from feedlake.streaming.incremental import raw_feed_schema, source_from_path
 
 log = logging.getLogger(__name__)
 
-IDS = (C.SOURCE_COL, C.KEY_COL)
+IDS = (C.KEY_COL, C.SOURCE_COL)  # sorts by them compare ids first, in which most rows differ
 STAGES = ("index", "metrics", "data", "publish")
 _LEDGER = "status string, input_version string, details string, at string"
 
@@ -197,10 +197,16 @@ class FeedStore:
         return verdicts(stats, sources, errors)
 
     def _changed(self, batch: int) -> DataFrame:
+        if not self._batches("index", batch - 1):  # every id is set by the batch
+            old_date = F.lit(None).cast("string").alias("old_date")
+            return self._new_ids(batch).select(*IDS, "first", F.lit(False).alias("moved"), old_date)
         return self.spark.read.parquet(self._path("state", "changed", f"batch={batch}"))
 
     def _write_changed(self, batch: int) -> None:
-        """Ids whose survivor the batch sets: ``first``, and where the one before it is."""
+        """Ids whose survivor the batch sets: ``first``, and where the one before it is. Of the first
+        batch these are its index."""
+        if not self._batches("index", batch - 1):
+            return
         new, older = self._new_ids(batch), self._older(batch)
         older = older.select(*[F.col(c).alias(f"old_{c}") for c in IDS], "before")
         same = F.lit(True)

@@ -269,3 +269,35 @@ def test_the_sql_table_switches_once(spark, tmp_dir, monkeypatch):
     assert {r.v for r in spark.table("switched").collect()} == {"y"}
     names = {r.tableName for r in spark.sql("SHOW TABLES LIKE 'switched*'").collect()}
     assert names == {"switched", "switched__v2", "switched__v3"}
+
+
+def test_the_first_batch_keeps_no_second_copy_of_its_index(spark, tmp_dir):
+    store = FeedStore(spark, os.path.join(tmp_dir, "store"))
+    days = [[("a", "a1", "2025-01-09"), ("a", "a2", None)], [("a", "a1", "2025-01-07"), ("b", "b1", "2025-01-07")]]
+    for rows in days:
+        store.apply(_feed_rows(spark, rows), ingestion_timestamp="t")
+    assert os.listdir(os.path.join(store.root, "state", "changed")) == ["batch=2"]
+    assert table(store.read()) == table(full_load(spark, days[0] + days[1]).select(*store.schema.names))
+
+
+def test_a_folders_path_is_worked_on_once_per_file(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "t")
+    rows = full_load(spark, [("a+b c", f"p{k}", "2025-01-09") for k in range(50)])
+    named = write_run(rows, root, 1)
+    assert [os.path.isdir(os.path.join(root, r["folder"])) for r in named.collect()] == [True]
+    plan = named._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan[plan.index("regexp_extract"):]
+
+
+def test_few_tasks_list_many_folders(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "t")
+    rows = full_load(spark, [("a", f"p{k}", f"2025-{k // 28 + 1:02d}-{k % 28 + 1:02d}") for k in range(100)])
+    publish(root, 1, write_run(rows, root, 1))
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, tracker = spark.conf.get(key), spark.sparkContext.statusTracker()
+    seen = set(tracker.getJobIdsForGroup(None))
+    got = S.read_version(spark, root, rows.schema)
+    tasks = [tracker.getStageInfo(s).numTasks for j in set(tracker.getJobIdsForGroup(None)) - seen
+             for s in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(s)]
+    assert tasks and max(tasks) < 50 and spark.conf.get(key) == before
+    assert got.count() == 100
