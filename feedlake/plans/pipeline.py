@@ -177,9 +177,9 @@ def quality_gate(validation: DataFrame, scores: DataFrame, min_score: float) ->
 def _store(processed: DataFrame, path: str, partition_by: Sequence[str], overwrite: str,
            keep: F.Column | None, once: bool = True) -> tuple[DataFrame | None, DataFrame | None]:
     """Write a full load, or bring the stored table up to date; the folders written and removed
-    (None: all were written)."""
+    (None: all were written). ``once``: see :func:`rewrite_touched`."""
     if overwrite == "static" or not path_exists(processed.sparkSession, path):
-        write_feed(processed if keep is None else processed.where(keep), path, partition_by, overwrite="static")
+        write_feed(processed if keep is None else processed.where(keep), path, partition_by, overwrite="static", deal=once)
         return None, None
     return rewrite_touched(processed, path, partition_by, keep, once=once)
 

@@ -22,7 +22,7 @@ _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 
 def write_feed(df: DataFrame, path: str, partition_by: Sequence[str] = ("feed_date",),
                overwrite: str = "dynamic", writers: int | None = None,
-               max_records_per_file: int | None = None) -> None:
+               max_records_per_file: int | None = None, deal: bool = True) -> None:
     """Write Parquet partitioned by ``partition_by``, replacing what it covers.
 
     ``overwrite='dynamic'`` replaces only the partitions present in ``df``
@@ -32,13 +32,15 @@ def write_feed(df: DataFrame, path: str, partition_by: Sequence[str] = ("feed_da
     Rows are dealt to ``writers`` tasks (default: the shuffle partitions) by
     range over the partition columns and then the id: neighbouring folders go
     to one writer, which writes one file for each, and a folder that holds a
-    large share of the rows is split between several.
+    large share of the rows is split between several. ``deal=False`` if ``df`` is
+    a plain read of rows stored by the same folders: each of its files is written
+    to one folder by the task that reads it, without a shuffle.
     """
     if overwrite not in OVERWRITE_MODES:
         raise ValueError(f"overwrite must be one of {OVERWRITE_MODES}")
     cols = list(partition_by)
     out = df
-    if cols:
+    if cols and deal:
         n = writers or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         within = [C.KEY_COL] if C.KEY_COL in df.columns and C.KEY_COL not in cols else []
         out = df.repartitionByRange(n, *cols, *within)
@@ -159,10 +161,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def folders_of(stored: DataFrame, chosen: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``folder``: the folders, by path, that hold rows of the Parquet read ``stored`` whose
     ``cols`` are among ``chosen``'s."""
-    # The path is escaped like a URL's, in which a plus sign is itself.
-    path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
-    held = stored.select(*cols, F.regexp_extract(path, "^(.*)/[^/]*$", 1).alias("folder"))
-    held = held.distinct()
+    # The path is escaped like a URL's, in which a plus sign is itself; it is worked on once per file.
+    path = F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))
+    files = stored.select(*cols, F.col("_metadata.file_path").alias("file")).distinct()
+    held = files.select(*cols, F.regexp_extract(path, "^(.*)/[^/]*$", 1).alias("folder")).distinct()
     return held.join(chosen, same_folder(held, chosen, cols), "left_semi").select("folder").distinct()
 
 
@@ -221,27 +223,31 @@ def rewrite_touched(processed: DataFrame, path: str, partition_by: Sequence[str]
     ``keep``, is rewritten whole from ``processed``; a folder left without rows
     is removed. So an id whose surviving row moved to another date is stored
     once, as after a full load. Returns the folders written and those removed.
-    ``processed`` is needed twice and is stored first, so that it is computed
-    once; ``once=False`` if it is a plain read of stored rows.
+    ``processed`` is read several times and is stored first, so that it is computed
+    once; ``once=False`` if it is a plain read of rows stored by the same folders.
     """
-    spark, cols, ids = processed.sparkSession, list(partition_by), [C.SOURCE_COL, C.KEY_COL]
+    spark, cols, ids = processed.sparkSession, list(partition_by), [C.KEY_COL, C.SOURCE_COL]
     narrow = list(dict.fromkeys([*ids, *cols]))
     processed = stored_copy(processed, "processed") if once else processed
     stored = read_feed_table(spark, path, processed.schema, cols)
-    now = stored_copy(processed.select(*narrow), "places")
-    if keys is None:
-        keys = now.select(*ids) if keep is None else now.where(keep).select(*ids).unionByName(
-            stored.where(keep).select(*ids))
-    touched = stored_copy(keys.select(*ids).distinct(), "touched")
-    places = now.unionByName(stored.select(*narrow)).join(touched, ids, "left_semi").select(*cols)
-    if keep is not None:
-        places = places.unionByName(stored.where(keep).select(*cols))
+    now = processed.select(*narrow)
+    if keep is None and keys is None:
+        # Each row of this run has one of its ids (a null is none); only the table's are looked up.
+        named = now.where(F.col(C.KEY_COL).isNotNull() & F.col(C.SOURCE_COL).isNotNull())
+        places = named.select(*cols).unionByName(stored.join(named.select(*ids), ids, "left_semi").select(*cols))
+    else:
+        if keys is None:
+            keys = now.where(keep).select(*ids).unionByName(stored.where(keep).select(*ids))
+        touched = keys.select(*ids).distinct()
+        places = now.unionByName(stored.select(*narrow)).join(touched, ids, "left_semi").select(*cols)
+        if keep is not None:
+            places = places.unionByName(stored.where(keep).select(*cols))
     folders = stored_copy(places.distinct(), "folders")
-    rows = stored_copy(processed.join(folders, same_folder(processed, folders, cols), "left_semi"), "rewritten")
+    rows = processed.join(folders, same_folder(processed, folders, cols), "left_semi")
     written = stored_copy(rows.select(*cols).distinct(), "written")
     gone = stored_copy(folders.join(written, same_folder(folders, written, cols), "left_anti"), "gone")
     doomed = stored_copy(folders_of(stored, gone, cols), "doomed")
-    write_feed(rows, path, cols, overwrite="dynamic")
+    write_feed(rows, path, cols, overwrite="dynamic", deal=once)
     remove_folders(spark, doomed)
     return written, gone
 

@@ -438,3 +438,24 @@ def test_wide_sources_are_read(spark, tmp_dir):
     rows = {r["source_name"]: r for r in feeds.df.collect()}
     assert len(rows) == 2 and all(rows["wide"][c] == f"wide-{c}" for c in names)
     assert rows["narrow"]["price"] == "narrow-price" and rows["narrow"]["last"] is None
+
+
+def test_a_rerun_stores_its_rows_once_and_combines_without_a_shuffle(spark, tmp_dir, monkeypatch):
+    from feedlake import session
+    from feedlake.sinks import parquet
+
+    named, dealt = [], []
+    monkeypatch.setattr(parquet, "stored_copy", lambda df, name, *a: (named.append(name), session.stored_copy(df, name, *a))[1])
+    real = type(spark.range(1)).repartitionByRange
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", lambda df, *a: (dealt.append(a), real(df, *a))[1])
+    first = [("a", f"a{k}", f"2025-01-{k % 9 + 1:02d}") for k in range(40)] + [("b", "b1", "x")]
+    second = [*first, ("a", "a1", "2024-12-31"), ("b", "b1", "2025-01-01")]
+    out = os.path.join(tmp_dir, "out")
+    run_etl(_feed_rows(spark, first), out, ingestion_timestamp="t")
+    assert len(dealt) == 1                                          # the per-source table, not the combined one
+    result = run_etl(_feed_rows(spark, second), out, ingestion_timestamp="t")
+    assert len(dealt) == 2 and named.count("processed") == 1
+    assert not {"rewritten", "places", "touched"} & set(named)
+    full = run_etl(_feed_rows(spark, second), os.path.join(tmp_dir, "full"), ingestion_timestamp="t")
+    got, want = (sorted(map(str, read_feed_table(spark, p).collect())) for p in (result.combined_path, full.combined_path))
+    assert got == want and len(got) == 41
