@@ -163,7 +163,7 @@ def folders_of(stored: DataFrame, chosen: DataFrame, cols: Sequence[str]) -> Dat
     ``cols`` are among ``chosen``'s."""
     # The path is escaped like a URL's, in which a plus sign is itself; it is worked on once per file.
     path = F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))
-    files = stored.select(*cols, F.col("_metadata.file_path").alias("file")).distinct()
+    files = stored_copy(stored.select(*cols, F.col("_metadata.file_path").alias("file")).distinct(), "files")
     held = files.select(*cols, F.regexp_extract(path, "^(.*)/[^/]*$", 1).alias("folder")).distinct()
     return held.join(chosen, same_folder(held, chosen, cols), "left_semi").select("folder").distinct()
 

@@ -110,10 +110,10 @@ def written_folders(spark: SparkSession, root: str, run: int, schema: T.StructTy
                     layout: Sequence[str] = LAYOUT) -> DataFrame:
     path = f"{_data(root)}/run={run}"
     folder = F.regexp_extract(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))), rf"/(data/run={run}/.*)/[^/]*$", 1)
-    # The path is worked on once per file, not once per row.
+    # The path is worked on once per file, not once per row (of two distincts in one plan the first would be left out).
     files = spark.read.schema(string_partitions(schema, layout)).parquet(path)
-    return files.select(*layout, F.col("_metadata.file_path").alias("file")).distinct().select(
-        *layout, folder.alias("folder")).distinct()
+    files = stored_copy(files.select(*layout, F.col("_metadata.file_path").alias("file")).distinct(), "files")
+    return files.select(*layout, folder.alias("folder")).distinct()
 
 
 def publish(root: str, version: int, live: DataFrame) -> None:
